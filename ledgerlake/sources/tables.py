@@ -1,0 +1,25 @@
+"""Catalog tables, current or as published by an earlier run."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+
+def read_table(spark: SparkSession, table: str) -> DataFrame:
+    return spark.table(table)
+
+
+def run_table(table: str, run_id: str) -> str:
+    """Name of the table holding one published run."""
+    return f"{table}__{run_id}"
+
+
+def read_as_of(
+    spark: SparkSession, table: str, *, run_id: str | None = None, version: int | None = None
+) -> DataFrame:
+    """A table as of a published run, or as of a version where its format keeps versions."""
+    if (run_id is None) == (version is None):
+        raise ValueError("give either run_id or version")
+    if run_id is not None:
+        return spark.table(run_table(table, run_id))
+    return spark.read.option("versionAsOf", version).table(table)

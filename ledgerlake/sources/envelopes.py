@@ -6,9 +6,14 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-ENVELOPE_SCHEMA = T.StructType.fromDDL(
-    "key string, value string, topic string, partition int, offset bigint, timestamp timestamp"
-)
+ENVELOPE_SCHEMA = T.StructType([
+    T.StructField("key", T.StringType()),
+    T.StructField("value", T.StringType()),
+    T.StructField("topic", T.StringType()),
+    T.StructField("partition", T.IntegerType()),
+    T.StructField("offset", T.LongType()),
+    T.StructField("timestamp", T.TimestampType()),
+])
 
 # Read a topic from its start, and go on when the broker has dropped old messages.
 KAFKA_DEFAULTS = {"startingOffsets": "earliest", "failOnDataLoss": "false"}

@@ -7,6 +7,13 @@ from dataclasses import dataclass, field
 from pyspark.sql import types as T
 
 MONEY = "decimal(18,2)"
+_TYPES: dict[str, T.DataType] = {
+    "string": T.StringType(),
+    "int": T.IntegerType(),
+    "timestamp": T.TimestampType(),
+    "decimal(5,2)": T.DecimalType(5, 2),
+    MONEY: T.DecimalType(18, 2),
+}
 
 
 @dataclass(frozen=True)
@@ -29,8 +36,9 @@ class EntitySpec:
     @property
     def typed_schema(self) -> T.StructType:
         """Declared types, used when a CSV extract is read typed instead of raw."""
-        ddl = ", ".join(f"`{c}` {self.casts.get(c, 'string')}" for c in self.columns)
-        return T.StructType.fromDDL(ddl)
+        return T.StructType([
+            T.StructField(c, _TYPES[self.casts.get(c, "string")]) for c in self.columns
+        ])
 
 
 # Entity columns, keys, topics and table names.

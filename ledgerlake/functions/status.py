@@ -14,6 +14,14 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def nth(position: Column, options: Sequence[str | Column]) -> Column:
+    """The option at a 1-based position, NULL for NULL (``element_at`` in ANSI mode gives the last)."""
+    chosen = F
+    for number, option in enumerate(options, start=1):
+        chosen = chosen.when(position == number, F.lit(option) if isinstance(option, str) else option)
+    return chosen
+
+
 def severity_rank(c: Column | str, order: Sequence[str] = SEVERITY_ORDER) -> Column:
     """1 for the mildest status; NULL for an unknown one, so that it sorts last."""
     c = _col(c)
@@ -28,15 +36,15 @@ def worst_status(
 ) -> Column:
     """Most severe status of a group (aggregate); ``by="lexical"`` takes the largest text instead.
 
-    Unknown statuses count as milder than all known ones.
+    Statuses outside ``order`` are passed over.  The aggregate is the largest rank, not the largest
+    text: Spark can update numbers in place and so hashes the groups, while text makes it sort them.
     """
     c = _col(c)
     if by == "lexical":
         return F.max(c)
     if by != "severity":
         raise ValueError(f"by must be 'severity' or 'lexical', not {by!r}")
-    ranked = F.struct(F.coalesce(severity_rank(c, order), F.lit(0)).alias("rank"), c.alias("status"))
-    return F.max(F.when(c.isNotNull(), ranked)).getField("status")
+    return nth(F.max(severity_rank(c, order)), order)
 
 
 def provision_pct(c: Column | str, table: Mapping[str, Decimal] = PROVISION_PCT) -> Column:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..functions.status import nth
 from ..rules import (
     ALERT_KINDS, ALERT_PRIORITIES, ALERT_SCORE_RANGE, ALERT_STATUSES, DEFAULT_RULES, Rules,
 )
@@ -18,13 +19,9 @@ def override_cash_status(transactions: DataFrame, rules: Rules = DEFAULT_RULES)
 
 
 def _pick(key: Column, place: int, size: int) -> Column:
-    """A repeatable number below ``size`` from four hexadecimal digits of the key's MD5."""
+    """A repeatable number from 1 to ``size`` out of four hexadecimal digits of the key's MD5."""
     digits = F.substring(F.md5(key), 1 + 4 * place, 4)
-    return (F.conv(digits, 16, 10).cast("int") % size).cast("int")
-
-
-def _choose(index: Column, options: tuple) -> Column:
-    return F.element_at(F.array(*[F.lit(o) for o in options]), index + 1)
+    return (F.conv(digits, 16, 10).cast("int") % size + 1).cast("int")
 
 
 def derive_alerts(transactions: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
@@ -46,13 +43,13 @@ def derive_alerts(transactions: DataFrame, rules: Rules = DEFAULT_RULES) -> Data
         F.concat(F.lit("AML"), F.date_format("txn_date", "yyyyMMdd"), F.lit("-"), key).alias("alert_id"),
         "customer_id",
         F.col("txn_date").alias("alert_date"),
-        _choose(kind, tuple(k for k, _, _ in ALERT_KINDS)).alias("alert_type"),
-        (F.lit(low) + _pick(key, 1, high - low + 1)).alias("risk_score"),
-        _choose(kind, tuple(r for _, r, _ in ALERT_KINDS)).alias("rule_triggered"),
+        nth(kind, [k for k, _, _ in ALERT_KINDS]).alias("alert_type"),
+        (_pick(key, 1, high - low + 1) + (low - 1)).alias("risk_score"),
+        nth(kind, [r for _, r, _ in ALERT_KINDS]).alias("rule_triggered"),
         key.alias("transaction_ids"),
         F.col("amount").alias("total_amount"),
         F.lit("INR").alias("currency"),
-        F.element_at(F.array(*descriptions), kind + 1).alias("description"),
-        _choose(_pick(key, 2, len(ALERT_STATUSES)), ALERT_STATUSES).alias("status"),
-        _choose(_pick(key, 3, len(ALERT_PRIORITIES)), ALERT_PRIORITIES).alias("priority"),
+        nth(kind, descriptions).alias("description"),
+        nth(_pick(key, 2, len(ALERT_STATUSES)), ALERT_STATUSES).alias("status"),
+        nth(_pick(key, 3, len(ALERT_PRIORITIES)), ALERT_PRIORITIES).alias("priority"),
     )

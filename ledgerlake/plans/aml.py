@@ -37,30 +37,26 @@ def structuring(
     spread over several rows told apart by ``ids_part``, each repeating the customer's totals.  So no
     task ever holds all ids of a customer who owns a third of the table, and none are left out.
     """
-    flagged = transactions.filter("is_flagged").select("customer_id", "txn_id", "amount")
+    flagged = transactions.filter("is_flagged")
     totals = (
         flagged.groupBy("customer_id")
         .agg(F.count("*").alias("flagged_count"), F.sum("amount").alias("total_flagged_amount"))
         .filter(F.col("flagged_count") >= rules.structuring_min)
     )
-    parts = totals.select(
-        "customer_id", F.ceil(F.col("flagged_count") / ids_per_row).cast("bigint").alias("parts")
-    )
+    parts = F.ceil(F.col("flagged_count") / ids_per_row)
+    part = F.pmod(F.xxhash64("txn_id"), parts.cast("bigint")).cast("int")
     # The explicit repartition keeps Spark from grouping on the join's customer partitioning, which
     # would bring all parts of one customer back into one task.
-    ids = (
-        flagged.join(parts, "customer_id")
-        .select(
-            "customer_id", "txn_id",
-            F.pmod(F.xxhash64("txn_id"), F.col("parts")).cast("int").alias("ids_part"),
-        )
+    listed = (
+        flagged.select("customer_id", "txn_id")
+        .join(totals, "customer_id")
+        .withColumn("ids_part", part)
         .repartition("customer_id", "ids_part")
-        .groupBy("customer_id", "ids_part")
+        .groupBy("customer_id", "ids_part", "flagged_count", "total_flagged_amount")
         .agg(F.sort_array(F.collect_list("txn_id")).alias("flagged_txn_ids"))
     )
     return (
-        totals.join(customers.select("customer_id", "name", "risk_category"), "customer_id")
-        .join(ids, "customer_id")
+        listed.join(customers.select("customer_id", "name", "risk_category"), "customer_id")
         .select(
             "customer_id", "name", "risk_category", "flagged_count", "total_flagged_amount",
             "ids_part", "flagged_txn_ids",

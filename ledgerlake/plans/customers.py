@@ -38,7 +38,8 @@ def high_risk_customers(
 
     Customers with and without loans are handled apart.  The first join is then an inner one, which
     AQE can split on either side when one customer owns a large part of the loans; the right side of
-    a left join cannot be split.  Both halves read the same shuffled inputs.
+    a left join cannot be split.  Both halves read the same shuffled inputs.  Positions are made
+    distinct before the join and not after it, since grouping its output would keep AQE from splitting.
     """
     flagged = (
         transactions.filter("is_flagged").groupBy("customer_id").agg(F.count("*").alias("flagged_txns"))
@@ -51,7 +52,8 @@ def high_risk_customers(
         F.col("outstanding_principal").alias("loan_outstanding"),
     ).distinct()
     known = (
-        customers.select("customer_id", "name", "risk_category", "kyc_status")
+        customers.filter(F.col("customer_id").isNotNull())
+        .select("customer_id", "name", "risk_category", "kyc_status")
         .join(scores, "customer_id", "left")
         .join(flagged, "customer_id", "left")
         .withColumn("flagged_txns", F.coalesce("flagged_txns", F.lit(0).cast("bigint")))

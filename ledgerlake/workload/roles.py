@@ -42,7 +42,6 @@ def _event_status() -> Column:
 def silver_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``events`` as silver transactions."""
     events = load(spark, sf_dir, "events")
-    status = _event_status()
     return events.select(
         F.col("event_id").alias("txn_id"),
         F.concat(F.lit("ACCT"), _text("user_id")).alias("account_id"),
@@ -53,10 +52,10 @@ def silver_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         _branch(F.get_json_object("props", "$.k").cast("int")).alias("branch_code"),
         _choice(F.col("event_id") % 6, CHANNELS).alias("channel"),
         F.concat(F.lit("REF "), _text("event_id")).alias("narration"),
-        status.alias("status"),
+        _event_status().alias("status"),
         F.date_format("ts", "yyyy-MM").alias("txn_month"),
         F.hour("ts").alias("txn_hour"),
-        (status == "FLAGGED").alias("is_flagged"),
+        (F.col("event_type") == "error").alias("is_flagged"),
     )
 
 
@@ -176,8 +175,10 @@ def _loan_lines(spark: SparkSession, sf_dir: str, customer: bool, collateral: bo
 
 def _loan_columns() -> dict[str, Column]:
     """Typed loan columns, shared by the silver role and (as text) by the bronze roles."""
-    principal = F.col("l_extendedprice").cast(MONEY)
+    # Narrow decimals keep the products below 19 digits, which Spark computes on longs.
+    principal = F.col("l_extendedprice").cast("decimal(9,2)")
     rate = (F.col("l_tax") * 100).cast("decimal(5,2)")
+    percent = F.lit("0.01").cast("decimal(2,2)")
     return {
         "loan_id": F.concat(_text("l_orderkey"), F.lit("-"), _text("l_linenumber")),
         "customer_id": F.col("o_custkey"),
@@ -185,8 +186,8 @@ def _loan_columns() -> dict[str, Column]:
         "loan_type": _choice(F.col("l_linenumber") % 4, LOAN_TYPES),
         "branch_code": _branch(F.col("l_suppkey")),
         "sanctioned_amount": (principal * F.lit("1.25").cast("decimal(3,2)")).cast(MONEY),
-        "outstanding_principal": principal,
-        "outstanding_interest": (principal * rate / 100).cast(MONEY),
+        "outstanding_principal": principal.cast(MONEY),
+        "outstanding_interest": (principal * rate * percent).cast(MONEY),
         "dpd": (F.col("l_quantity") * 4 - 4).cast("int"),
         "npa_status": _npa_status(),
         "interest_rate": rate,
@@ -217,7 +218,8 @@ def bronze_npa_report(
     """``lineitem`` as raw NPA report lines; loan ids repeat."""
     c = _loan_columns()
     nothing = F.lit(None).cast("string")
-    total = c["outstanding_principal"] + c["outstanding_interest"]
+    total = (c["outstanding_principal"] + c["outstanding_interest"]).cast("decimal(9,2)")
+    provision = total * c["interest_rate"] * F.lit("0.01").cast("decimal(2,2)")
     dirty = F.when(F.col("l_partkey") % 53 == 0, "N/A").otherwise(_text(c["outstanding_principal"]))
     status = c["npa_status"]
     messy = F.when(F.col("l_partkey") % 9 == 0, F.concat(F.lower(status), F.lit(" "))).otherwise(status)
@@ -237,7 +239,7 @@ def bronze_npa_report(
         messy.alias("npa_status"),
         F.when(status == "NPA", F.date_format("l_shipdate", "yyyy-MM-dd")).otherwise("").alias("npa_date"),
         _text(c["interest_rate"]).alias("provision_required_pct"),
-        _text((total * c["interest_rate"] / 100).cast(MONEY)).alias("provision_amount"),
+        _text(provision.cast(MONEY)).alias("provision_amount"),
         c["collateral_type"].alias("collateral_type"),
         F.coalesce(_text(c["collateral_value"]), F.lit("")).alias("collateral_value"),
         *[nothing.alias(name) for name in (

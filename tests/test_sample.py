@@ -1,0 +1,133 @@
+"""Known results on a sample of extract files, where ``LEDGERLAKE_SAMPLES`` names a folder of them.
+
+Files are found below that folder by their table name, ``<bronze table>.csv``.
+"""
+
+import os
+from decimal import Decimal as D
+
+import pytest
+
+from ledgerlake import operators as op
+from ledgerlake.plans import aml, customers, npa, transactions
+from ledgerlake.sources import read_extract
+from ledgerlake.specs import AML_ALERTS, BUREAU, CUSTOMERS, LMS_LOANS, NPA_REPORT, TRANSACTIONS
+
+SAMPLES = os.environ.get("LEDGERLAKE_SAMPLES")
+pytestmark = pytest.mark.skipif(not SAMPLES, reason="LEDGERLAKE_SAMPLES not set")
+
+
+@pytest.fixture(scope="module")
+def raw(spark):
+    def read(spec):
+        files = read_extract(
+            spark, spec, SAMPLES, recursive=True, name_filter=f"{spec.bronze_table}.csv", blank_as_text=True
+        )
+        return files.distinct()  # the folder may hold copies of one extract
+
+    return {s.name: read(s).cache() for s in (TRANSACTIONS, CUSTOMERS, AML_ALERTS, BUREAU, NPA_REPORT, LMS_LOANS)}
+
+
+@pytest.fixture(scope="module")
+def silver(raw):
+    return {
+        "txn": op.silver_transactions(raw["transactions"]).cache(),
+        "cust": op.silver_customers(raw["customers"]).cache(),
+        "npa": op.silver_loans(raw["npa_report"]).cache(),
+        "lms": op.silver_loans(raw["lms_loans"], "lms").cache(),
+        "bureau": op.silver_bureau(raw["bureau"]).cache(),
+    }
+
+
+def table(df, *columns):
+    return [tuple(r) for r in df.select(*columns).collect()]
+
+
+def test_transactions(silver):
+    txn = silver["txn"]
+    assert (txn.count(), txn.filter("is_high_value").count(), txn.filter("is_flagged").count()) == (50, 11, 6)
+
+
+def test_channels(silver, raw):
+    share = {r["channel"]: (r["txn_count"], r["total_amount"], r["pct_of_total"])
+             for r in transactions.channel_share(silver["txn"]).collect()}
+    assert share == {
+        "RTGS": (8, D("3300000.00"), D("16.00")), "NEFT": (26, D("2225000.00"), D("52.00")),
+        "CASH": (2, D("1200000.00"), D("4.00")), "UPI": (10, D("59300.00"), D("20.00")),
+        "ATM": (2, D("25000.00"), D("4.00")), "POS": (2, D("13000.00"), D("4.00")),
+    }
+    assert table(transactions.channel_distribution_raw(raw["transactions"]), "channel", "avg_amount", "unique_customers") == [
+        ("RTGS", D("412500.00"), 4), ("NEFT", D("85576.92"), 17), ("CASH", D("600000.00"), 1),
+        ("UPI", D("5930.00"), 7), ("ATM", D("12500.00"), 2), ("POS", D("6500.00"), 2),
+    ]
+
+
+def test_branches_and_hours(silver):
+    assert table(transactions.branch_summary(silver["txn"]), "branch_code", "txn_type", "txn_count", "total_amount",
+                 "max_amount", "unique_customers") == [
+        ("BR001", "CREDIT", 12, D("4010000.00"), D("1000000.00"), 9),
+        ("BR001", "DEBIT", 14, D("1862300.00"), D("500000.00"), 9),
+        ("BR002", "CREDIT", 6, D("435000.00"), D("125000.00"), 6),
+        ("BR003", "CREDIT", 3, D("225000.00"), D("150000.00"), 3),
+        ("BR002", "DEBIT", 9, D("176500.00"), D("50000.00"), 7),
+        ("BR003", "DEBIT", 6, D("113500.00"), D("75000.00"), 5),
+    ]
+    assert table(transactions.hourly_pattern(silver["txn"]), "txn_hour", "txn_count", "total_amount") == [
+        (9, 12, D("2302000.00")), (10, 12, D("1776000.00")), (11, 12, D("1262500.00")),
+        (12, 12, D("936800.00")), (13, 2, D("545000.00")),
+    ]
+
+
+def test_aml(silver, raw):
+    assert aml.high_value_cash(silver["txn"], silver["cust"]).count() == 0
+    (row,) = aml.structuring(silver["txn"], silver["cust"]).collect()
+    assert (row["customer_id"], row["flagged_count"], row["total_flagged_amount"]) == ("CUST000004", 6, D("3200000.00"))
+    assert [i[-3:] for i in row["flagged_txn_ids"]] == ["005", "012", "018", "025", "037", "050"]
+    assert table(aml.open_alerts(raw["aml_alerts"]), "alert_id", "risk_score") == [
+        ("AML20260007", 95), ("AML20260001", 92), ("AML20260010", 90), ("AML20260002", 88), ("AML20260003", 85),
+    ]
+
+
+def test_npa(silver):
+    columns = ("npa_status", "account_count", "total_outstanding", "total_sanctioned", "avg_rate", "avg_dpd")
+    assert table(npa.npa_regulatory(silver["lms"]), *columns) == [
+        ("STANDARD", 10, D("25680000.00"), D("27400000.00"), D("8.70"), 0),
+        ("SMA-1", 2, D("630000.00"), D("900000.00"), D("12.25"), 39),
+        ("SMA-2", 1, D("12000000.00"), D("15000000.00"), D("11.00"), 62),
+        ("NPA", 2, D("9500000.00"), D("12000000.00"), D("10.00"), 140),
+    ]
+    assert [r[0] for r in table(npa.npa_regulatory(silver["npa"]), "avg_rate")] == [
+        D("0.40"), D("5.00"), D("15.00"), D("20.00"),
+    ]
+    assert table(npa.provision_requirement(silver["npa"], with_reported=True), "npa_status", "provision_amount",
+                 "reported_provision") == [
+        ("STANDARD", D("102720.00"), D("103459.58")), ("SMA-1", D("31500.00"), D("31833.35")),
+        ("SMA-2", D("1800000.00"), D("1815000.00")), ("NPA", D("2375000.00"), D("1588125.05")),
+    ]
+    assert table(npa.approaching_npa(silver["lms"]), "loan_id", "dpd") == [
+        ("LN20260007", 62), ("LN20260002", 45), ("LN20260012", 32),
+    ]
+    ltv = {loan[-3:]: value for loan, value in table(silver["lms"], "loan_id", "ltv_ratio")}
+    assert {k: str(v) for k, v in ltv.items() if v is not None} == {
+        "001": "60.00", "003": "53.33", "004": "64.29", "005": "92.31", "006": "60.00", "007": "60.00",
+        "009": "46.67", "011": "60.00", "013": "70.00", "014": "105.00", "015": "42.86",
+    }
+
+
+def test_customers(silver, raw):
+    assert table(customers.low_scores(raw["bureau"]), "customer_id", "cibil_score") == [
+        ("CUST000007", 490), ("CUST000004", 520), ("CUST000003", 580),
+    ]
+    risk = customers.high_risk_customers(silver["cust"], silver["bureau"], silver["npa"], silver["txn"])
+    assert table(risk, "customer_id", "cibil_score", "worst_loan_status", "max_dpd", "flagged_txns") == [
+        ("CUST000007", 490, "NPA", 185, 0), ("CUST000004", 520, "STANDARD", 0, 6),
+        ("CUST000003", 580, "NPA", 95, 0), ("CUST000010", 615, "SMA-2", 62, 0),
+    ]
+    view = op.customer_360(silver["cust"], silver["txn"], silver["npa"])
+    assert view.count() == 20
+    assert view.filter("total_txns IS NOT NULL").count() == 20 and view.filter("total_loans IS NOT NULL").count() == 15
+
+
+def test_gold_sizes(silver):
+    assert op.branch_txn_summary(silver["txn"]).count() == 15
+    assert op.npa_classification_summary(silver["npa"]).count() == 14

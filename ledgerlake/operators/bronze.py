@@ -36,7 +36,7 @@ def unseen(messages: DataFrame, bronze: DataFrame, method: str = "exact") -> Dat
 
     ``exact`` compares (topic, partition, offset) one by one.  ``high_water`` keeps what lies above
     the highest offset stored per partition; it needs no shuffle of the messages, since that side has
-    one row per topic partition, but holds only where offsets were ingested without gaps, as every
+    one row per topic partition however much they hold and is broadcast, but it is right only where offsets were ingested without gaps, as every
     read from the start of a topic does.
     """
     if method == "exact":
@@ -44,7 +44,7 @@ def unseen(messages: DataFrame, bronze: DataFrame, method: str = "exact") -> Dat
     if method != "high_water":
         raise ValueError(f"method must be 'exact' or 'high_water', not {method!r}")
     marks = bronze.groupBy("kafka_topic", "kafka_partition").agg(F.max("kafka_offset").alias("_mark"))
-    joined = messages.join(marks, ["kafka_topic", "kafka_partition"], "left")
+    joined = messages.join(F.broadcast(marks), ["kafka_topic", "kafka_partition"], "left")
     fresh = joined.filter(F.col("_mark").isNull() | (F.col("kafka_offset") > F.col("_mark")))
     return fresh.select(*messages.columns)
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions.casting import strict_int, to_money
 from ..functions.text import blank_to_null, normalised
+from ..operators.skew import HEAVY_ROWS, SALT, copy_per_salt, heavy_keys, salt_rows
 from ..operators.topk import top_k
 from ..rules import DEFAULT_RULES, Rules
 
@@ -30,6 +31,7 @@ def structuring(
     customers: DataFrame,
     rules: Rules = DEFAULT_RULES,
     ids_per_row: int = 10_000,
+    heavy_rows: int = HEAVY_ROWS,
 ) -> DataFrame:
     """Customers with several flagged transactions, with the ids of those.
 
@@ -37,20 +39,20 @@ def structuring(
     spread over several rows told apart by ``ids_part``, each repeating the customer's totals.  So no
     task ever holds all ids of a customer who owns a third of the table, and none are left out.
     """
-    flagged = transactions.filter("is_flagged")
+    flagged = transactions.filter("is_flagged").select("customer_id", "txn_id", "amount")
     totals = (
         flagged.groupBy("customer_id")
         .agg(F.count("*").alias("flagged_count"), F.sum("amount").alias("total_flagged_amount"))
         .filter(F.col("flagged_count") >= rules.structuring_min)
     )
-    parts = F.ceil(F.col("flagged_count") / ids_per_row)
-    part = F.pmod(F.xxhash64("txn_id"), parts.cast("bigint")).cast("int")
-    # The explicit repartition keeps Spark from grouping on the join's customer partitioning, which
-    # would bring all parts of one customer back into one task.
+    everything = flagged.agg(F.count("*")).scalar()
+    heavy = heavy_keys(totals, "customer_id", "flagged_count", everything, heavy_rows)
+    ids = salt_rows(flagged.select("customer_id", "txn_id"), heavy, "customer_id", ["txn_id"])
+    parts = F.ceil(F.col("flagged_count") / ids_per_row).cast("bigint")
+    # The explicit repartition keeps Spark from grouping on the join's partitioning.
     listed = (
-        flagged.select("customer_id", "txn_id")
-        .join(totals, "customer_id")
-        .withColumn("ids_part", part)
+        ids.join(copy_per_salt(totals, heavy, "customer_id"), ["customer_id", SALT])
+        .withColumn("ids_part", F.pmod(F.xxhash64("txn_id"), parts).cast("int"))
         .repartition("customer_id", "ids_part")
         .groupBy("customer_id", "ids_part", "flagged_count", "total_flagged_amount")
         .agg(F.sort_array(F.collect_list("txn_id")).alias("flagged_txn_ids"))

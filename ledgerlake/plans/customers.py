@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.casting import strict_int, to_money
+from ..operators.skew import HEAVY_ROWS, SALT, copy_per_salt, heavy_keys, salt_rows
 from ..operators.topk import top_k
 from ..rules import DEFAULT_RULES, Rules
 
@@ -29,6 +30,7 @@ def high_risk_customers(
     loans: DataFrame,
     transactions: DataFrame,
     rules: Rules = DEFAULT_RULES,
+    heavy_rows: int = HEAVY_ROWS,
 ) -> DataFrame:
     """Customers with a low score, a risky loan or flagged transactions.
 
@@ -36,49 +38,37 @@ def high_risk_customers(
     customer and transaction ids are unique: transactions are counted per customer before they meet
     the loans, so nothing fans out, and the counts equal those of distinct ids.
 
-    Customers with and without loans are handled apart.  The first join is then an inner one, which
-    AQE can split on either side when one customer owns a large part of the loans; the right side of
-    a left join cannot be split.  Both halves read the same shuffled inputs.  Positions are made
-    distinct before the join and not after it, since grouping its output would keep AQE from splitting.
+    Loan positions of customers who own a large part of all loans are spread over salts; copies of a
+    borrower that meet no position on their salt are dropped again.
     """
-    flagged = (
-        transactions.filter("is_flagged").groupBy("customer_id").agg(F.count("*").alias("flagged_txns"))
-    )
-    scores = bureau.select("customer_id", "cibil_score").distinct()
+    key = "customer_id"
+    flagged = transactions.filter("is_flagged").groupBy(key).agg(F.count("*").alias("flagged_txns"))
+    scores = bureau.select(key, "cibil_score").distinct()
+    borrowers = loans.groupBy(key).agg(F.count("*").alias("_loans"))
+    heavy = heavy_keys(borrowers, key, "_loans", loans.agg(F.count("*")).scalar(), heavy_rows)
+    position = ["worst_loan_status", "max_dpd", "loan_outstanding"]
     positions = loans.select(
-        "customer_id",
+        key,
         F.col("npa_status").alias("worst_loan_status"),
         F.col("dpd").alias("max_dpd"),
         F.col("outstanding_principal").alias("loan_outstanding"),
-    ).distinct()
+    ).distinct().withColumn("_found", F.lit(True))
     known = (
-        customers.filter(F.col("customer_id").isNotNull())
-        .select("customer_id", "name", "risk_category", "kyc_status")
-        .join(scores, "customer_id", "left")
-        .join(flagged, "customer_id", "left")
+        customers.select(key, "name", "risk_category", "kyc_status")
+        .join(scores, key, "left")
+        .join(flagged, key, "left")
+        .join(borrowers, key, "left")
         .withColumn("flagged_txns", F.coalesce("flagged_txns", F.lit(0).cast("bigint")))
     )
-    low_or_flagged = (F.col("cibil_score") < rules.low_score_below) | (F.col("flagged_txns") > 0)
-    risky_loan = F.col("worst_loan_status").isin(*rules.risk_statuses)
-
-    borrowers = known.join(positions, "customer_id").filter(low_or_flagged | risky_loan)
-    no_position = [
-        F.lit(None).cast(positions.schema[c].dataType).alias(c)
-        for c in ("worst_loan_status", "max_dpd", "loan_outstanding")
-    ]
-    others = (
-        known.filter(low_or_flagged)
-        .join(loans.select("customer_id").distinct(), "customer_id", "left_anti")
-        .select("*", *no_position)
+    at_risk = (
+        (F.col("cibil_score") < rules.low_score_below)
+        | F.col("worst_loan_status").isin(*rules.risk_statuses)
+        | (F.col("flagged_txns") > 0)
     )
     return (
-        borrowers.unionByName(others)
-        .select(
-            "customer_id", "name", "risk_category", "kyc_status", "cibil_score",
-            "worst_loan_status", "max_dpd", "loan_outstanding", "flagged_txns",
-        )
-        .orderBy(
-            F.col("cibil_score").asc_nulls_last(), "customer_id", "worst_loan_status", "max_dpd",
-            "loan_outstanding",
-        )
+        copy_per_salt(known, heavy, key)
+        .join(salt_rows(positions, heavy, key, position), [key, SALT], "left")
+        .filter((F.col("_found") | F.col("_loans").isNull()) & at_risk)
+        .select(key, "name", "risk_category", "kyc_status", "cibil_score", *position, "flagged_txns")
+        .orderBy(F.col("cibil_score").asc_nulls_last(), key, *position)
     )

@@ -78,9 +78,3 @@ def test_only_needed_columns_are_read(spark):
 
 def test_loans_are_joined_only_where_needed(spark):
     assert "Join" not in plan_of(roles.silver_loans(spark, SF))
-
-
-def test_high_risk_reuses_its_shuffles(spark, no_broadcast):
-    df = QUERIES["high_risk_customers"](spark, SF)
-    df.collect()
-    assert plan_of(df).split("Initial Plan")[0].count("ReusedExchange") >= 3

@@ -4,6 +4,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
+from ledgerlake.operators.skew import heavy_keys
 from ledgerlake.plans import aml, counts, customers, npa, transactions
 from ledgerlake.rules import Rules
 from ledgerlake.specs import AML_ALERTS, BUREAU, CUSTOMERS, NPA_REPORT, TRANSACTIONS
@@ -84,7 +85,8 @@ def test_structuring(spark, people):
 
 def test_structuring_spreads_a_hot_customer(spark, people):
     df = silver(spark, *[{"f": True, "c": "C1" if i % 3 else "C2"} for i in range(900)])
-    got = aml.structuring(df, people, ids_per_row=50).collect()
+    got = aml.structuring(df, people, ids_per_row=50, heavy_rows=400).collect()
+    assert [tuple(r) for r in aml.structuring(df, people, ids_per_row=50).collect()] == [tuple(r) for r in got]
     for who, total in (("C1", 600), ("C2", 300)):
         mine = [r for r in got if r["customer_id"] == who]
         ids = [i for r in mine for i in r["flagged_txn_ids"]]
@@ -171,6 +173,41 @@ def test_high_risk_customers(spark, people):
     ]
 
 
+def test_high_risk_is_the_same_with_and_without_salting(spark):
+    n = spark.range(6_000)
+    who = F.when(F.col("id") % 3 == 0, "C1").otherwise(F.concat(F.lit("C"), (F.col("id") % 97).cast("string")))
+    loans = n.select(
+        who.alias("customer_id"), F.when(F.col("id") % 5 == 0, "NPA").otherwise("STANDARD").alias("npa_status"),
+        (F.col("id") % 7).cast("int").alias("dpd"), (F.col("id") % 1500).cast("decimal(18,2)").alias("outstanding_principal"),
+    )
+    everyone = spark.range(150).select(
+        F.concat(F.lit("C"), F.col("id").cast("string")).alias("customer_id"), F.lit("N").alias("name"),
+        F.lit("LOW").alias("risk_category"), F.lit("OK").alias("kyc_status"),
+    )
+    bureau = everyone.select("customer_id", (F.crc32("customer_id") % 400 + 450).cast("int").alias("cibil_score"))
+    flagged = silver(spark, {"c": "C1", "f": True}, {"c": "C120", "f": True}, {"c": "C2"})
+    results = [
+        {tuple(r) for r in customers.high_risk_customers(everyone, bureau, loans, flagged, heavy_rows=limit).collect()}
+        for limit in (100, 1_000_000)
+    ]
+    assert results[0] == results[1]
+    assert {r[0] for r in results[0] if r[5] is None} >= {"C120"}
+    assert any(r[0] == "C1" and r[5] == "STANDARD" for r in results[0])
+    expected = everyone.join(bureau, "customer_id", "left").join(loans, "customer_id", "left").join(
+        flagged.filter("is_flagged").select("customer_id", "txn_id"), "customer_id", "left"
+    ).groupBy("customer_id", "cibil_score", "npa_status", "dpd", "outstanding_principal").agg(
+        F.count_distinct("txn_id").alias("f")
+    ).filter("cibil_score < 600 OR npa_status IN ('NPA', 'SMA-2') OR f > 0")
+    assert {(r[0], r[4], r[5], r[6], r[7], r[8]) for r in results[0]} == {tuple(r) for r in expected.collect()}
+
+
+def test_heavy_keys_are_few(spark):
+    counts_ = spark.createDataFrame([("a", 40), ("b", 35), ("c", 25)], "k string, n bigint")
+    total = counts_.agg(F.sum("n")).scalar()
+    assert [r["k"] for r in heavy_keys(counts_, "k", "n", total, at_least=1, share=0.3).orderBy("k").collect()] == ["a", "b"]
+    assert heavy_keys(counts_, "k", "n", total, share=0.3).count() == 0
+
+
 def test_counts_and_freshness(spark):
     bronze = rows(spark, TRANSACTIONS, *[
         txn(i, kafka_topic="t", kafka_timestamp=datetime(2026, 4, 14, i), _ingestion_ts=datetime(2026, 4, 15)) for i in (3, 1, 2)

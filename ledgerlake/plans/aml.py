@@ -45,7 +45,7 @@ def structuring(
         .agg(F.count("*").alias("flagged_count"), F.sum("amount").alias("total_flagged_amount"))
         .filter(F.col("flagged_count") >= rules.structuring_min)
     )
-    everything = flagged.agg(F.count("*")).scalar()
+    everything = totals.agg(F.sum("flagged_count")).scalar()
     heavy = heavy_keys(totals, "customer_id", "flagged_count", everything, heavy_rows)
     ids = salt_rows(flagged.select("customer_id", "txn_id"), heavy, "customer_id", ["txn_id"])
     parts = F.ceil(F.col("flagged_count") / ids_per_row).cast("bigint")

@@ -45,7 +45,7 @@ def high_risk_customers(
     flagged = transactions.filter("is_flagged").groupBy(key).agg(F.count("*").alias("flagged_txns"))
     scores = bureau.select(key, "cibil_score").distinct()
     borrowers = loans.groupBy(key).agg(F.count("*").alias("_loans"))
-    heavy = heavy_keys(borrowers, key, "_loans", loans.agg(F.count("*")).scalar(), heavy_rows)
+    heavy = heavy_keys(borrowers, key, "_loans", borrowers.agg(F.sum("_loans")).scalar(), heavy_rows)
     position = ["worst_loan_status", "max_dpd", "loan_outstanding"]
     positions = loans.select(
         key,

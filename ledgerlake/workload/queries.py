@@ -13,16 +13,16 @@ from dataclasses import replace
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from .. import operators as op
-from ..plans import aml, counts, customers, metadata, npa, quality, transactions
+from ..plans import aml, counts, customers, metadata, npa, pipeline, quality, transactions
 from ..rules import DEFAULT_RULES
 from ..session import scratch_dir
 from ..sinks import (
-    create_namespace, publish, publish_history, to_envelopes, write_envelopes, write_extract,
+    append, create_namespace, publish, publish_history, to_envelopes, write_envelopes, write_extract,
     write_json_lines,
 )
 from ..sources import read_as_of, read_envelopes, read_extract, stream_envelopes
 from ..sources.tables import run_table
-from ..specs import AML_ALERTS, CUSTOMERS, TRANSACTIONS
+from ..specs import AML_ALERTS, BUREAU, CUSTOMERS, NPA_REPORT, TRANSACTIONS
 from ..streaming import deduplicated, ingest_stream
 from . import roles
 
@@ -32,6 +32,7 @@ QUERIES: dict[str, Query] = {}
 # Amounts of the stand-in transactions end at about half a million, so the cash thresholds are lower.
 RULES = replace(DEFAULT_RULES, cash_report_min=250_000, override_cash_above=200_000)
 MONTH = "1997-05"
+LAYERS = ("bronze", "silver", "gold")
 
 
 def comparable(df: DataFrame) -> DataFrame:
@@ -456,6 +457,27 @@ def read_as_of_run(spark, sf_dir):
     return totals[0].unionByName(totals[1])
 
 
+@query
+def pipeline_layer_counts(spark, sf_dir):
+    """Bronze tables written, silver and gold built and published from them, every table counted."""
+    namespace, _ = _namespace(spark, "pipeline")
+    names = pipeline.Namespaces(*[f"{namespace}_{layer}" for layer in LAYERS])
+    create_namespace(spark, names.bronze, scratch_dir(spark, "pipeline_bronze"))
+    create_namespace(spark, names.silver, scratch_dir(spark, "pipeline_silver"))
+    create_namespace(spark, names.gold, scratch_dir(spark, "pipeline_gold"))
+    for spec, df in (
+        (TRANSACTIONS, roles.bronze_transactions(spark, sf_dir)),
+        (CUSTOMERS, roles.bronze_customers(spark, sf_dir)),
+        (NPA_REPORT, roles.bronze_npa_report(spark, sf_dir, customer=True, collateral=True)),
+        (BUREAU, roles.bronze_bureau(spark, sf_dir)),
+        (AML_ALERTS, roles.bronze_aml_alerts(spark, sf_dir)),
+    ):
+        append(df, f"{names.bronze}.{spec.bronze_table}")
+    pipeline.build_layers(spark, names)
+    counted = quality.layer_counts(spark, (names.bronze, names.silver, names.gold))
+    return counted.withColumn("layer", F.substring_index("layer", "_", -1))
+
+
 # --- alerts ---------------------------------------------------------------------------------------
 
 @query

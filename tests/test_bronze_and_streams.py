@@ -140,6 +140,15 @@ def test_stream_deduplication(spark, namespace, tmp_path):
     assert deduplicated(stream, "key", "timestamp", "1 hour").isStreaming
 
 
+def test_parsed_stream_to_another_sink(spark, tmp_path):
+    messages = str(tmp_path / "messages")
+    envelopes(spark, txn(1), txn(2)).write.parquet(messages)
+    parsed = op.parse_envelopes(stream_envelopes(spark, TOPIC, fmt="parquet", path=messages), TRANSACTIONS)
+    query = parsed.writeStream.format("memory").queryName("shown").trigger(availableNow=True).start()
+    query.awaitTermination()
+    assert spark.table("shown").count() == 2
+
+
 def test_envelope_files_round_trip(spark, tmp_path):
     path = str(tmp_path / "envelopes")
     df = rows(spark, CUSTOMERS, {"customer_id": "C1", "name": 'A "quoted", name'}, {"customer_id": "C2", "email": ""})

@@ -23,9 +23,18 @@ DEFAULTS = {
 }
 
 
-def shuffle_partitions(input_bytes: int, target_bytes: int = 128 << 20, at_least: int = 200) -> int:
-    """Initial shuffle partitions for an input: about one per ``target_bytes`` (100 TB -> 819,200)."""
-    return max(at_least, -(-input_bytes // target_bytes))
+def shuffle_partitions(input_bytes: int) -> int:
+    """Initial shuffle partitions for an input: one per 256 MB, from 200 to 50,000.
+
+    AQE merges small ones.  More than 50,000 would make the map output tables on the driver the
+    bottleneck, and shuffles carry pruned columns, not the whole input.
+    """
+    return min(max(200, -(-input_bytes // (256 << 20))), 50_000)
+
+
+def scan_bytes(input_bytes: int) -> int:
+    """Bytes per scan task: 128 MB, growing to 1 GB so that 100 TB take about 100,000 tasks."""
+    return min(max(128 << 20, input_bytes // 100_000), 1 << 30)
 
 
 def build_session(
@@ -34,7 +43,7 @@ def build_session(
     input_bytes: int | None = None,
     **conf: str,
 ) -> SparkSession:
-    """A session with the defaults above; ``conf`` keys use ``__`` for dots or full names via dict."""
+    """A session with the defaults above, sized for an input; ``conf`` names use ``__`` for dots."""
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
@@ -43,6 +52,7 @@ def build_session(
         settings["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] = str(
             shuffle_partitions(input_bytes)
         )
+        settings["spark.sql.files.maxPartitionBytes"] = str(scan_bytes(input_bytes))
     settings.update({k.replace("__", "."): str(v) for k, v in conf.items()})
     for key, value in settings.items():
         builder = builder.config(key, value)

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerlake import operators as op
-from ledgerlake.session import scratch_dir
+from ledgerlake.session import scan_bytes, scratch_dir, shuffle_partitions
 from ledgerlake.sinks import preview, to_envelopes, write_envelopes, write_extract, write_json_lines
 from ledgerlake.sources import ENVELOPE_SCHEMA, read_envelopes, read_extract, stream_envelopes
 from ledgerlake.specs import AML_ALERTS, CUSTOMERS, SPECS, TOPICS, TRANSACTIONS, route
@@ -208,3 +208,9 @@ def test_json_lines(spark, tmp_path):
 def test_scratch_is_below_the_shared_folder(spark):
     base = spark.conf.get("spark.checkpoint.dir")
     assert scratch_dir(spark, "x").startswith(base) and scratch_dir(spark, "x") != scratch_dir(spark, "x")
+
+
+def test_sizing():
+    assert [shuffle_partitions(n) for n in (0, 100 << 30, 100 << 40)] == [200, 400, 50_000]
+    assert [scan_bytes(n) for n in (0, 10 << 40, 200 << 40)] == [128 << 20, 128 << 20, 1 << 30]
+    assert 100_000 <= (100 << 40) / scan_bytes(100 << 40) < 110_000

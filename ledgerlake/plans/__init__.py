@@ -1 +1 @@
-"""Reports and pipelines: functions from layer tables to result DataFrames."""
+"""Reports, checks and the layer build: functions over layer tables."""

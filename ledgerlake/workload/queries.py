@@ -13,7 +13,7 @@ from dataclasses import replace
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from .. import operators as op
-from ..plans import aml, counts, customers, metadata, npa, pipeline, quality, transactions
+from ..plans import aml, counts, customers, medallion, metadata, npa, quality, transactions
 from ..rules import DEFAULT_RULES
 from ..session import scratch_dir
 from ..sinks import (
@@ -458,13 +458,13 @@ def read_as_of_run(spark, sf_dir):
 
 
 @query
-def pipeline_layer_counts(spark, sf_dir):
+def layer_counts(spark, sf_dir):
     """Bronze tables written, silver and gold built and published from them, every table counted."""
-    namespace, _ = _namespace(spark, "pipeline")
-    names = pipeline.Namespaces(*[f"{namespace}_{layer}" for layer in LAYERS])
-    create_namespace(spark, names.bronze, scratch_dir(spark, "pipeline_bronze"))
-    create_namespace(spark, names.silver, scratch_dir(spark, "pipeline_silver"))
-    create_namespace(spark, names.gold, scratch_dir(spark, "pipeline_gold"))
+    namespace, _ = _namespace(spark, "layers")
+    names = medallion.Namespaces(*[f"{namespace}_{layer}" for layer in LAYERS])
+    create_namespace(spark, names.bronze, scratch_dir(spark, "layers_bronze"))
+    create_namespace(spark, names.silver, scratch_dir(spark, "layers_silver"))
+    create_namespace(spark, names.gold, scratch_dir(spark, "layers_gold"))
     for spec, df in (
         (TRANSACTIONS, roles.bronze_transactions(spark, sf_dir)),
         (CUSTOMERS, roles.bronze_customers(spark, sf_dir)),
@@ -473,7 +473,7 @@ def pipeline_layer_counts(spark, sf_dir):
         (AML_ALERTS, roles.bronze_aml_alerts(spark, sf_dir)),
     ):
         append(df, f"{names.bronze}.{spec.bronze_table}")
-    pipeline.build_layers(spark, names)
+    medallion.build_layers(spark, names)
     counted = quality.layer_counts(spark, (names.bronze, names.silver, names.gold))
     return counted.withColumn("layer", F.substring_index("layer", "_", -1))
 

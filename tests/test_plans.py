@@ -30,7 +30,7 @@ def no_broadcast(spark):
 
 WRITING = {
     "bronze_batch_ingest", "bronze_stream_ingest", "stream_dedup", "csv_extract", "publish_envelope", "json_lines",
-    "partition_pruned_total", "partition_profile", "publish_history_log", "read_as_of_run", "pipeline_layer_counts",
+    "partition_pruned_total", "partition_profile", "publish_history_log", "read_as_of_run", "layer_counts",
 }
 
 

@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerlake.plans import metadata, pipeline, quality, sections
+from ledgerlake.plans import medallion, metadata, quality, sections
 from ledgerlake.sinks import append, create_namespace, publish, publish_history, replace
 from ledgerlake.sources import read_as_of, read_table
 from ledgerlake.sources.tables import run_table
@@ -70,7 +70,7 @@ def test_partition_pruning_and_profiles(spark, namespace):
 
 @pytest.fixture
 def layers(spark, namespace):
-    names = pipeline.Namespaces(f"{namespace}_b", f"{namespace}_s", f"{namespace}_g")
+    names = medallion.Namespaces(f"{namespace}_b", f"{namespace}_s", f"{namespace}_g")
     create_namespace(spark, names.bronze)
 
     def bronze(spec, *records):
@@ -83,17 +83,17 @@ def layers(spark, namespace):
     return names, bronze
 
 
-def test_pipeline(spark, layers):
+def test_all_layers(spark, layers):
     names, bronze = layers
     checks = {r["table_name"].split(".")[1]: (r["present"], r["has_rows"])
               for r in quality.required_tables(spark, names.bronze).collect()}
     assert checks == {"finacle_transactions": (True, True), "finacle_customers": (True, True), "npa_report": (True, True)}
 
-    silver_only = pipeline.build_layers(spark, names, skip_gold=True)
+    silver_only = medallion.build_layers(spark, names, skip_gold=True)
     assert [r.table.split(".")[1] for r in silver_only] == ["finacle_transactions", "finacle_customers", "lms_loans"]
     bronze(BUREAU, {"report_id": "R1", "customer_id": "CUST000001", "cibil_score": "500"})
     bronze(AML_ALERTS, {"alert_id": "A1", "customer_id": "CUST000001", "status": "OPEN", "risk_score": "80"})
-    results = {r.table.split(".")[1]: r.rows for r in pipeline.build_layers(spark, names)}
+    results = {r.table.split(".")[1]: r.rows for r in medallion.build_layers(spark, names)}
     assert results == {
         "finacle_transactions": 2, "finacle_customers": 2, "lms_loans": 1, "cibil_bureau": 1, "aml_alerts": 1,
         "branch_txn_summary": 2, "npa_classification_summary": 1, "customer_360": 2,
@@ -124,9 +124,9 @@ def test_pipeline(spark, layers):
 
 
 def test_missing_bronze(spark, namespace):
-    names = pipeline.Namespaces(namespace, f"{namespace}_s", f"{namespace}_g")
+    names = medallion.Namespaces(namespace, f"{namespace}_s", f"{namespace}_g")
     with pytest.raises(ValueError, match="finacle_transactions"):
-        pipeline.build_layers(spark, names)
+        medallion.build_layers(spark, names)
     checks = quality.required_tables(spark, namespace).collect()
     assert {(r["present"], r["has_rows"]) for r in checks} == {(False, False)}
     with pytest.raises(ValueError):

@@ -4,13 +4,34 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import content_sort, line_dedup, quality
+from . import content_sort, line_dedup, mixing, near_dup, packing, quality
+
+PACK_TOKENIZER = "word_bpe_49k.json"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def pack_tokenizer() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(PACK_TOKENIZER)
+
+
+def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_table(spark, sf_dir, "documents"), pack_tokenizer())
+
+
+def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixed_sizes(_table(spark, sf_dir, "documents"))
+
+
+def op6_prob_min_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_dup.near_classes(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "class_id", "class_size", "kept")
+
+
 def op7_content_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     return content_sort.content_classes(_table(spark, sf_dir, "documents"), keep="max")
 
@@ -35,6 +56,9 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_best_fit_packing": op3_best_fit_packing,
+    "op4_source_mixing": op4_source_mixing,
+    "op6_prob_min_hash": op6_prob_min_hash,
     "op7_content_sort": op7_content_sort,
     "op8_line_hashing": op8_line_hashing,
     "op9_line_windows": op9_line_windows,

@@ -106,7 +106,9 @@ def mixture_slots(placed: DataFrame, targets: DataFrame, block: int = BLOCK, sha
         .agg(F.count("*").alias("n"))
     )
     ahead = Window.partitionBy("src").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
-    numbered = draws.withColumn("from", F.coalesce(F.sum("n").over(ahead), F.lit(0)))
+    # a few counts stand for many slots: they are dealt out before they become rows
+    tasks = int(placed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    numbered = draws.withColumn("from", F.coalesce(F.sum("n").over(ahead), F.lit(0))).repartition(tasks, "src", "shard")
     slots = numbered.select("src", "shard", F.explode(F.sequence(F.col("from"), F.col("from") + F.col("n") - 1)).alias("slot")).join(targets, "src")
     turn = F.floor(F.col("slot") / F.col("blocks"))
     image = _permuted(F.col("slot") % F.col("blocks"), F.col("blocks"), F.col("src"), turn)
@@ -134,10 +136,11 @@ def mixed_sizes(
     """One row per document: doc_id, size, source_size, target (its source's), taken (words in the mix, repeats counted)."""
     placed = _placed(docs)
     targets = _targets(placed, weights, share, most, block)
-    taken = _pieces(placed, mixture_slots(placed, targets, block), block).groupBy("src", "start", "doc_id", "code", "size").agg(F.sum("words").alias("taken"))
-    empty = placed.where("size = 0").select("src", "start", "doc_id", "code", "size", F.lit(0).cast("long").alias("taken"))
-    never = placed.where("size > 0").join(taken, ["src", "start", "size"], "left_anti").select("src", "start", "doc_id", "code", "size", F.lit(0).cast("long").alias("taken"))
-    return taken.union(empty).union(never).join(targets, "src").select("doc_id", "size", "source_size", "target", "taken")
+    here = ["src", "start", "doc_id", "code", "size"]  # no two documents with words begin at the same place
+    taken = _pieces(placed, mixture_slots(placed, targets, block), block).groupBy("src", "start", "size").agg(F.sum("words").alias("taken"))
+    return placed.select(*here).join(taken, ["src", "start", "size"], "left").join(targets, "src").select(
+        "doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken")
+    )
 
 
 def mixture(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import content_sort, line_dedup, mixing, near_dup, packing, quality
+from . import content_sort, line_dedup, lm_score, mixing, near_dup, packing, quality
 
 PACK_TOKENIZER = "word_bpe_49k.json"
 
@@ -19,6 +19,15 @@ def pack_tokenizer() -> str:
     return public_tokenizers.path(PACK_TOKENIZER)
 
 
+def _fold(n: int):
+    """The remainder of the id's checksum that splits the documents into folds."""
+    return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(n))
+
+
+def op1_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.scored(_table(spark, sf_dir, "documents"), _fold(7) == 2)
+
+
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), pack_tokenizer())
 
@@ -56,6 +65,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_context_tree": op1_context_tree,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_source_mixing": op4_source_mixing,
     "op6_prob_min_hash": op6_prob_min_hash,

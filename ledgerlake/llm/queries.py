@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import content_sort, line_dedup, lm_score, mixing, near_dup, packing, quality
+from . import content_sort, language_id, line_dedup, lm_score, mixing, near_dup, packing, quality
 
 PACK_TOKENIZER = "word_bpe_49k.json"
 
@@ -28,6 +28,13 @@ def op1_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_score.scored(_table(spark, sf_dir, "documents"), _fold(7) == 2)
 
 
+def op2_compression_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    held_out = _fold(5) == 0
+    found = language_id.identified(docs, language_id.fit_dictionaries(docs.where(~held_out | held_out.isNull())))
+    return found.withColumn("held_out", F.coalesce(held_out, F.lit(False)))
+
+
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), pack_tokenizer())
 
@@ -66,6 +73,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_context_tree": op1_context_tree,
+    "op2_compression_language": op2_compression_language,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_source_mixing": op4_source_mixing,
     "op6_prob_min_hash": op6_prob_min_hash,

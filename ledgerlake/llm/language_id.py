@@ -6,7 +6,7 @@ predicted, and the prediction is rejected when the next one is nearly as short.
 
 Defined results: a null text, or one without a letter, is ``und`` with score 0; so is every text when
 there is nothing to learn from; labels are compared as they are; repeated rows are judged one by one;
-ties go to the language that sorts first; an empty table gives no rows; other columns are ignored.
+ties go to the language with more labelled texts; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -28,8 +28,8 @@ def fit_dictionaries(
     ``text_bytes`` from one text, so that many texts speak.
     """
     known = labelled.where("lang is not null and text is not null and length(text) > 0").select("lang", F.lower("text").alias("text"))
-    languages = known.agg(F.approx_count_distinct("lang")).first()[0]
-    room = max(256, min(dictionary_bytes, all_bytes // max(1, languages)))
+    languages = [r.lang for r in known.groupBy("lang").count().orderBy(F.desc("count"), "lang").collect()]  # a row per language
+    room = max(256, min(dictionary_bytes, all_bytes // max(1, len(languages))))
     texts = -(-2 * room // text_bytes) + 8
     first = Window.partitionBy("lang").orderBy(F.xxhash64("text"), "text")
     sample = (
@@ -45,7 +45,7 @@ def fit_dictionaries(
                 break
             body += x.text.encode() + b"\n"
         out[row.lang] = body[:room]
-    return dict(sorted(out.items()))
+    return {lang: out[lang] for lang in languages}
 
 
 def identified(docs: DataFrame, dictionaries: dict[str, bytes], margin: float = MARGIN, level: int = LEVEL) -> DataFrame:

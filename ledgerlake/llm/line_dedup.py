@@ -1,6 +1,7 @@
 """Repeated lines and repeated windows of three lines, found over all documents.
 
-``unit_dedup`` keeps the earliest occurrence of each normalised line or paragraph.  ``window_dedup``
+``unit_dedup`` keeps the earliest occurrence of each normalised paragraph, line or sentence (a line cut
+further, so that passages set into the middle of a line are found).  ``window_dedup``
 keeps the earliest occurrence of each run of three consecutive lines and removes the lines that any
 later occurrence covers.
 
@@ -23,7 +24,8 @@ from pyspark.sql import DataFrame, functions as F
 from .storage import written
 from .text import Block, blocks, mix64
 
-LINE, PARAGRAPH = "line", "paragraph"
+PARAGRAPH, LINE, SENTENCE = "paragraph", "line", "sentence"
+_FULL_STOP = np.frombuffer(b".!?", np.uint8)
 
 
 
@@ -40,15 +42,18 @@ def line_units(block: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return block.line_from, block.line_to, block.text_of(block.line_from)
 
 
-def paragraph_units(block: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The same for paragraphs: lines up to and with the line before the next blank line, or the blank line itself."""
-    begin, end, owner = line_units(block)
-    blank = np.searchsorted(block.word_from, begin) == np.searchsorted(block.word_from, end)
+def unit_words(block: Block, unit: str) -> np.ndarray:
+    """The first word of every unit, and at the end the number of words."""
+    begin, end = block.word_from, block.word_to
+    line = np.searchsorted(block.line_to, begin)
     opens = np.ones(len(begin), bool)
-    opens[1:] = blank[1:] | blank[:-1] | (owner[1:] != owner[:-1])
-    first = np.flatnonzero(opens)
-    last = np.append(first[1:], len(begin)) - 1
-    return begin[first], end[last], owner[first]
+    if unit == PARAGRAPH:  # lines without a blank one between them belong together
+        opens[1:] = (line[1:] > line[:-1] + 1) | (block.text_of(begin[1:]) != block.text_of(begin[:-1]))
+    else:
+        opens[1:] = line[1:] != line[:-1]
+        if unit == SENTENCE:
+            opens[1:] |= np.isin(block.data[end[:-1] - 1], _FULL_STOP)
+    return np.append(np.flatnonzero(opens), len(begin))
 
 
 def _digests(docs: DataFrame, describe) -> DataFrame:
@@ -114,40 +119,84 @@ def _kept_texts(block: Block, begin, end, owner, gone) -> list[bytes]:
     return [x if isinstance(x, bytes) else b"\n".join(x) for x in out]
 
 
-def unit_dedup(docs: DataFrame, unit: str = LINE, min_words: int = 5) -> DataFrame:
-    """doc_id, n_units, n_removed, removed (byte offsets in the original text), kept_text of every document.
-
-    A unit is normalised to its words in lower case (A-Z).  The occurrence of least (doc_id, text hash,
-    position) stays; later ones go.  Units of fewer than ``min_words`` words are never removed.
-    """
-    units = {LINE: line_units, PARAGRAPH: paragraph_units}[unit]
+def _unit_digests(units: tuple[str, ...], min_words: int):
+    """Describes the units of all levels; a unit's position is its number in the text and its level."""
 
     def describe(block: Block):
-        begin, end, owner = units(block)
-        low = block.lowered()
-        a, b = np.searchsorted(low.word_from, begin), np.searchsorted(low.word_from, end)
-        at = np.searchsorted(begin, block.starts)
-        pos = np.arange(len(begin)) - at[owner]
-        long = b - a >= min_words
-        return owner[long], pos[long], low.run_hash(a[long], b[long]), low.run_hash(a[long], b[long], 1)
+        parts = []
+        for level, unit in enumerate(units):
+            at = unit_words(block, unit)
+            first, last = at[:-1], at[1:]
+            owner = block.text_of(block.word_from[first])
+            number = np.arange(len(first)) - np.searchsorted(first, block.words_at)[owner]
+            if unit == SENTENCE and len(first):  # a short one counts together with the one before it in its line
+                line = np.searchsorted(block.line_to, block.word_from[first])
+                joined = np.flatnonzero((last - first < min_words) & (line == np.append(-1, line[:-1])))
+                first = first.copy()
+                first[joined] = at[joined - 1]
+            long = np.flatnonzero(last - first >= min_words)
+            first, last = first[long], last[long]
+            parts.append((
+                owner[long], number[long] * len(units) + level,
+                block.run_hash(first, last, 2 * level), block.run_hash(first, last, 2 * level + 1),
+            ))
+        return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
+
+    return lambda block: describe(block.lowered())
+
+
+def _units_gone(block: Block, units: tuple[str, ...], column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """First words of the finest units, and which of them go: by themselves or with a unit they lie in."""
+    places = pa.compute.list_flatten(column).to_numpy(zero_copy_only=False)
+    owner = pa.compute.list_parent_indices(column).to_numpy(zero_copy_only=False)
+    finest = unit_words(block, units[-1])[:-1]
+    gone = np.zeros(len(finest), bool)
+    for level, unit in enumerate(units):
+        first = unit_words(block, unit)[:-1]
+        own = places % len(units) == level
+        mask = np.zeros(len(first), bool)
+        mask[np.searchsorted(first, block.words_at)[owner[own]] + places[own] // len(units)] = True
+        gone |= mask[np.searchsorted(first, finest, side="right") - 1]
+    return finest, gone
+
+
+def unit_dedup(docs: DataFrame, units: tuple[str, ...] = (LINE, SENTENCE), min_words: int = 5) -> DataFrame:
+    """doc_id, n_units, n_removed, removed (byte spans of the original text), kept_text of every document.
+
+    ``units`` go from coarse to fine; the finest are counted and removed, also where a coarser one that
+    holds them repeats.  A unit is normalised to its words in lower case (A-Z).  The occurrence of least
+    (doc_id, text hash, position) stays; later ones go, with the white space behind them.  Units of fewer
+    than ``min_words`` words are not compared, but for a sentence together with the one before it.
+    """
 
     def cut(batches):
         for batch in batches:
             for first, last, block in blocks(batch.column(1)):
-                begin, end, owner = units(block)
-                at = np.searchsorted(begin, block.starts)
-                gone = _position_mask(batch.column(2)[first:last], at)
+                units_at, gone = _units_gone(block, units, batch.column(2)[first:last])
+                begin = block.word_from[units_at]
+                owner = block.text_of(begin)
+                end = block.starts[owner + 1] - 1
+                end[:-1] = np.minimum(end[:-1], begin[1:])
                 n_gone = np.bincount(owner[gone], minlength=len(block))
                 base = block.starts[owner[gone]]
                 spans = pa.StructArray.from_arrays([pa.array(begin[gone] - base), pa.array(end[gone] - base)], ["start", "end"])
+                step = np.zeros(len(block.data) + 1, np.int8)
+                np.add.at(step, begin[gone], 1)
+                np.add.at(step, end[gone], -1)
+                stays = np.cumsum(step[:-1], dtype=np.int8) == 0
+                stays[block.starts[1:] - 1] = False  # the added line ends
+                ends = np.concatenate([[0], np.cumsum(stays)])[block.starts]
+                texts = pa.LargeBinaryArray.from_buffers(
+                    pa.large_binary(), len(block), [None, pa.py_buffer(ends.astype(np.int64).tobytes()), pa.py_buffer(block.data[stays].tobytes())]
+                )
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0)[first:last], pa.array(np.diff(at)), pa.array(n_gone),
+                    [batch.column(0)[first:last], pa.array(np.bincount(owner, minlength=len(block))), pa.array(n_gone),
                      pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n_gone)]).astype(np.int32)), spans),
-                     pa.array(_kept_texts(block, begin, end, owner, gone), pa.binary()).cast(pa.string())],
+                     texts.cast(pa.binary()).cast(pa.string())],
                     ["doc_id", "n_units", "n_removed", "removed", "kept_text"],
                 )
 
-    positions = _later_positions(_digests(docs, describe), "units")
+    positions = _later_positions(_digests(docs, _unit_digests(units, min_words)), "units")
     marked = _with_positions(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), positions)
     return marked.select("doc_id", "text", "__positions").mapInArrow(
         cut, "doc_id long, n_units long, n_removed long, removed array<struct<start:long,end:long>>, kept_text string"

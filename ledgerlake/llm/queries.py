@@ -54,10 +54,11 @@ def op7_content_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_line_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = line_dedup.unit_dedup(_table(spark, sf_dir, "documents"))
-    spans = F.transform("removed", lambda x: F.concat(x["start"].cast("string"), F.lit("-"), x["end"].cast("string")))
+    span = lambda x: F.concat(x["start"].cast("string"), F.lit("-"), x["end"].cast("string"))
+    length = F.aggregate("removed", F.lit(0).cast("long"), lambda n, x: n + x["end"] - x["start"])
     return found.select(
-        "doc_id", "n_units", "n_removed", F.array_join(spans, ",").alias("removed_spans"),
-        F.sha2("kept_text", 256).alias("kept_sha256"),
+        "doc_id", "n_units", "n_removed", length.alias("removed_bytes"),
+        F.array_join(F.transform("removed", span), ",").alias("removed_spans"),
     )
 
 
@@ -100,16 +101,39 @@ SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_siz
        doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
 FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))""",
     "op8_line_hashing": rf"""
-WITH {_LINES}, judged AS (
-  SELECT *, len(words) >= 5 AND row_number() OVER (
-      PARTITION BY translate(array_to_string(words, ' '), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')
-      ORDER BY doc_id, pos) > 1 AS gone
+WITH {_LINES}, tokens AS (
+  SELECT doc_id, pos, start + octet_length(encode(regexp_extract(line, '^[\x20\x09-\x0D]*'))) AS head,
+         unnest(regexp_extract_all(line, '[^\x20\x09-\x0D]+[\x20\x09-\x0D]*')) AS token,
+         generate_subscripts(regexp_extract_all(line, '[^\x20\x09-\x0D]+[\x20\x09-\x0D]*'), 1) AS k
   FROM places
+), spoken AS (
+  SELECT doc_id, pos, k, translate(regexp_extract(token, '^[^\x20\x09-\x0D]+'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS word,
+         head + sum(octet_length(encode(token))) OVER line - octet_length(encode(token)) AS start
+  FROM tokens WINDOW line AS (PARTITION BY doc_id, pos ORDER BY k)
+), numbered AS (
+  SELECT *, count(*) FILTER (word[-1] IN ('.', '!', '?')) OVER (PARTITION BY doc_id, pos ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS s
+  FROM spoken
+), sentences AS (
+  SELECT doc_id, pos, s, min(start) AS start, count(*) AS n, string_agg(word, ' ' ORDER BY k) AS body FROM numbered GROUP BY doc_id, pos, s
+), own AS (
+  SELECT *, CASE WHEN n >= 5 THEN body WHEN n + lag(n) OVER line >= 5 THEN lag(body) OVER line || ' ' || body END AS unit,
+         lead(start) OVER (PARTITION BY doc_id ORDER BY start) AS until
+  FROM sentences WINDOW line AS (PARTITION BY doc_id, pos ORDER BY s)
+), whole AS (
+  SELECT doc_id, pos, row_number() OVER (PARTITION BY string_agg(body, ' ' ORDER BY s) ORDER BY doc_id, pos) > 1 AND sum(n) >= 5 AS line_gone
+  FROM sentences GROUP BY doc_id, pos
+), judged AS (
+  SELECT doc_id, start::BIGINT AS start, until::BIGINT AS until,
+         line_gone OR (unit IS NOT NULL AND row_number() OVER (PARTITION BY unit ORDER BY doc_id, start) > 1) AS gone
+  FROM own JOIN whole USING (doc_id, pos)
+), spans AS (
+  SELECT d.doc_id, j.start, coalesce(j.until, octet_length(encode(d.text))) AS until, coalesce(j.gone, false) AS gone
+  FROM documents d LEFT JOIN judged j USING (doc_id)
 )
-SELECT doc_id, count(*) AS n_units, count(*) FILTER (gone) AS n_removed,
-       coalesce(string_agg(start::BIGINT || '-' || (start::BIGINT + octet_length(encode(line))), ',' ORDER BY pos) FILTER (gone), '') AS removed_spans,
-       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
-FROM judged GROUP BY doc_id""",
+SELECT doc_id, count(start) AS n_units, count(*) FILTER (gone) AS n_removed,
+       coalesce(sum(until - start) FILTER (gone), 0)::BIGINT AS removed_bytes,
+       coalesce(string_agg(start || '-' || until, ',' ORDER BY start) FILTER (gone), '') AS removed_spans
+FROM spans GROUP BY doc_id""",
     "op9_line_windows": rf"""
 WITH {_LINES}, filled AS (
   SELECT doc_id, pos, array_to_string(words, ' ') AS one,

@@ -6,11 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ledgerlake.llm import line_dedup, mixing, near_dup, packing, quality
 from ledgerlake.llm.queries import pack_tokenizer
-from ledgerlake.llm.storage import written
+from ledgerlake.llm.storage import ship_code, written
 
 
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Quality rules: documents that fail the base rules or the trees go."""
+    ship_code(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     return quality.keep_good(docs, quality.fit_quality(docs, labels))
 

@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from . import content_sort, language_id, line_dedup, lm_score, mixing, near_dup, packing, quality
+from .storage import ship_code
 
 PACK_TOKENIZER = "word_bpe_49k.json"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_code(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import pathlib
+import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,3 +30,20 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
 def bucket_count(n_rows: int, per_bucket: int = 20_000, least: int = 64) -> int:
     """How many buckets give about ``per_bucket`` rows each."""
     return max(least, -(-n_rows // per_bucket))
+
+
+_shipped: set[str] = set()
+
+
+def ship_code(spark: SparkSession) -> None:
+    """Sends this library to the executors, once for each application, so that they need not have it installed."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    _shipped.add(context.applicationId)
+    top = pathlib.Path(__file__).resolve().parents[2]
+    archive = pathlib.Path(tempfile.mkdtemp(prefix="ledgerlake-code-")) / "ledgerlake.zip"
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+        for file in sorted((top / "ledgerlake").rglob("*.py")):
+            out.write(file, file.relative_to(top))
+    context.addPyFile(str(archive))

@@ -9,7 +9,7 @@ two texts are linked when the exact Jaccard similarity of their shingle sets is
 
 Equal texts (equal word sequences) are one node from the start.  A bucket is never turned into all its
 pairs: its members are compared with one centre, another for every band; those that fail stay for a
-further round with a new centre until none is left.  Classes are the connected components of the links.
+further round with a new centre, unless other buckets have put them into the centre's class meanwhile.  Classes are the connected components of the links.
 
 Defined results: texts without a word (null, empty, blank) are alone in their classes; repeated rows
 share one; an empty table gives no rows; other columns are ignored by ``near_classes`` and passed
@@ -131,8 +131,8 @@ def _texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return source.join(wanted, same).select("node", "text").dropDuplicates(["node"])
 
 
-def links(docs: DataFrame, signed: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """(u, v) of linked nodes: enough of them to join all that belong together."""
+def linked_labels(docs: DataFrame, signed: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """(node, label) of all nodes that are linked to another: equal labels for a class."""
     nodes = signed.where("n > 0").groupBy("node").agg(
         F.min(F.struct("doc_id", "code")).alias("one"), F.first("n").alias("n"), F.first("bands").alias("bands")
     )
@@ -143,7 +143,8 @@ def links(docs: DataFrame, signed: DataFrame, similarity: float = SIMILARITY) ->
         members.select("node").distinct(), "node", "left_semi"
     ).select("node", "one.doc_id", "one.code")
     texts = written(_texts_of(docs, wanted), "texts")
-    tested, found, number = None, [], 0
+    empty = signed.sparkSession.createDataFrame([], "u binary, v binary, linked boolean")
+    tested, labels, number = empty, None, 0
     while not members.isEmpty():
         number += 1
         order = F.struct(F.xxhash64("node", "band", F.lit(number)).alias("h"), F.col("node"), F.col("n"))
@@ -152,30 +153,31 @@ def links(docs: DataFrame, signed: DataFrame, similarity: float = SIMILARITY) ->
             .select("band", "key", F.col("c.node").alias("centre"), F.col("c.n").alias("m")),
             "centres",
         )
-        stars = members.join(centres, ["band", "key"]).where("node != centre").select(
-            "band", "key", "node", "n", F.least("node", "centre").alias("u"), F.greatest("node", "centre").alias("v"),
-            (F.least("n", "m") >= similarity * F.greatest("n", "m")).alias("near"),
+        stars = written(
+            members.join(centres, ["band", "key"]).where("node != centre").select(
+                "band", "key", "node", "n", "centre", F.least("node", "centre").alias("u"), F.greatest("node", "centre").alias("v"),
+                (F.least("n", "m") >= similarity * F.greatest("n", "m")).alias("near"),
+            ),
+            "stars",
         )
-        new = stars.where("near").select("u", "v").distinct()
-        if tested is not None:
-            new = new.join(tested.select("u", "v"), ["u", "v"], "left_anti")
-        result = written(_verified(new, texts, similarity), "verified")
-        found.append(result.where("linked").select("u", "v"))
-        tested = result if tested is None else tested.union(result)
+        new = stars.where("near").select("u", "v").distinct().join(tested, ["u", "v"], "left_anti")
+        tested = written(tested.union(_verified(new, texts, similarity)), "verified")
+        labels = components(tested.where("linked"))
+        # a member that has come into its centre's class, on whatever way, need not be compared there again
+        of_node, of_centre = labels.withColumnRenamed("label", "a"), labels.select(F.col("node").alias("centre"), F.col("label").alias("b"))
         members = written(
-            stars.join(tested.where("linked").select("u", "v"), ["u", "v"], "left_anti").select("node", "n", "band", "key"), "members"
+            stars.join(of_node, "node", "left").join(of_centre, "centre", "left").where("a is null or b is null or a != b")
+            .select("node", "n", "band", "key"),
+            "members",
         )
-    empty = signed.sparkSession.createDataFrame([], "u binary, v binary")
-    for part in found:
-        empty = empty.union(part)
-    return empty
+    return labels if labels is not None else empty.select(F.col("u").alias("node"), F.col("v").alias("label"))
 
 
 def near_classes(docs: DataFrame, similarity: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """One row per document: doc_id, code (hash of its text), class_id (least doc_id of its class), class_size, kept."""
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     signed = written(_signed_nodes(base, bands, rows), "signatures")
-    labels = components(links(base, signed, similarity))
+    labels = linked_labels(base, signed, similarity)
     # a text without words is a class of its own; repeated rows of it share one
     alone = F.concat(F.lit(b"-"), F.encode(F.concat_ws(":", F.col("doc_id").cast("string"), F.col("code").cast("string")), "UTF-8"))
     named = written(

@@ -20,43 +20,16 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import zstandard
-from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
 from . import context_tree as tree
+from .packed import (
+    PACKED, block_row, by_part, document_blocks, opened, pack, pack_sorted, packed_rows, unpack, unpack_sorted, whole_block,
+)
 from .storage import written
-from .text import Block, blocks, mix64, sums
+from .text import Block, mix64, sums
 
 DEPTH, TOP, BLOCK_BYTES = 5, 2, 8 << 20
-PACKED = "block long, part int, kind string, a binary, b binary"
-_NAMES = ["block", "part", "kind", "a", "b"]
-
-
-def _pack(values: np.ndarray) -> bytes:
-    """Numbers as compressed bytes, byte planes one after another, so that equal high bytes shrink to nothing."""
-    planes = np.ascontiguousarray(values).view(np.uint8).reshape(len(values), -1).T
-    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
-
-
-def _unpack(raw: bytes, kind) -> np.ndarray:
-    kind = np.dtype(kind)
-    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), np.uint8).reshape(kind.itemsize, -1)
-    return np.ascontiguousarray(planes.T).view(kind).reshape(-1)
-
-
-def _pack_sorted(values: np.ndarray) -> bytes:
-    return _pack(np.diff(values, prepend=np.uint64(0)))
-
-
-def _unpack_sorted(raw: bytes) -> np.ndarray:
-    return np.cumsum(_unpack(raw, np.uint64), dtype=np.uint64)
-
-
-def _batch(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = [pa.int64(), pa.int32(), pa.string(), pa.binary(), pa.binary()]
-    columns = zip(*rows, strict=True) if rows else [[]] * 5
-    return pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds, strict=True)], _NAMES)
 
 
 def _gram_part(grams: np.ndarray, depth: int, parts: int) -> np.ndarray:
@@ -64,14 +37,6 @@ def _gram_part(grams: np.ndarray, depth: int, parts: int) -> np.ndarray:
     return (mix64(grams >> np.uint64(8 * (depth - 1))) % np.uint64(parts)).astype(np.int64)
 
 
-def _by_part(values: np.ndarray, part: np.ndarray, parts: int):
-    """(part, places) of the values of each part that has any; places stay in the values' order."""
-    order = np.argsort(part, kind="stable")
-    at = np.searchsorted(part[order], np.arange(parts + 1))
-    for p in np.flatnonzero(np.diff(at)):
-        yield int(p), order[at[p] : at[p + 1]]
-
-
 class _Lists:
     """The distinct grams and words of a block, and where each position finds its own."""
 
@@ -83,30 +48,12 @@ class _Lists:
         self.words, self.words_at = low.word_hash, low.words_at
 
 
-def _blocks_of(batches, limit: int):
-    """Batches (doc_id, text, held_out) cut and joined into blocks of about ``limit`` bytes."""
-    held, size = [], 0
-    for batch in batches:
-        for first, last, block in blocks(batch.column(1), limit):
-            held.append(batch.slice(first, last - first))
-            size += len(block.data)
-            if size >= limit:
-                yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-                held, size = [], 0
-    if held:
-        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-
-
 def _lists_of(batches, depth: int, parts: int, limit: int):
     """The rows of all blocks of a task: their texts, grams and words."""
-    for number, batch in enumerate(_blocks_of(batches, limit)):
-        name = TaskContext.get().partitionId() << 32 | number
-        sink = pa.BufferOutputStream()
-        with pa.ipc.new_stream(sink, batch.schema) as writer:
-            writer.write_batch(batch)
-        rows = [(name, -1, "text", zstandard.ZstdCompressor(level=1).compress(sink.getvalue().to_pybytes()), None)]
+    for name, batch in document_blocks(batches, 1, limit):
+        rows = [block_row(name, batch)]
         learn = ~pc.fill_null(batch.column(2), False).to_numpy(zero_copy_only=False)
-        (_, _, block), = blocks(batch.column(1), 1 << 62)
+        block = whole_block(batch.column(1))
         lists = _Lists(block, depth)
         for kind, keys, weight in (
             ("gram", lists.grams, np.repeat(learn, np.diff(block.starts))),
@@ -121,15 +68,15 @@ def _lists_of(batches, depth: int, parts: int, limit: int):
             counts = np.zeros(len(every), np.int64)
             counts[np.searchsorted(every, known)] = np.diff(np.append(at, len(taught)))
             part = _gram_part(every, depth, parts) if kind == "gram" else (mix64(every) % np.uint64(parts)).astype(np.int64)
-            rows += [(name, p, kind, _pack_sorted(every[i]), _pack(counts[i])) for p, i in _by_part(every, part, parts)]
-        yield _batch(rows)
+            rows += [(name, p, kind, pack_sorted(every[i]), pack(counts[i])) for p, i in by_part(part, parts)]
+        yield packed_rows(rows)
 
 
 def _merged(table: pa.Table) -> tuple[np.ndarray, np.ndarray, list[tuple[int, np.ndarray]]]:
     """All distinct keys of a part's lists with their total counts, and each block's keys."""
-    lists = [(block, _unpack_sorted(a)) for block, a in zip(table["block"].to_pylist(), table["a"].to_pylist(), strict=True)]
+    lists = [(block, unpack_sorted(a)) for block, a in zip(table["block"].to_pylist(), table["a"].to_pylist(), strict=True)]
     keys, where = np.unique(np.concatenate([x for _, x in lists]), return_inverse=True)
-    counts = np.bincount(where, np.concatenate([_unpack(b, np.int64) for b in table["b"].to_pylist()]), len(keys))
+    counts = np.bincount(where, np.concatenate([unpack(b, np.int64) for b in table["b"].to_pylist()]), len(keys))
     return keys, counts.astype(np.int64), lists
 
 
@@ -137,9 +84,9 @@ def _word_answers(key, table):
     """Each block's words' counts, and the part's number of distinct words and of words that were learned."""
     part = key[0].as_py()
     keys, counts, lists = _merged(table)
-    rows = [(block, part, "word", _pack(counts[np.searchsorted(keys, x)]), None) for block, x in lists]
+    rows = [(block, part, "word", pack(counts[np.searchsorted(keys, x)]), None) for block, x in lists]
     rows.append((-1, part, "total", np.array([np.count_nonzero(counts), counts.sum()], np.int64).tobytes(), None))
-    return pa.Table.from_batches([_batch(rows)])
+    return pa.Table.from_batches([packed_rows(rows)])
 
 
 def scored(
@@ -179,7 +126,7 @@ def scored(
         part = key[0].as_py()
         keys, counts, lists = _merged(table)
         answer = tree.log10_probabilities(keys, counts, depth, TOP, *shared.value).astype(np.float32)
-        return pa.Table.from_batches([_batch([(block, part, "gram", _pack(answer[np.searchsorted(keys, x)]), None) for block, x in lists])])
+        return pa.Table.from_batches([packed_rows([(block, part, "gram", pack(answer[np.searchsorted(keys, x)]), None) for block, x in lists])])
 
     def look_up(key, table):
         return _scores(table, depth, parts, distinct, learned, n_train)
@@ -194,21 +141,15 @@ def _answered(keys: np.ndarray, part_of, answers: dict[int, bytes], parts: int,
     """The answer for every position, from the answers to the sorted distinct keys of each part."""
     distinct, where = np.unique(keys, return_inverse=True)
     value = np.zeros(len(distinct), kind)
-    for p, i in _by_part(distinct, part_of(distinct), parts):
-        value[i] = _unpack(answers[p], kind)
+    for p, i in by_part(part_of(distinct), parts):
+        value[i] = unpack(answers[p], kind)
     return value[where]
 
 
 def _scores(table: pa.Table, depth: int, parts: int, distinct: int, learned: int, ends: int) -> pa.Table:
     """The scores of one block from its texts and its answers."""
-    raw, answers = None, {"gram": {}, "word": {}}
-    for part, kind, a in zip(*(table[c].to_pylist() for c in ("part", "kind", "a")), strict=True):
-        if kind == "text":
-            raw = zstandard.ZstdDecompressor().decompress(a)
-        else:
-            answers[kind][part] = a
-    batch = pa.ipc.open_stream(raw).read_all().combine_chunks().to_batches()[0]
-    (_, _, block), = blocks(batch.column(1), 1 << 62)
+    batch, answers = opened(table)
+    block = whole_block(batch.column(1))
     lists = _Lists(block, depth)
     logs = _answered(lists.grams, lambda x: _gram_part(x, depth, parts), answers["gram"], parts, np.float32)
     score = np.add.reduceat(logs.astype(float), block.starts[:-1])

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import content_sort, language_id, line_dedup, lm_score, mixing, near_dup, packing, quality
+from . import content_sort, language_id, line_dedup, lm_score, mixing, near_dup, packing, quality, suffix_dedup
 from .storage import ship_code
 
 PACK_TOKENIZER = "word_bpe_49k.json"
@@ -45,6 +45,10 @@ def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed_sizes(_table(spark, sf_dir, "documents"))
 
 
+def op5_suffix_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.without_repeats(_table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op6_prob_min_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_dup.near_classes(_table(spark, sf_dir, "documents"))
     return found.select("doc_id", "class_id", "class_size", "kept")
@@ -79,6 +83,7 @@ QUERIES = {
     "op2_compression_language": op2_compression_language,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_source_mixing": op4_source_mixing,
+    "op5_suffix_merge": op5_suffix_merge,
     "op6_prob_min_hash": op6_prob_min_hash,
     "op7_content_sort": op7_content_sort,
     "op8_line_hashing": op8_line_hashing,

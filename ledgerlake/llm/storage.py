@@ -4,24 +4,17 @@ from __future__ import annotations
 
 import pathlib
 import tempfile
-import uuid
 import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
-
-def shared_folder(spark: SparkSession, purpose: str) -> str:
-    """A fresh folder name below ``spark.checkpoint.dir``, which driver and executors can reach."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors can reach")
-    return f"{base.rstrip('/')}/ledgerlake-llm/{purpose}-{uuid.uuid4().hex[:12]}"
+from ..session import scratch_dir
 
 
 def written(df: DataFrame, purpose: str) -> DataFrame:
     """The rows as a table that was written and is read again: lineage ends there, and lost executors cost nothing."""
     spark = df.sparkSession
-    path = shared_folder(spark, purpose)
+    path = scratch_dir(spark, f"llm-{purpose}")
     schema = df.schema
     df.write.parquet(path)
     return spark.read.schema(schema).parquet(path)

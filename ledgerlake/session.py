@@ -7,7 +7,7 @@ import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings that matter on a cluster.  AQE merges small shuffle partitions and splits skewed ones,
 # so the initial partition number can be generous.
@@ -19,6 +19,9 @@ DEFAULTS = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.parquet.compression.codec": "snappy",
+    # Streaming state on local disk and in the checkpoint, not in the heap.
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.ui.enabled": "false",
 }
 
@@ -66,13 +69,21 @@ def _is_local(spark: SparkSession) -> bool:
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder below the shared folder named by ``spark.checkpoint.dir``.
 
-    Only where that is unset and Spark runs in local mode is a temporary folder taken (and removed at
-    exit); on a cluster an unset folder is an error, since executors share no local disk.
+    Only where that is unset and Spark runs in local mode does the session get a folder of its own
+    (removed at exit); on a cluster an unset folder is an error, since executors share no local disk.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         if not _is_local(spark):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
         base = tempfile.mkdtemp(prefix="ledgerlake-")
+        spark.conf.set("spark.checkpoint.dir", base)
         atexit.register(shutil.rmtree, base, ignore_errors=True)
     return f"{base.rstrip('/')}/ledgerlake/{purpose}-{uuid.uuid4().hex[:12]}"
+
+
+def stored(df: DataFrame, purpose: str) -> DataFrame:
+    """The rows, written once to the shared folder and read from there; lineage ends here."""
+    spark, path = df.sparkSession, scratch_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

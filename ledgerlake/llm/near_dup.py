@@ -8,8 +8,8 @@ Jaccard similarity as their chance.  Documents with equal registers in a whole b
 two texts are linked when the exact Jaccard similarity of their shingle sets is 0.8 or more.
 
 Equal texts (equal word sequences) are one node from the start.  A bucket is never turned into all its
-pairs: its members are compared with one centre, another for every band; those that fail stay for a
-further round with a new centre, unless other buckets have put them into the centre's class meanwhile.  Classes are the connected components of the links.
+pairs: its members are compared with one centre, another for every band; those that fail stay for further
+rounds with up to 16, 256, ... new centres, unless other buckets have put them into a centre's class.  Classes are the connected components of the links.
 
 Defined results: texts without a word (null, empty, blank) are alone in their classes; repeated rows
 share one; an empty table gives no rows; other columns are ignored by ``near_classes`` and passed
@@ -26,7 +26,7 @@ from .components import components
 from .storage import written
 from .text import Block, blocks, mix64, sums
 
-WORDS, SIMILARITY, BANDS, ROWS = 5, 0.8, 32, 6
+WORDS, SIMILARITY, BANDS, ROWS, CENTRES = 5, 0.8, 32, 6, 16
 _U = np.uint64
 
 
@@ -147,9 +147,10 @@ def linked_labels(docs: DataFrame, signed: DataFrame, similarity: float = SIMILA
     tested, labels, number = empty, None, 0
     while not members.isEmpty():
         number += 1
-        order = F.struct(F.xxhash64("node", "band", F.lit(number)).alias("h"), F.col("node"), F.col("n"))
+        hashed = F.xxhash64("node", "band", F.lit(number))
+        slot = F.pmod(hashed, F.lit(CENTRES ** (number - 1)))  # each yields a centre: 1, then CENTRES at most, ...
         centres = written(
-            members.groupBy("band", "key").agg(F.min(order).alias("c"), F.count("*").alias("k")).where("k > 1")
+            members.groupBy("band", "key", slot.alias("slot")).agg(F.min(F.struct(hashed.alias("h"), "node", "n")).alias("c"))
             .select("band", "key", F.col("c.node").alias("centre"), F.col("c.n").alias("m")),
             "centres",
         )
@@ -163,13 +164,16 @@ def linked_labels(docs: DataFrame, signed: DataFrame, similarity: float = SIMILA
         new = stars.where("near").select("u", "v").distinct().join(tested, ["u", "v"], "left_anti")
         tested = written(tested.union(_verified(new, texts, similarity)), "verified")
         labels = components(tested.where("linked"))
-        # a member that has come into its centre's class, on whatever way, need not be compared there again
+        # a member that has come into a centre's class, on whatever way, need not be compared there again
         of_node, of_centre = labels.withColumnRenamed("label", "a"), labels.select(F.col("node").alias("centre"), F.col("label").alias("b"))
-        members = written(
-            stars.join(of_node, "node", "left").join(of_centre, "centre", "left").where("a is null or b is null or a != b")
-            .select("node", "n", "band", "key"),
-            "members",
+        open_ = (
+            stars.join(of_node, "node", "left").join(of_centre, "centre", "left")
+            .groupBy("band", "key", "node", "n").agg(F.max(F.coalesce(F.col("a") == F.col("b"), F.lit(False))).alias("done"))
+            .where("not done").select("node", "n", "band", "key")
         )
+        left = open_.join(centres.select(F.col("centre").alias("node"), "band", "key"), ["node", "band", "key"], "left_anti")
+        pairs_left = left.groupBy("band", "key").agg(F.count("*").alias("k")).where("k > 1").select("band", "key")
+        members = written(left.join(pairs_left, ["band", "key"], "left_semi").select("node", "n", "band", "key"), "members")
     return labels if labels is not None else empty.select(F.col("u").alias("node"), F.col("v").alias("label"))
 
 

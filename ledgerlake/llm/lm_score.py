@@ -29,7 +29,7 @@ from .packed import (
 from .storage import written
 from .text import Block, mix64, sums
 
-DEPTH, TOP, BLOCK_BYTES = 5, 2, 8 << 20
+DEPTH, TOP, BLOCK_BYTES = 5, 2, 6 << 20
 
 
 def _gram_part(grams: np.ndarray, depth: int, parts: int) -> np.ndarray:
@@ -37,15 +37,21 @@ def _gram_part(grams: np.ndarray, depth: int, parts: int) -> np.ndarray:
     return (mix64(grams >> np.uint64(8 * (depth - 1))) % np.uint64(parts)).astype(np.int64)
 
 
-class _Lists:
-    """The distinct grams and words of a block, and where each position finds its own."""
+def _word_part(words: np.ndarray, parts: int) -> np.ndarray:
+    return (mix64(words) % np.uint64(parts)).astype(np.int64)
 
-    def __init__(self, block: Block, depth: int):
-        low = block.lowered()
-        coded = low.data.copy()
-        coded[low.starts[1:] - 1] = tree.EDGE  # the end of a text is coded as one more byte
-        self.grams = tree.grams(coded, low.starts[:-1], depth)
-        self.words, self.words_at = low.word_hash, low.words_at
+
+def _words(block: Block) -> tuple[np.ndarray, np.ndarray]:
+    """The hash of every word, and where each text's words begin."""
+    low = block.lowered()
+    return low.word_hash, low.words_at
+
+
+def _grams(block: Block, depth: int) -> np.ndarray:
+    """The gram of every byte; the end of a text is coded as one more byte."""
+    coded = block.lowered().data
+    coded[block.starts[1:] - 1] = tree.EDGE
+    return tree.grams(coded, block.starts[:-1], depth)
 
 
 def _lists_of(batches, depth: int, parts: int, limit: int):
@@ -54,24 +60,28 @@ def _lists_of(batches, depth: int, parts: int, limit: int):
         rows = [block_row(name, batch)]
         learn = ~pc.fill_null(batch.column(2), False).to_numpy(zero_copy_only=False)
         block = whole_block(batch.column(1))
-        lists = _Lists(block, depth)
-        for kind, keys, weight in (
-            ("gram", lists.grams, np.repeat(learn, np.diff(block.starts))),
-            ("word", lists.words, np.repeat(learn, np.diff(lists.words_at))),
-        ):
-            taught = np.sort(keys[weight])
-            new = np.ones(len(taught), bool)
-            new[1:] = taught[1:] != taught[:-1]
-            at = np.flatnonzero(new)
-            known = taught[at]
-            every = np.union1d(known, keys[~weight])
-            counts = np.zeros(len(every), np.int64)
-            counts[np.searchsorted(every, known)] = np.diff(np.append(at, len(taught)))
-            part = _gram_part(every, depth, parts) if kind == "gram" else (mix64(every) % np.uint64(parts)).astype(np.int64)
-            rows += [(name, p, kind, pack_sorted(every[i]), pack(counts[i])) for p, i in by_part(part, parts)]
+        words, words_at = _words(block)
+        rows += _counted(name, "word", words, np.repeat(learn, np.diff(words_at)), lambda x: _word_part(x, parts), parts)
+        del words
+        grams = _grams(block, depth)
+        rows += _counted(name, "gram", grams, np.repeat(learn, np.diff(block.starts)), lambda x: _gram_part(x, depth, parts), parts)
         yield packed_rows(rows)
 
 
+def _counted(name: int, kind: str, keys: np.ndarray, learn: np.ndarray, part_of, parts: int) -> list[tuple]:
+    """List rows of the distinct keys of a block and how often each occurs in its training texts."""
+    taught = keys[learn]
+    taught.sort()
+    new = np.ones(len(taught), bool)
+    new[1:] = taught[1:] != taught[:-1]
+    at = np.flatnonzero(new)
+    known = taught[at]
+    every = np.union1d(known, keys[~learn])
+    counts = np.zeros(len(every), np.int64)
+    counts[np.searchsorted(every, known)] = np.diff(np.append(at, len(taught)))
+    return [(name, p, kind, pack_sorted(every[i]), pack(counts[i])) for p, i in by_part(part_of(every), parts)]
+
+
 def _merged(table: pa.Table) -> tuple[np.ndarray, np.ndarray, list[tuple[int, np.ndarray]]]:
     """All distinct keys of a part's lists with their total counts, and each block's keys."""
     lists = [(block, unpack_sorted(a)) for block, a in zip(table["block"].to_pylist(), table["a"].to_pylist(), strict=True)]
@@ -150,11 +160,11 @@ def _scores(table: pa.Table, depth: int, parts: int, distinct: int, learned: int
     """The scores of one block from its texts and its answers."""
     batch, answers = opened(table)
     block = whole_block(batch.column(1))
-    lists = _Lists(block, depth)
-    logs = _answered(lists.grams, lambda x: _gram_part(x, depth, parts), answers["gram"], parts, np.float32)
-    score = np.add.reduceat(logs.astype(float), block.starts[:-1])
-    counts = _answered(lists.words, lambda x: (mix64(x) % np.uint64(parts)).astype(np.int64), answers["word"], parts, np.int64)
-    at = lists.words_at
+    logs = _answered(_grams(block, depth), lambda x: _gram_part(x, depth, parts), answers["gram"], parts, np.float32)
+    score = np.add.reduceat(logs, block.starts[:-1], dtype=float)
+    del logs
+    words, at = _words(block)
+    counts = _answered(words, lambda x: _word_part(x, parts), answers.get("word", {}), parts, np.int64)
     n_tokens = np.diff(at) + 1
     worth = np.concatenate([[0.0], np.cumsum(np.log10(counts + 1.0))])
     base = worth[at[1:]] - worth[at[:-1]] + np.log10(ends + 1.0) - n_tokens * np.log10(learned + distinct + 1.0)

@@ -32,7 +32,7 @@ from .packed import PACKED, block_row, by_part, document_blocks, freeze, opened,
 from .storage import written
 from .text import Block, mix64, repeated
 
-LENGTH, SEED, REACH, BLOCK_BYTES = 400, 32, 256, 4 << 20
+LENGTH, SEED, REACH, BLOCK_BYTES = 400, 32, 256, 3 << 19
 NONE, ALL, SEND, SEND_ALL = range(4)  # what becomes of a hull
 _U = np.uint64
 

@@ -9,7 +9,7 @@ two texts are linked when the exact Jaccard similarity of their shingle sets is
 
 Equal texts (equal word sequences) are one node from the start.  A bucket is never turned into all its
 pairs: its members are compared with one centre, another for every band; those that fail stay for further
-rounds with up to 16, 256, ... new centres, unless other buckets have put them into a centre's class.  Classes are the connected components of the links.
+rounds with up to 4, 16, ... new centres, unless other buckets have put them into a centre's class.  Classes are the connected components of the links.
 
 Defined results: texts without a word (null, empty, blank) are alone in their classes; repeated rows
 share one; an empty table gives no rows; other columns are ignored by ``near_classes`` and passed
@@ -26,7 +26,7 @@ from .components import components
 from .storage import written
 from .text import Block, blocks, mix64, sums
 
-WORDS, SIMILARITY, BANDS, ROWS, CENTRES = 5, 0.8, 32, 6, 16
+WORDS, SIMILARITY, BANDS, ROWS, CENTRES = 5, 0.8, 32, 6, 4
 _U = np.uint64
 
 
@@ -71,6 +71,7 @@ def band_keys(block: Block, bands: int, rows: int) -> tuple[np.ndarray, np.ndarr
     keys = np.zeros((len(block), bands), _U)
     for r in range(rows):
         keys = mix64(keys + signature[:, r::rows] + _U(r + 1))
+    keys = mix64(keys + np.arange(bands, dtype=_U))  # a key says which band it is of
     return np.bincount(owner, minlength=len(block)), keys
 
 
@@ -136,9 +137,9 @@ def linked_labels(docs: DataFrame, signed: DataFrame, similarity: float = SIMILA
     nodes = signed.where("n > 0").groupBy("node").agg(
         F.min(F.struct("doc_id", "code")).alias("one"), F.first("n").alias("n"), F.first("bands").alias("bands")
     )
-    rows = written(nodes.select("node", "n", F.posexplode("bands").alias("band", "key")), "band-rows")
-    several = rows.groupBy("band", "key").agg(F.count("*").alias("k")).where("k > 1").select("band", "key")
-    members = written(rows.join(written(several, "buckets"), ["band", "key"]), "members")
+    rows = written(nodes.select("node", "n", F.explode("bands").alias("key")), "band-rows")
+    several = rows.groupBy("key").agg(F.count("*").alias("k")).where("k > 1").select("key")
+    members = written(rows.join(written(several, "buckets"), "key"), "members")
     wanted = signed.where("n > 0").groupBy("node").agg(F.min(F.struct("doc_id", "code")).alias("one")).join(
         members.select("node").distinct(), "node", "left_semi"
     ).select("node", "one.doc_id", "one.code")
@@ -147,16 +148,16 @@ def linked_labels(docs: DataFrame, signed: DataFrame, similarity: float = SIMILA
     tested, labels, number = empty, None, 0
     while not members.isEmpty():
         number += 1
-        hashed = F.xxhash64("node", "band", F.lit(number))
+        hashed = F.xxhash64("node", "key", F.lit(number))
         slot = F.pmod(hashed, F.lit(CENTRES ** (number - 1)))  # each yields a centre: 1, then CENTRES at most, ...
         centres = written(
-            members.groupBy("band", "key", slot.alias("slot")).agg(F.min(F.struct(hashed.alias("h"), "node", "n")).alias("c"))
-            .select("band", "key", F.col("c.node").alias("centre"), F.col("c.n").alias("m")),
+            members.groupBy("key", slot.alias("slot")).agg(F.min(F.struct(hashed.alias("h"), "node", "n")).alias("c"))
+            .select("key", F.col("c.node").alias("centre"), F.col("c.n").alias("m")),
             "centres",
         )
         stars = written(
-            members.join(centres, ["band", "key"]).where("node != centre").select(
-                "band", "key", "node", "n", "centre", F.least("node", "centre").alias("u"), F.greatest("node", "centre").alias("v"),
+            members.join(centres, "key").where("node != centre").select(
+                "key", "node", "n", "centre", F.least("node", "centre").alias("u"), F.greatest("node", "centre").alias("v"),
                 (F.least("n", "m") >= similarity * F.greatest("n", "m")).alias("near"),
             ),
             "stars",
@@ -168,12 +169,12 @@ def linked_labels(docs: DataFrame, signed: DataFrame, similarity: float = SIMILA
         of_node, of_centre = labels.withColumnRenamed("label", "a"), labels.select(F.col("node").alias("centre"), F.col("label").alias("b"))
         open_ = (
             stars.join(of_node, "node", "left").join(of_centre, "centre", "left")
-            .groupBy("band", "key", "node", "n").agg(F.max(F.coalesce(F.col("a") == F.col("b"), F.lit(False))).alias("done"))
-            .where("not done").select("node", "n", "band", "key")
+            .groupBy("key", "node", "n").agg(F.max(F.coalesce(F.col("a") == F.col("b"), F.lit(False))).alias("done"))
+            .where("not done").select("node", "n", "key")
         )
-        left = open_.join(centres.select(F.col("centre").alias("node"), "band", "key"), ["node", "band", "key"], "left_anti")
-        pairs_left = left.groupBy("band", "key").agg(F.count("*").alias("k")).where("k > 1").select("band", "key")
-        members = written(left.join(pairs_left, ["band", "key"], "left_semi").select("node", "n", "band", "key"), "members")
+        left = open_.join(centres.select(F.col("centre").alias("node"), "key"), ["node", "key"], "left_anti")
+        pairs_left = left.groupBy("key").agg(F.count("*").alias("k")).where("k > 1").select("key")
+        members = written(left.join(pairs_left, "key", "left_semi").select("node", "n", "key"), "members")
     return labels if labels is not None else empty.select(F.col("u").alias("node"), F.col("v").alias("label"))
 
 

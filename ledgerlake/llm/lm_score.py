@@ -29,7 +29,7 @@ from .packed import (
 from .storage import written
 from .text import Block, mix64, sums
 
-DEPTH, TOP, BLOCK_BYTES = 5, 2, 6 << 20
+DEPTH, TOP, BLOCK_BYTES = 5, 2, 4 << 20
 
 
 def _gram_part(grams: np.ndarray, depth: int, parts: int) -> np.ndarray:

@@ -10,6 +10,7 @@ import io
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 
@@ -67,17 +68,25 @@ def by_part(part: np.ndarray, parts: int):
 
 
 def document_blocks(batches, text_at: int, limit: int):
-    """(name, batch) for batches cut and joined into blocks of about ``limit`` bytes of text."""
+    """(name, batch) for batches cut and joined into blocks of at most ``limit`` bytes of text, or one longer text."""
     held, size, number = [], 0, 0
     join = lambda: pa.Table.from_batches(held).combine_chunks().to_batches()[0]
     task = TaskContext.get().partitionId() << 32
     for batch in batches:
-        for first, last, block in blocks(batch.column(text_at), limit):
-            held.append(batch.slice(first, last - first))
-            size += len(block.data)
-            if size >= limit:
+        lengths = pc.fill_null(pc.binary_length(batch.column(text_at)), 0).to_numpy(zero_copy_only=False)
+        ends = np.cumsum(lengths.astype(np.int64) + 1)
+        first = 0
+        while first < len(ends):
+            before = ends[first - 1] if first else 0
+            last = int(np.searchsorted(ends, before + limit - size, side="right"))
+            if last == first and held:
                 yield task | number, join()
                 held, size, number = [], 0, number + 1
+                continue
+            last = max(last, first + 1)
+            held.append(batch.slice(first, last - first))
+            size += int(ends[last - 1] - before)
+            first = last
     if held:
         yield task | number, join()
 

@@ -9,19 +9,27 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# What counts as white space around a value: spaces, tabs and line ends.
+WHITE_SPACE = " \t\n\x0b\f\r"
+
+
+def stripped(c: Column | str) -> Column:
+    return F.btrim(_col(c), F.lit(WHITE_SPACE))
+
+
 def is_blank(c: Column | str) -> Column:
     """True for NULL, empty and white-space-only text."""
     c = _col(c)
-    return c.isNull() | (F.length(F.trim(c)) == 0)
+    return c.isNull() | (F.length(stripped(c)) == 0)
 
 
 def blank_to_null(c: Column | str) -> Column:
     c = _col(c)
-    return F.when(F.length(F.trim(c)) > 0, c)
+    return F.when(F.length(stripped(c)) > 0, c)
 
 
 def normalised(c: Column | str) -> Column:
-    return F.upper(F.trim(_col(c)))
+    return F.upper(stripped(c))
 
 
 def mask_pan(c: Column | str) -> Column:

@@ -1,10 +1,6 @@
-"""Readers: CSV extracts, message envelopes (batch and stream), catalog tables."""
+"""Readers: CSV extracts and message envelopes (batch and stream)."""
 
 from .csv_files import read_extract
-from .envelopes import ENVELOPE_SCHEMA, read_envelopes, stream_envelopes
-from .tables import read_as_of, read_table
+from .envelopes import ENVELOPE_SCHEMA, read_envelopes, resume_offsets, stream_envelopes
 
-__all__ = [
-    "ENVELOPE_SCHEMA", "read_as_of", "read_envelopes", "read_extract", "read_table",
-    "stream_envelopes",
-]
+__all__ = ["ENVELOPE_SCHEMA", "read_envelopes", "read_extract", "resume_offsets", "stream_envelopes"]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -15,15 +16,21 @@ ENVELOPE_SCHEMA = T.StructType([
     T.StructField("timestamp", T.TimestampType()),
 ])
 
-# Read a topic from its start, and go on when the broker has dropped old messages.
-KAFKA_DEFAULTS = {"startingOffsets": "earliest", "failOnDataLoss": "false"}
+FROM_START, EARLIEST = "earliest", -2
 
 
-def _load(reader, topic: str, fmt: str, path: str | None, options: Mapping[str, str] | None):
-    options = dict(options or {})
+def kafka_options(topic: str, options: Mapping[str, str] | None, skip_lost: bool) -> dict[str, str]:
+    """Options of Spark's Kafka source: from the topic's start unless the caller says otherwise.
+
+    ``skip_lost`` goes on where the broker has dropped messages that were not read; else that fails.
+    """
+    return {"startingOffsets": FROM_START, "failOnDataLoss": str(not skip_lost).lower(), **dict(options or {}), "subscribe": topic}
+
+
+def _load(reader, topic: str, fmt: str, path: str | None, options: Mapping[str, str] | None, skip_lost: bool):
     if fmt == "kafka":
-        return reader.format("kafka").options(**{**KAFKA_DEFAULTS, **options, "subscribe": topic}).load()
-    files = reader.schema(ENVELOPE_SCHEMA).format(fmt).options(**options).load(path)
+        return reader.format("kafka").options(**kafka_options(topic, options, skip_lost)).load()
+    files = reader.schema(ENVELOPE_SCHEMA).format(fmt).options(**dict(options or {})).load(path)
     return files.filter(F.col("topic") == topic)
 
 
@@ -34,18 +41,41 @@ def read_envelopes(
     fmt: str = "kafka",
     path: str | None = None,
     options: Mapping[str, str] | None = None,
+    skip_lost: bool = False,
 ) -> DataFrame:
     """All messages of a topic.  ``fmt`` is ``kafka`` (needs the connector) or a file format."""
-    return _load(spark.read, topic, fmt, path, options)
+    return _load(spark.read, topic, fmt, path, options, skip_lost)
 
 
 def stream_envelopes(
     spark: SparkSession,
     topic: str,
     *,
+    per_batch: int,
     fmt: str = "kafka",
     path: str | None = None,
     options: Mapping[str, str] | None = None,
+    skip_lost: bool = False,
 ) -> DataFrame:
-    """The same as an unbounded stream."""
-    return _load(spark.readStream, topic, fmt, path, options)
+    """The same as an unbounded stream of at most ``per_batch`` messages (Kafka) or files a micro-batch.
+
+    The bound only paces a backlog; nothing is left out.
+    """
+    pace = "maxOffsetsPerTrigger" if fmt == "kafka" else "maxFilesPerTrigger"
+    return _load(spark.readStream, topic, fmt, path, {pace: str(per_batch), **dict(options or {})}, skip_lost)
+
+
+def resume_offsets(bronze: DataFrame, topic: str) -> str:
+    """A ``startingOffsets`` value that leaves out what a bronze table surely holds.
+
+    A partition without gaps goes on behind its last offset; one with gaps is read from its earliest
+    message, and the ingest sorts out what is known.  One row per partition reaches the driver.
+    """
+    offset = F.col("kafka_offset")
+    held = bronze.filter(F.col("kafka_topic") == topic).groupBy("kafka_partition").agg(
+        F.min(offset).alias("low"), F.max(offset).alias("high"), F.count_distinct(offset).alias("n")
+    )
+    starts = {
+        str(r["kafka_partition"]): r["high"] + 1 if r["n"] == r["high"] - r["low"] + 1 else EARLIEST for r in held.collect()
+    }
+    return json.dumps({topic: starts}) if starts else FROM_START

@@ -1,16 +1,16 @@
 """Building blocks of the layers: message parsing, deduplication, silver and gold tables, alerts."""
 
-from .alerts import derive_alerts, override_cash_status
-from .bronze import ingest_batch, parse_envelopes, unseen
+from .alerts import alert_base, override_cash_status
+from .bronze import ingest_batch, ingest_extract, parse_envelopes, unseen
 from .dedup import latest_per_key
 from .gold import branch_txn_summary, customer_360, npa_classification_summary
 from .silver import (
     silver_aml_alerts, silver_bureau, silver_customers, silver_loans, silver_transactions,
 )
-from .topk import top_k
+from .topk import top_k, with_position
 
 __all__ = [
-    "branch_txn_summary", "customer_360", "derive_alerts", "ingest_batch", "latest_per_key",
+    "alert_base", "branch_txn_summary", "customer_360", "ingest_batch", "ingest_extract", "latest_per_key",
     "npa_classification_summary", "override_cash_status", "parse_envelopes", "silver_aml_alerts",
-    "silver_bureau", "silver_customers", "silver_loans", "silver_transactions", "top_k", "unseen",
+    "silver_bureau", "silver_customers", "silver_loans", "silver_transactions", "top_k", "unseen", "with_position",
 ]

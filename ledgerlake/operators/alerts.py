@@ -2,12 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from ..functions.status import nth
-from ..rules import (
-    ALERT_KINDS, ALERT_PRIORITIES, ALERT_SCORE_RANGE, ALERT_STATUSES, DEFAULT_RULES, Rules,
-)
+from ..rules import DEFAULT_RULES, Rules
 
 
 def override_cash_status(transactions: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
@@ -18,38 +15,18 @@ def override_cash_status(transactions: DataFrame, rules: Rules = DEFAULT_RULES)
     )
 
 
-def _pick(key: Column, place: int, size: int) -> Column:
-    """A repeatable number from 1 to ``size`` out of four hexadecimal digits of the key's MD5."""
-    digits = F.substring(F.md5(key), 1 + 4 * place, 4)
-    return (F.conv(digits, 16, 10).cast("int") % size + 1).cast("int")
+def alert_base(transactions: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
+    """What an alert takes over from each flagged transaction: its own id, the customer, day and amount.
 
-
-def derive_alerts(transactions: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
-    """One alert per flagged transaction.
-
-    Type, score, status and priority follow from the transaction id alone, so a re-run gives the same
-    alerts; the alert id holds the whole transaction id, so alerts cannot collide.
+    The alert id is made of the day and the transaction id, so alerts cannot collide; without a date it
+    has eight zeros.
     """
     key = F.col("txn_id").cast("string")
-    kind = F.col("_kind")
-    low, high = ALERT_SCORE_RANGE
-    flagged = transactions.filter(F.col("status") == rules.flagged_status)
-    marked = flagged.withColumn("_kind", _pick(key, 0, len(ALERT_KINDS)))
-    details = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("channel", "amount")]
-    descriptions = [
-        F.format_string(text, *details) if "%s" in text else F.lit(text) for _, _, text in ALERT_KINDS
-    ]
-    return marked.select(
-        F.concat(F.lit("AML"), F.date_format("txn_date", "yyyyMMdd"), F.lit("-"), key).alias("alert_id"),
+    day = F.coalesce(F.date_format("txn_date", "yyyyMMdd"), F.lit("0" * 8))
+    return transactions.filter(F.col("status") == rules.flagged_status).select(
+        F.format_string("AML%s-%s", day, key).alias("alert_id"),
         "customer_id",
-        F.col("txn_date").alias("alert_date"),
-        nth(kind, [k for k, _, _ in ALERT_KINDS]).alias("alert_type"),
-        (_pick(key, 1, high - low + 1) + (low - 1)).alias("risk_score"),
-        nth(kind, [r for _, r, _ in ALERT_KINDS]).alias("rule_triggered"),
+        F.substring(F.date_format("txn_date", "yyyy-MM-dd HH:mm:ss"), 1, 10).alias("alert_date"),
         key.alias("transaction_ids"),
         F.col("amount").alias("total_amount"),
-        F.lit("INR").alias("currency"),
-        nth(kind, descriptions).alias("description"),
-        nth(_pick(key, 2, len(ALERT_STATUSES)), ALERT_STATUSES).alias("status"),
-        nth(_pick(key, 3, len(ALERT_PRIORITIES)), ALERT_PRIORITIES).alias("priority"),
     )

@@ -1,13 +1,21 @@
-"""Messages to bronze tables: raw strings plus where each row came from."""
+"""Messages and extracts to bronze tables: raw strings plus where each row came from."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from functools import reduce
+from operator import and_
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..sinks.publish import append
+from ..sources.csv_files import read_extract
 from ..specs import EntitySpec
 
-MESSAGE_ID = ("kafka_topic", "kafka_partition", "kafka_offset")
+# A message by its bronze columns and by those of the envelope.  The time belongs to it because a topic
+# that was dropped and made anew counts its offsets from zero again.
+MESSAGE_ID = {
+    "kafka_topic": "topic", "kafka_partition": "partition", "kafka_offset": "offset", "kafka_timestamp": "timestamp",
+}
 
 
 def parse_envelopes(envelopes: DataFrame, spec: EntitySpec, source: str = "kafka") -> DataFrame:
@@ -19,44 +27,23 @@ def parse_envelopes(envelopes: DataFrame, spec: EntitySpec, source: str = "kafka
     parsed = envelopes.select(
         F.from_json(F.col("value").cast("string"), spec.raw_schema).alias("data"),
         F.col("key").cast("string").alias("kafka_key"),
-        F.col("topic").alias("kafka_topic"),
-        F.col("partition").alias("kafka_partition"),
-        F.col("offset").alias("kafka_offset"),
-        F.col("timestamp").alias("kafka_timestamp"),
+        *[F.col(theirs).alias(ours) for ours, theirs in MESSAGE_ID.items()],
     )
     return parsed.select(
-        "data.*", "kafka_key", *MESSAGE_ID, "kafka_timestamp",
+        "data.*", "kafka_key", *MESSAGE_ID,
         F.current_timestamp().alias("_ingestion_ts"),
         F.lit(source).alias("_source"),
     )
 
 
-def unseen(messages: DataFrame, bronze: DataFrame, method: str = "exact") -> DataFrame:
-    """Messages not yet in bronze.
+def unseen(envelopes: DataFrame, bronze: DataFrame) -> DataFrame:
+    """Messages not yet in bronze, compared one by one before anything is parsed."""
+    known = bronze.select(*[F.col(ours).alias(f"_{ours}") for ours in MESSAGE_ID])
+    same = [envelopes[theirs].eqNullSafe(known[f"_{ours}"]) for ours, theirs in MESSAGE_ID.items()]
+    return envelopes.join(known, reduce(and_, same), "left_anti")
 
-    ``exact`` compares (topic, partition, offset) one by one.  ``high_water`` keeps what lies above
-    the highest offset stored per partition; it needs no shuffle of the messages, since that side has
-    one row per topic partition however much they hold and is broadcast, but it is right only where offsets were ingested without gaps, as every
-    read from the start of a topic does.
-    """
-    if method == "exact":
-        return messages.join(bronze.select(*MESSAGE_ID), list(MESSAGE_ID), "left_anti")
-    if method != "high_water":
-        raise ValueError(f"method must be 'exact' or 'high_water', not {method!r}")
-    marks = bronze.groupBy("kafka_topic", "kafka_partition").agg(F.max("kafka_offset").alias("_mark"))
-    joined = messages.join(F.broadcast(marks), ["kafka_topic", "kafka_partition"], "left")
-    fresh = joined.filter(F.col("_mark").isNull() | (F.col("kafka_offset") > F.col("_mark")))
-    return fresh.select(*messages.columns)
-
-
-def ingest_batch(
-    envelopes: DataFrame,
-    spec: EntitySpec,
-    table: str,
-    *,
-    method: str = "exact",
-    source: str = "kafka",
-) -> int:
+
+def ingest_batch(envelopes: DataFrame, spec: EntitySpec, table: str, *, source: str = "kafka") -> int:
     """Append new messages to a bronze table (created on first use); returns the rows written.
 
     An empty batch changes nothing, and so does ingesting the same messages again.
@@ -64,13 +51,26 @@ def ingest_batch(
     spark = envelopes.sparkSession
     if envelopes.isEmpty():
         return 0
-    rows = parse_envelopes(envelopes, spec, source)
     if spark.catalog.tableExists(table):
         properties = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
         if properties.get(STREAM_PROPERTY):
             raise ValueError(f"{table} is written by a stream; ingest batches into another table")
-        rows = unseen(rows, spark.table(table), method)
-    return append(rows, table)
+        envelopes = unseen(envelopes, spark.table(table))
+    return append(parse_envelopes(envelopes, spec, source), table)
+
+
+def ingest_extract(
+    spark: SparkSession, spec: EntitySpec, path: str | list[str], table: str, *, source: str = "csv", **reading
+) -> int:
+    """Append all rows of a folder of CSV extracts to a bronze table; returns the rows written.
+
+    Files have no message identity: reading them again adds their rows again, and silver keeps the
+    latest of each key.  A folder without rows changes nothing.
+    """
+    rows = read_extract(spark, spec, path, **reading)
+    if rows.isEmpty():
+        return 0
+    return append(rows.withColumns({"_ingestion_ts": F.current_timestamp(), "_source": F.lit(source)}), table)
 
 
 # A parquet table fed by a stream lists its files in the sink's own log and would hide appended ones.

@@ -2,8 +2,8 @@
 
 AQE splits a skewed partition only when both join inputs come straight out of a shuffle and nothing
 above relies on the join's partitioning.  Where one input is itself an aggregate or a join, the heavy
-keys are salted by hand: their rows are spread over many salts, and the other side's row is copied once
-per salt.  All other keys keep the salt 0.
+keys are salted by hand: their rows are spread over salts, as many as their number of rows needs, and the
+other side's row is copied once per salt.  All other keys have the salt 0.
 """
 
 from __future__ import annotations
@@ -11,33 +11,29 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 SALT = "_salt"
-SALTS = 512
-SHARE = 0.001
-HEAVY_ROWS = 1_000_000
+TASK_ROWS, TASKS = 1_000_000, 100_000
 
 
-def heavy_keys(
-    counts: DataFrame, key: str, rows: str, total: Column, at_least: int = HEAVY_ROWS, share: float = SHARE
-) -> DataFrame:
-    """Keys with more than ``share`` of all rows and more than ``at_least`` rows.
+def heavy_keys(counts: DataFrame, key: str, rows: str, total: Column, task_rows: int = TASK_ROWS) -> DataFrame:
+    """Keys with more rows than a task should hold, and how many salts cut them to that size.
 
-    There cannot be more than ``1 / share`` of them, whatever the data, so the result may be broadcast.
-    Keys with fewer rows than ``at_least`` fit a task anyway.
+    A task should hold ``task_rows`` rows, or the hundred-thousandth part of all rows if that is more.
+    So no salted or unsalted key gives a task more than that, and there are at most 100,000 heavy keys,
+    whatever the data: their list may be broadcast.
     """
-    limit = F.greatest(total * share, F.lit(float(at_least)))
-    return counts.filter(F.col(rows) > limit).select(key, F.lit(True).alias("_heavy"))
+    limit = F.greatest(F.lit(float(task_rows)), total / TASKS)
+    return counts.filter(F.col(rows) > limit).select(key, F.ceil(F.col(rows) / limit).alias("_salts"))
 
 
-def salt_rows(rows: DataFrame, heavy: DataFrame, key: str, spread_by: list[str], salts: int = SALTS) -> DataFrame:
+def salt_rows(rows: DataFrame, heavy: DataFrame, key: str, spread_by: list[str]) -> DataFrame:
     """Add a salt to the many-rows side: 0, or for heavy keys a hash of the ``spread_by`` columns."""
     marked = rows.join(F.broadcast(heavy), key, "left")
-    salt = F.when(F.col("_heavy"), F.pmod(F.xxhash64(*spread_by), F.lit(salts))).otherwise(0)
-    return marked.withColumn(SALT, salt.cast("int")).drop("_heavy")
+    salt = F.coalesce(F.pmod(F.xxhash64(*spread_by), F.col("_salts")), F.lit(0))
+    return marked.withColumn(SALT, salt.cast("bigint")).drop("_salts")
 
 
-def copy_per_salt(keys: DataFrame, heavy: DataFrame, key: str, salts: int = SALTS) -> DataFrame:
+def copy_per_salt(keys: DataFrame, heavy: DataFrame, key: str) -> DataFrame:
     """Copy the other side's rows of heavy keys, one for each salt."""
     marked = keys.join(F.broadcast(heavy), key, "left")
-    every = F.sequence(F.lit(0), F.lit(salts - 1))
-    salt = F.explode(F.when(F.col("_heavy"), every).otherwise(F.array(F.lit(0))))
-    return marked.withColumn(SALT, salt).drop("_heavy")
+    last = F.coalesce(F.col("_salts"), F.lit(1)).cast("bigint") - 1
+    return marked.withColumn(SALT, F.explode(F.sequence(F.lit(0).cast("bigint"), last))).drop("_salts")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions.casting import strict_int, to_money
 from ..functions.text import blank_to_null, normalised
-from ..operators.skew import HEAVY_ROWS, SALT, copy_per_salt, heavy_keys, salt_rows
+from ..operators.skew import SALT, TASK_ROWS, copy_per_salt, heavy_keys, salt_rows
 from ..operators.topk import top_k
 from ..rules import DEFAULT_RULES, Rules
 
@@ -26,44 +26,36 @@ def flagged_detail(transactions: DataFrame, customers: DataFrame) -> DataFrame:
     return top_k(joined, F.col("amount").desc_nulls_last(), None, "txn_id")
 
 
-def structuring(
-    transactions: DataFrame,
-    customers: DataFrame,
-    rules: Rules = DEFAULT_RULES,
-    ids_per_row: int = 10_000,
-    heavy_rows: int = HEAVY_ROWS,
-) -> DataFrame:
-    """Customers with several flagged transactions, with the ids of those.
-
-    A customer has one row unless there are more than about ``ids_per_row`` ids; then the ids are
-    spread over several rows told apart by ``ids_part``, each repeating the customer's totals.  So no
-    task ever holds all ids of a customer who owns a third of the table, and none are left out.
-    """
-    flagged = transactions.filter("is_flagged").select("customer_id", "txn_id", "amount")
-    totals = (
-        flagged.groupBy("customer_id")
-        .agg(F.count("*").alias("flagged_count"), F.sum("amount").alias("total_flagged_amount"))
-        .filter(F.col("flagged_count") >= rules.structuring_min)
+def _repeatedly_flagged(transactions: DataFrame, rules: Rules) -> DataFrame:
+    """Count and sum of the flagged transactions of customers who have several."""
+    totals = transactions.filter("is_flagged").groupBy("customer_id").agg(
+        F.count("*").alias("flagged_count"), F.sum("amount").alias("total_flagged_amount")
     )
-    everything = totals.agg(F.sum("flagged_count")).scalar()
-    heavy = heavy_keys(totals, "customer_id", "flagged_count", everything, heavy_rows)
-    ids = salt_rows(flagged.select("customer_id", "txn_id"), heavy, "customer_id", ["txn_id"])
-    parts = F.ceil(F.col("flagged_count") / ids_per_row).cast("bigint")
-    # The explicit repartition keeps Spark from grouping on the join's partitioning.
-    listed = (
-        ids.join(copy_per_salt(totals, heavy, "customer_id"), ["customer_id", SALT])
-        .withColumn("ids_part", F.pmod(F.xxhash64("txn_id"), parts).cast("int"))
-        .repartition("customer_id", "ids_part")
-        .groupBy("customer_id", "ids_part", "flagged_count", "total_flagged_amount")
-        .agg(F.sort_array(F.collect_list("txn_id")).alias("flagged_txn_ids"))
+    return totals.filter(F.col("flagged_count") >= rules.structuring_min)
+
+
+def structuring(transactions: DataFrame, customers: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
+    """Customers with several flagged transactions, one row each; ``structuring_ids`` lists those."""
+    return (
+        _repeatedly_flagged(transactions, rules)
+        .join(customers.select("customer_id", "name", "risk_category"), "customer_id")
+        .select("customer_id", "name", "risk_category", "flagged_count", "total_flagged_amount")
+        .orderBy(F.col("flagged_count").desc(), "customer_id")
     )
+
+
+def structuring_ids(
+    transactions: DataFrame, customers: DataFrame, rules: Rules = DEFAULT_RULES, task_rows: int = TASK_ROWS
+) -> DataFrame:
+    """The flagged transactions of those customers, one row each, so that no task holds all of a customer's."""
+    totals = _repeatedly_flagged(transactions, rules).select("customer_id", "flagged_count")
+    known = totals.join(customers.select("customer_id"), "customer_id", "left_semi")
+    heavy = heavy_keys(totals, "customer_id", "flagged_count", totals.agg(F.sum("flagged_count")).scalar(), task_rows)
+    flagged = transactions.filter("is_flagged").select("customer_id", "txn_id")
     return (
-        listed.join(customers.select("customer_id", "name", "risk_category"), "customer_id")
-        .select(
-            "customer_id", "name", "risk_category", "flagged_count", "total_flagged_amount",
-            "ids_part", "flagged_txn_ids",
-        )
-        .orderBy(F.col("flagged_count").desc(), "customer_id", "ids_part")
+        salt_rows(flagged, heavy, "customer_id", ["txn_id"])
+        .join(copy_per_salt(known, heavy, "customer_id"), ["customer_id", SALT])
+        .select("customer_id", "txn_id")
     )
 
 

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.casting import strict_int, to_money
-from ..operators.skew import HEAVY_ROWS, SALT, copy_per_salt, heavy_keys, salt_rows
+from ..operators.skew import SALT, TASK_ROWS, copy_per_salt, heavy_keys, salt_rows
 from ..operators.topk import top_k
 from ..rules import DEFAULT_RULES, Rules
+from ..session import stored
 
 
 def customer_360_listing(gold: DataFrame) -> DataFrame:
@@ -30,7 +31,7 @@ def high_risk_customers(
     loans: DataFrame,
     transactions: DataFrame,
     rules: Rules = DEFAULT_RULES,
-    heavy_rows: int = HEAVY_ROWS,
+    task_rows: int = TASK_ROWS,
 ) -> DataFrame:
     """Customers with a low score, a risky loan or flagged transactions.
 
@@ -38,21 +39,22 @@ def high_risk_customers(
     customer and transaction ids are unique: transactions are counted per customer before they meet
     the loans, so nothing fans out, and the counts equal those of distinct ids.
 
-    Loan positions of customers who own a large part of all loans are spread over salts; copies of a
-    borrower that meet no position on their salt are dropped again.
+    The distinct loan positions are stored once, so the loans are read once.  Positions of a customer
+    with more than a task should hold are spread over salts; copies of a borrower that meet no position
+    on their salt are dropped again.
     """
     key = "customer_id"
     flagged = transactions.filter("is_flagged").groupBy(key).agg(F.count("*").alias("flagged_txns"))
     scores = bureau.select(key, "cibil_score").distinct()
-    borrowers = loans.groupBy(key).agg(F.count("*").alias("_loans"))
-    heavy = heavy_keys(borrowers, key, "_loans", borrowers.agg(F.sum("_loans")).scalar(), heavy_rows)
     position = ["worst_loan_status", "max_dpd", "loan_outstanding"]
-    positions = loans.select(
+    positions = stored(loans.select(
         key,
         F.col("npa_status").alias("worst_loan_status"),
         F.col("dpd").alias("max_dpd"),
         F.col("outstanding_principal").alias("loan_outstanding"),
-    ).distinct().withColumn("_found", F.lit(True))
+    ).distinct(), "loan-positions").withColumn("_found", F.lit(True))
+    borrowers = positions.groupBy(key).agg(F.count("*").alias("_loans"))
+    heavy = heavy_keys(borrowers, key, "_loans", borrowers.agg(F.sum("_loans")).scalar(), task_rows)
     known = (
         customers.select(key, "name", "risk_category", "kyc_status")
         .join(scores, key, "left")

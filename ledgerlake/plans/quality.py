@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..functions.text import blank_to_null
-from ..sinks.publish import LOG_TABLE
+from ..sinks.publish import LOG_TABLE, run_of
 from ..specs import SPECS
 
 
@@ -27,12 +27,18 @@ def required_tables(spark: SparkSession, namespace: str = "bronze") -> DataFrame
     return reduce(DataFrame.unionByName, checks)
 
 
+def run_of_published(spark: SparkSession, namespace: str, name: str) -> str | None:
+    """The published name whose run a table holds, decided by its property alone; views hold no run."""
+    full = f"{namespace}.`{name}`"
+    return None if spark.catalog.getTable(f"{namespace}.{name}").tableType == "VIEW" else run_of(spark, full)
+
+
 def layer_tables(spark: SparkSession, namespace: str) -> list[str]:
     """Tables a user sees in a namespace: not the log, and not the tables of single runs."""
     if not spark.catalog.databaseExists(namespace):
         return []
     names = [t.name for t in spark.catalog.listTables(namespace) if not t.isTemporary]
-    return sorted(n for n in names if n != LOG_TABLE and "__" not in n)
+    return sorted(n for n in names if n != LOG_TABLE and run_of_published(spark, namespace, n) is None)
 
 
 def layer_counts(spark: SparkSession, namespaces: Iterable[str] = ("bronze", "silver", "gold")) -> DataFrame:
@@ -70,9 +76,27 @@ def reconciliation(layers: Mapping[str, tuple[DataFrame, DataFrame, str]]) -> Da
     return reduce(DataFrame.unionByName, parts)
 
 
-def contract_differences(df: DataFrame, expected: T.StructType) -> list[tuple[str, str | None, str | None]]:
-    """Columns whose type differs from the contract: (name, expected, found); empty when all agree."""
+def contract_differences(df: DataFrame, expected: T.StructType) -> DataFrame:
+    """Every column of a table or of its contract: column_name, expected_type, found_type, agrees."""
     found = {f.name: f.dataType.simpleString() for f in df.schema.fields}
     wanted = {f.name: f.dataType.simpleString() for f in expected.fields}
     names = [*wanted, *[n for n in found if n not in wanted]]
-    return [(n, wanted.get(n), found.get(n)) for n in names if wanted.get(n) != found.get(n)]
+    return df.sparkSession.createDataFrame(
+        [(n, wanted.get(n), found.get(n), wanted.get(n) == found.get(n)) for n in names],
+        "column_name string, expected_type string, found_type string, agrees boolean",
+    )
+
+
+def layer_columns(spark: SparkSession, namespace: str, contracts: Mapping[str, T.StructType]) -> DataFrame:
+    """The columns of all tables of a namespace against their contracts; a table without one agrees."""
+    parts = []
+    for name in layer_tables(spark, namespace):
+        table = spark.table(f"{namespace}.{name}")
+        parts.append(contract_differences(table, contracts.get(name, table.schema)).select(
+            F.lit(namespace).alias("layer"), F.lit(name).alias("table_name"), "*"
+        ))
+    if not parts:
+        return spark.createDataFrame(
+            [], "layer string, table_name string, column_name string, expected_type string, found_type string, agrees boolean"
+        )
+    return reduce(DataFrame.unionByName, parts)

@@ -1,12 +1,10 @@
-"""Writers: tables (append, publish with history) and message envelopes."""
+"""Writers: tables (append, full refresh, published refresh), files and message envelopes."""
 
 from .envelopes import preview, to_envelopes, write_envelopes
 from .files import write_extract, write_json_lines
-from .publish import (
-    PublishResult, append, create_namespace, publish, publish_history, replace,
-)
+from .publish import PublishResult, append, create_namespace, publish, replace
 
 __all__ = [
-    "PublishResult", "append", "create_namespace", "preview", "publish", "publish_history",
-    "replace", "to_envelopes", "write_envelopes", "write_extract", "write_json_lines",
+    "PublishResult", "append", "create_namespace", "preview", "publish", "replace", "to_envelopes",
+    "write_envelopes", "write_extract", "write_json_lines",
 ]

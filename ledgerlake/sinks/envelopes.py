@@ -48,7 +48,8 @@ def write_envelopes(
 ) -> None:
     """Send to Kafka (which assigns partitions and offsets), or append envelope files.
 
-    For files, partition and offset come from the input partition and the row's place in it, above
+    Files lie in a folder for each topic, so that a reader of one skips the others.  Partition and
+    offset come from the input partition and the row's place in it, above
     all offsets already there; one writer per path at a time.
     """
     if fmt == "kafka":
@@ -62,5 +63,5 @@ def write_envelopes(
             (F.lit(start) + F.monotonically_increasing_id().bitwiseAND(F.lit(_ROW_BITS))).alias("offset"),
             F.current_timestamp().alias("timestamp"),
         )
-        .write.mode("append").format(fmt).options(**dict(options or {})).save(path)
+        .write.mode("append").partitionBy("topic").format(fmt).options(**dict(options or {})).save(path)
     )

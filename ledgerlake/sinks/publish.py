@@ -1,9 +1,9 @@
-"""Tables: append, full refresh, and publishing with history.
+"""Tables: append, full refresh, and refreshes that readers see at once.
 
 A published table ``db.t`` is a view on the table of its latest run, ``db.t__<run_id>``.  A run writes
-its own table first, then is logged, then the view is switched in one catalog call, so readers never
-see a half-written refresh, a failed run leaves the previous one in place, and earlier runs stay
-readable until someone drops their tables.
+its own table first; then the view is switched in one catalog call, so readers never see a half-written
+refresh and a failed run leaves the previous one in place; then the run is logged.  The table of the
+run before stays for readers that are still in it; older ones are dropped.
 """
 
 from __future__ import annotations
@@ -15,10 +15,9 @@ from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
-from ..sources.tables import run_table
-
 LOG_TABLE = "_publish_log"
-LOG_SCHEMA = "table_name string, run_id string, published_at timestamp, operation string, row_count bigint"
+# Marks the table of a single run with the name it was published under.
+RUN_PROPERTY = "ledgerlake.run_of"
 
 
 @dataclass(frozen=True)
@@ -27,6 +26,11 @@ class PublishResult:
     run_id: str
     rows: int
 
+    @property
+    def run_table(self) -> str:
+        """The table that holds this run."""
+        return f"{self.table}__{self.run_id}"
+
 
 def create_namespace(spark: SparkSession, name: str, location: str | None = None) -> None:
     where = f" LOCATION '{location}'" if location else ""
@@ -42,33 +46,39 @@ def laid_out(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
     return df.hint("rebalance", *[F.col(c) for c in partition_by]) if partition_by else df
 
 
-def _writer(df: DataFrame, mode: str, partition_by: Sequence[str], fmt: str):
-    writer = df.write.mode(mode).format(fmt)
+def _write(df: DataFrame, table: str, mode: str, partition_by: Sequence[str], fmt: str) -> int:
+    """Rows written, as counted by the write itself."""
+    observed = Observation()
+    counted = df.observe(observed, F.count(F.lit(1)).alias("rows"))
+    writer = laid_out(counted, partition_by).write.mode(mode).format(fmt)
     if fmt == "parquet":
         writer = writer.option("compression", "snappy")
-    return writer.partitionBy(*partition_by) if partition_by else writer
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.saveAsTable(table)
+    return observed.get["rows"]
 
 
 def append(df: DataFrame, table: str, partition_by: Sequence[str] = (), fmt: str = "parquet") -> int:
     """Append to a table, creating it on first use; returns the rows written."""
-    observed = Observation()
-    counted = df.observe(observed, F.count(F.lit(1)).alias("rows"))
-    _writer(laid_out(counted, partition_by), "append", partition_by, fmt).saveAsTable(table)
-    return observed.get["rows"]
+    return _write(df, table, "append", partition_by, fmt)
 
 
 def replace(df: DataFrame, table: str, partition_by: Sequence[str] = (), fmt: str = "parquet") -> int:
     """Plain full refresh; atomic only where the table format makes it so."""
-    observed = Observation()
-    counted = df.observe(observed, F.count(F.lit(1)).alias("rows"))
-    _writer(laid_out(counted, partition_by), "overwrite", partition_by, fmt).saveAsTable(table)
-    return observed.get["rows"]
+    return _write(df, table, "overwrite", partition_by, fmt)
 
 
 def new_run_id() -> str:
     return f"{datetime.now(timezone.utc):%Y%m%d%H%M%S%f}_{uuid.uuid4().hex[:6]}"
 
 
+def run_of(spark: SparkSession, table: str) -> str | None:
+    """The published name whose run a table holds; None for all other tables."""
+    found = spark.sql(f"SHOW TBLPROPERTIES {table}").filter(F.col("key") == RUN_PROPERTY).first()
+    return found["value"] if found else None
+
+
 def publish(
     df: DataFrame,
     table: str,
@@ -77,37 +87,29 @@ def publish(
     run_id: str | None = None,
     fmt: str = "parquet",
 ) -> PublishResult:
-    """Write a new run of ``db.table``, log it, and make it the current one.
-
-    The row count comes from the write itself, not from a second evaluation.
-    """
+    """Write a new run of ``db.table``, make it the current one, and log it."""
     spark = df.sparkSession
-    run_id = run_id or new_run_id()
     namespace, _, short = table.rpartition(".")
     if not namespace:
         raise ValueError("table must be given as namespace.name")
-    target = run_table(table, run_id)
-
-    observed = Observation()
-    counted = df.observe(observed, F.count(F.lit(1)).alias("rows"))
-    _writer(laid_out(counted, partition_by), "errorifexists", partition_by, fmt).saveAsTable(target)
-    rows = observed.get["rows"]
-
-    entry = spark.range(1).select(
-        F.lit(short).alias("table_name"),
-        F.lit(run_id).alias("run_id"),
-        F.current_timestamp().alias("published_at"),
-        F.lit("replace").alias("operation"),
-        F.lit(rows).cast("bigint").alias("row_count"),
+    before = None
+    if spark.catalog.tableExists(table):
+        if spark.catalog.getTable(table).tableType != "VIEW":
+            raise ValueError(f"{table} is a plain table; publish under another name or drop it first")
+        before = spark.sql(f"SHOW TBLPROPERTIES {table} ('{RUN_PROPERTY}')").first()["value"]
+    result = PublishResult(table, run_id or new_run_id(), 0)
+    rows = _write(df, result.run_table, "errorifexists", partition_by, fmt)
+    spark.sql(f"ALTER TABLE {result.run_table} SET TBLPROPERTIES ('{RUN_PROPERTY}' = '{short}')")
+    spark.sql(
+        f"CREATE OR REPLACE VIEW {table} TBLPROPERTIES ('{RUN_PROPERTY}' = '{result.run_table}') "
+        f"AS SELECT * FROM {result.run_table}"
     )
-    entry.write.mode("append").format(fmt).saveAsTable(f"{namespace}.{LOG_TABLE}")
-    spark.sql(f"CREATE OR REPLACE VIEW {table} AS SELECT * FROM {target}")
-    return PublishResult(table, run_id, rows)
-
-
-def publish_history(spark: SparkSession, namespace: str, table: str | None = None) -> DataFrame:
-    """Runs published in a namespace, latest first."""
-    log = spark.table(f"{namespace}.{LOG_TABLE}")
-    if table is not None:
-        log = log.filter(F.col("table_name") == table)
-    return log.orderBy(F.col("published_at").desc(), F.col("run_id").desc())
+    spark.range(1).select(
+        F.lit(short).alias("table_name"), F.lit(result.run_id).alias("run_id"),
+        F.current_timestamp().alias("published_at"), F.lit(rows).cast("bigint").alias("row_count"),
+    ).write.mode("append").format(fmt).saveAsTable(f"{namespace}.{LOG_TABLE}")
+    for name in (t.name for t in spark.catalog.listTables(namespace, f"{short}__*") if not t.isTemporary):
+        full = f"{namespace}.{name}"
+        if full not in (result.run_table, before) and run_of(spark, full) == short:
+            spark.sql(f"DROP TABLE {full}")
+    return PublishResult(table, result.run_id, rows)

@@ -1,5 +1,5 @@
 """Structured Streaming ingest."""
 
-from .ingest import await_any, deduplicated, ingest_stream, ingest_topics
+from .ingest import append_new_keys, await_any, ingest_stream, ingest_topics
 
-__all__ = ["await_any", "deduplicated", "ingest_stream", "ingest_topics"]
+__all__ = ["append_new_keys", "await_any", "ingest_stream", "ingest_topics"]

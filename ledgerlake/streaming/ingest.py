@@ -3,29 +3,39 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.bronze import STREAM_PROPERTY, parse_envelopes
+from ..operators.bronze import MESSAGE_ID, STREAM_PROPERTY, parse_envelopes
+from ..operators.dedup import latest_per_key
+from ..sinks.publish import append
 from ..specs import EntitySpec
 
 
-def deduplicated(rows: DataFrame, key: str, event_time: str, delay: str) -> DataFrame:
-    """Drop repeats of a key that arrive within ``delay``; the watermark bounds the state.
+def append_new_keys(rows: DataFrame, table: str, key: str) -> int:
+    """Append the rows of a batch whose key the table does not hold yet, one per key, the latest.
 
-    Later repeats pass; the silver layer removes those.
+    Nothing is dropped for being late: a key is new until the table has it.  Rows without a key have
+    no repeats; of them, messages the table already holds are left out, so a batch that is run again
+    after a failure adds nothing twice.
     """
-    return rows.withWatermark(event_time, delay).dropDuplicatesWithinWatermark([key])
+    held = rows.sparkSession.table(table)
+    keyed = latest_per_key(rows, key).join(held.select(key).filter(F.col(key).isNotNull()), key, "left_anti")
+    known = held.filter(F.col(key).isNull()).select(*[F.col(c).alias(f"_{c}") for c in MESSAGE_ID])
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in MESSAGE_ID])
+    keyless = rows.filter(F.col(key).isNull()).join(known, same, "left_anti")
+    return append(keyed.select(*rows.columns).unionByName(keyless), table)
 
 
-def _ensure_table(spark: SparkSession, table: str, rows: DataFrame, fmt: str) -> None:
+def _ensure_table(spark: SparkSession, table: str, rows: DataFrame, fmt: str, of_stream: bool) -> None:
     if spark.catalog.tableExists(table):
         return
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
-    spark.sql(
-        f"CREATE TABLE {table} ({columns}) USING {fmt} TBLPROPERTIES ('{STREAM_PROPERTY}' = 'true')"
-    )
+    mark = f" TBLPROPERTIES ('{STREAM_PROPERTY}' = 'true')" if of_stream else ""
+    spark.sql(f"CREATE TABLE {table} ({columns}) USING {fmt}{mark}")
 
 
 def ingest_stream(
@@ -36,29 +46,29 @@ def ingest_stream(
     *,
     available_now: bool = False,
     processing_time: str | None = None,
-    dedup_delay: str | None = None,
+    new_keys_only: bool = False,
     fmt: str = "parquet",
     source: str = "kafka",
 ) -> StreamingQuery:
     """Start appending a stream of messages to a bronze table.
 
     Progress lives in the checkpoint below ``checkpoint_dir``, so a restart goes on where it stopped
-    and adds nothing twice.  ``available_now`` stops after what is there at the start.
+    and adds nothing twice.  ``available_now`` stops after what is there at the start.  With
+    ``new_keys_only`` each micro-batch is compared with the keys of the table; without it repeats are
+    kept and silver chooses among them.
     """
     rows = parse_envelopes(envelopes, spec, source)
-    if dedup_delay:
-        rows = deduplicated(rows, spec.key, "kafka_timestamp", dedup_delay)
-    _ensure_table(envelopes.sparkSession, table, rows, fmt)
-    writer = (
-        rows.writeStream.outputMode("append")
-        .format(fmt)
-        .option("checkpointLocation", f"{checkpoint_dir.rstrip('/')}/{spec.topic or spec.name}")
+    _ensure_table(envelopes.sparkSession, table, rows, fmt, of_stream=not new_keys_only)
+    writer = rows.writeStream.outputMode("append").option(
+        "checkpointLocation", f"{checkpoint_dir.rstrip('/')}/{spec.topic or spec.name}"
     )
     if available_now:
         writer = writer.trigger(availableNow=True)
     elif processing_time:
         writer = writer.trigger(processingTime=processing_time)
-    return writer.toTable(table)
+    if new_keys_only:
+        return writer.foreachBatch(lambda batch, _: append_new_keys(batch, table, spec.key) and None).start()
+    return writer.format(fmt).toTable(table)
 
 
 def ingest_topics(

@@ -7,23 +7,23 @@ Queries of writing operators write below the shared scratch folder and read back
 from __future__ import annotations
 
 import uuid
+import warnings
 from collections.abc import Callable
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from .. import operators as op
-from ..plans import aml, counts, customers, medallion, metadata, npa, quality, transactions
+from ..plans import aml, counts, customers, medallion, metadata, npa, quality, sections, transactions
 from ..rules import DEFAULT_RULES
 from ..session import scratch_dir
 from ..sinks import (
-    append, create_namespace, publish, publish_history, to_envelopes, write_envelopes, write_extract,
-    write_json_lines,
+    append, create_namespace, preview, publish, replace as replace_table, to_envelopes, write_envelopes,
+    write_extract, write_json_lines,
 )
-from ..sources import read_as_of, read_envelopes, read_extract, stream_envelopes
-from ..sources.tables import run_table
-from ..specs import AML_ALERTS, BUREAU, CUSTOMERS, NPA_REPORT, TRANSACTIONS
-from ..streaming import deduplicated, ingest_stream
+from ..sources import ENVELOPE_SCHEMA, read_envelopes, read_extract, stream_envelopes
+from ..specs import AML_ALERTS, BUREAU, CUSTOMERS, NPA_REPORT, TRANSACTIONS, route
+from ..streaming import ingest_stream, ingest_topics
 from . import roles
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -71,41 +71,28 @@ def silver_transactions(spark, sf_dir):
 
 @query
 def silver_customers_masked(spark, sf_dir):
-    return op.silver_customers(roles.bronze_customers(spark, sf_dir)).drop("ingestion_ts")
+    return op.silver_customers(roles.bronze_customers(spark, sf_dir, repeats=True)).drop("ingestion_ts")
 
 
 @query
 def silver_loans_ltv(spark, sf_dir):
     bronze = roles.bronze_npa_report(spark, sf_dir, customer=True, collateral=True)
-    return op.silver_loans(bronze).select(
-        "loan_id", "customer_id", "loan_type", "branch_code", "sanctioned_amount",
-        "outstanding_principal", "outstanding_interest", "total_outstanding", "dpd", "npa_status",
-        "npa_date", "provision_amount", "collateral_value", "interest_rate", "ltv_ratio",
-    )
+    return op.silver_loans(bronze).drop("ingestion_ts")
 
 
 @query
 def silver_loans_lms(spark, sf_dir):
-    return op.silver_loans(roles.bronze_lms_loans(spark, sf_dir), "lms").select(
-        "loan_id", "customer_id", "sanctioned_amount", "outstanding_principal", "interest_rate", "dpd",
-        "npa_status", "last_payment_date", "next_due_date", "collateral_value", "ltv_ratio",
-    )
+    return op.silver_loans(roles.bronze_lms_loans(spark, sf_dir), "lms").drop("ingestion_ts")
 
 
 @query
 def silver_bureau(spark, sf_dir):
-    return op.silver_bureau(roles.bronze_bureau(spark, sf_dir)).select(
-        "report_id", "customer_id", "pan", "cibil_score", "total_outstanding", "secured_outstanding",
-        "unsecured_outstanding", "credit_utilization_pct", "written_off_amount", "dpd_90_count",
-    )
+    return op.silver_bureau(roles.bronze_bureau(spark, sf_dir)).drop("ingestion_ts")
 
 
 @query
 def silver_aml_alerts(spark, sf_dir):
-    return op.silver_aml_alerts(roles.bronze_aml_alerts(spark, sf_dir)).select(
-        "alert_id", "customer_id", "customer_name", "alert_date", "risk_score", "total_amount",
-        "description", "status",
-    )
+    return op.silver_aml_alerts(roles.bronze_aml_alerts(spark, sf_dir)).drop("ingestion_ts")
 
 
 @query
@@ -153,33 +140,102 @@ def bronze_stream_ingest(spark, sf_dir):
     namespace, folder = _namespace(spark, "stream_ingest")
     table = f"{namespace}.{TRANSACTIONS.bronze_table}"
     messages, checkpoint = f"{folder}/_messages", f"{folder}/_checkpoints"
-    roles.transaction_envelopes(spark, sf_dir, TRANSACTIONS.topic).write.parquet(messages)
+    roles.transaction_envelopes(spark, sf_dir, TRANSACTIONS.topic).write.partitionBy("topic").parquet(messages)
     for _ in range(2):
-        stream = stream_envelopes(spark, TRANSACTIONS.topic, fmt="parquet", path=messages)
+        stream = stream_envelopes(spark, TRANSACTIONS.topic, per_batch=100, fmt="parquet", path=messages)
         ingest_stream(stream, TRANSACTIONS, table, checkpoint, available_now=True).awaitTermination()
     return _message_fields(spark.table(table))
 
 
 @query
 def stream_dedup(spark, sf_dir):
-    """Every message sent twice; the stream keeps one row per key."""
+    """Messages in three batches: the second repeats all and has new keys of a year before, the third repeats those."""
     namespace, folder = _namespace(spark, "stream_dedup")
-    messages = f"{folder}/_messages"
-    events = roles.load(spark, sf_dir, "events").select(
-        "event_id", F.col("ts").cast("timestamp").alias("ts"), "user_id"
+    messages, table = f"{folder}/_messages", f"{namespace}.events"
+    events = roles.load(spark, sf_dir, "events")
+    late = events.filter("event_id % 50 = 0").withColumns(
+        {"event_id": -F.col("event_id") - 1, "ts": F.col("ts") - F.expr("INTERVAL 365 DAYS")}
     )
-    events.unionAll(events).write.parquet(messages)
-    stream = spark.readStream.schema(events.schema).parquet(messages)
-    table = f"{namespace}.events"
+    for n, part in enumerate((events, events.unionByName(late), late)):
+        part.select(
+            F.lit(None).cast("string").alias("key"),
+            F.to_json(F.struct(F.col("event_id").cast("string").alias("txn_id"), F.date_format("ts", "yyyy-MM-dd").alias("txn_date"),
+                               F.col("user_id").cast("string").alias("customer_id"))).alias("value"),
+            F.lit(TRANSACTIONS.topic).alias("topic"), F.lit(n).alias("partition"),
+            F.col("event_id").alias("offset"), F.col("ts").cast("timestamp").alias("timestamp"),
+        ).coalesce(1).write.mode("append").partitionBy("topic").parquet(messages)
+    stream = stream_envelopes(spark, TRANSACTIONS.topic, per_batch=1, fmt="parquet", path=messages)
+    ingest_stream(
+        stream, TRANSACTIONS, table, f"{folder}/_checkpoints", available_now=True, new_keys_only=True
+    ).awaitTermination()
+    return spark.table(table).select("txn_id", "txn_date", "customer_id")
+
+
+@query
+def stream_topics(spark, sf_dir):
+    """Two topics in one folder of messages, one stream and one bronze table each."""
+    namespace, folder = _namespace(spark, "stream_topics")
+    messages = f"{folder}/_messages"
+    sources = ((TRANSACTIONS, roles.bronze_transactions(spark, sf_dir)), (CUSTOMERS, roles.bronze_customers(spark, sf_dir)))
+    topics = {}
+    for spec, rows in sources:
+        write_envelopes(to_envelopes(rows.select(*spec.columns), spec.topic, spec.key), fmt="parquet", path=messages)
+        topics |= route(spec.topic)
+    for stream in ingest_topics(
+        lambda topic: stream_envelopes(spark, topic, per_batch=100, fmt="parquet", path=messages),
+        topics, namespace, f"{folder}/_checkpoints", available_now=True,
+    ):
+        stream.awaitTermination()
+    parts = [
+        spark.table(f"{namespace}.{spec.bronze_table}").groupBy("kafka_topic").agg(
+            F.count("*").alias("row_count"), F.count_distinct(spec.key).alias("key_count")
+        )
+        for spec, _ in sources
+    ]
+    return parts[0].unionByName(parts[1])
+
+
+@query
+def stream_to_files(spark, sf_dir):
+    """The parsed stream into JSON files instead of a table."""
+    _, folder = _namespace(spark, "stream_files")
+    messages, out = f"{folder}/_messages", f"{folder}/out"
+    roles.transaction_envelopes(spark, sf_dir, TRANSACTIONS.topic).write.partitionBy("topic").parquet(messages)
+    stream = stream_envelopes(spark, TRANSACTIONS.topic, per_batch=100, fmt="parquet", path=messages)
+    parsed = op.parse_envelopes(stream, TRANSACTIONS).select("txn_id", "branch_code", "kafka_offset")
     (
-        deduplicated(stream, "event_id", "ts", "60 days")
-        .writeStream.outputMode("append")
-        .option("checkpointLocation", f"{folder}/_checkpoints")
-        .trigger(availableNow=True)
-        .toTable(table)
-        .awaitTermination()
+        parsed.writeStream.format("json").option("path", out).option("checkpointLocation", f"{folder}/_checkpoint")
+        .trigger(availableNow=True).start().awaitTermination()
     )
-    return spark.table(table)
+    return spark.read.schema("txn_id string, branch_code string, kafka_offset bigint").json(out)
+
+
+@query
+def topic_routing(spark, sf_dir):
+    """Messages of two topics, each parsed as the entity that its topic carries."""
+    parts = []
+    for topic, rows in ((TRANSACTIONS.topic, roles.bronze_transactions(spark, sf_dir)),
+                        (CUSTOMERS.topic, roles.bronze_customers(spark, sf_dir))):
+        spec = route(topic)[topic]
+        sent = to_envelopes(rows.select(*spec.columns), topic, spec.key).withColumns(
+            {f.name: F.lit(None).cast(f.dataType) for f in ENVELOPE_SCHEMA if f.name not in ("key", "value", "topic")}
+        )
+        parsed = op.parse_envelopes(sent, spec)
+        parts.append(parsed.groupBy("kafka_topic").agg(
+            F.count(spec.key).alias("with_key"), F.sum((F.col(spec.key) == F.col("kafka_key")).cast("bigint")).alias("key_agrees")
+        ).withColumn("bronze_table", F.lit(spec.bronze_table)))
+    return parts[0].unionByName(parts[1])
+
+
+@query
+def ingest_stamps(spark, sf_dir):
+    """Source tag and ingestion time of parsed messages and of silver: one tag, one time each."""
+    parsed = op.parse_envelopes(roles.transaction_envelopes(spark, sf_dir, TRANSACTIONS.topic), TRANSACTIONS, "replay")
+    return parsed.groupBy(F.lit("bronze").alias("layer"), F.col("_source").alias("source")).agg(
+        F.count("_ingestion_ts").alias("stamped"), F.count_distinct("_ingestion_ts").alias("stamps")
+    ).unionByName(op.silver_transactions(parsed).groupBy(
+        F.lit("silver").alias("layer"), F.lit(None).cast("string").alias("source")
+    ).agg(F.count("ingestion_ts").alias("stamped"), F.count_distinct("ingestion_ts").alias("stamps")))
 
 
 @query
@@ -191,6 +247,44 @@ def csv_extract(spark, sf_dir):
     return read_extract(spark, TRANSACTIONS, path, typed=True)
 
 
+@query
+def csv_as_text(spark, sf_dir):
+    """The same files as text, blanks as empty text."""
+    path = scratch_dir(spark, "csv_text")
+    write_extract(roles.bronze_transactions(spark, sf_dir).select(*TRANSACTIONS.columns), path)
+    return read_extract(spark, TRANSACTIONS, path, blank_as_text=True)
+
+
+@query
+def csv_recursive(spark, sf_dir):
+    """Extracts in day folders, found below their common folder."""
+    path = scratch_dir(spark, "csv_days")
+    raw = roles.bronze_transactions(spark, sf_dir).select(*TRANSACTIONS.columns)
+    for half in (0, 1):
+        write_extract(raw.filter(F.length("txn_id") % 2 == half), f"{path}/2026/04/{14 + half}")
+    found = read_extract(spark, TRANSACTIONS, path, recursive=True, name_filter="*.csv")
+    return found.groupBy("branch_code").agg(F.count("*").alias("row_count"), F.count("customer_id").alias("with_customer"))
+
+
+@query
+def csv_to_bronze(spark, sf_dir):
+    """A folder of customer extracts into a bronze table; a folder without rows adds nothing."""
+    namespace, folder = _namespace(spark, "csv_bronze")
+    table = f"{namespace}.{CUSTOMERS.bronze_table}"
+    customers_ = roles.bronze_customers(spark, sf_dir).select(*CUSTOMERS.columns)
+    write_extract(customers_, f"{folder}/full")
+    write_extract(customers_.filter("false"), f"{folder}/empty")
+    written = [op.ingest_extract(spark, CUSTOMERS, f"{folder}/{part}", table) for part in ("full", "empty")]
+    return spark.table(table).select(*CUSTOMERS.columns, "_source", F.lit(written[1]).alias("from_empty"))
+
+
+@query
+def publish_preview(spark, sf_dir):
+    """Dry run: the first messages of one branch's richest customers, values cut."""
+    rows = roles.bronze_customers(spark, sf_dir).select("customer_id", "name").orderBy(F.col("customer_id").cast("bigint"))
+    return preview(to_envelopes(rows, CUSTOMERS.topic, CUSTOMERS.key), rows=3, chars=30)
+
+
 @query
 def publish_envelope(spark, sf_dir):
     """Customers as keyed JSON messages in files, read back and parsed."""
@@ -305,31 +399,148 @@ def low_score_top20(spark, sf_dir):
 
 # --- reports on silver and gold -------------------------------------------------------------------
 
+ENTITIES = (TRANSACTIONS, CUSTOMERS, NPA_REPORT, BUREAU, AML_ALERTS)
+
+
+def _bronze(spark, sf_dir):
+    """The bronze tables of all entities, written."""
+    namespace, _ = _namespace(spark, "layers")
+    names = medallion.Namespaces(*[f"{namespace}_{layer}" for layer in LAYERS])
+    for name in (names.bronze, names.silver, names.gold):
+        create_namespace(spark, name, scratch_dir(spark, name))
+    for spec, df in zip(ENTITIES, (
+        roles.bronze_transactions(spark, sf_dir),
+        roles.bronze_customers(spark, sf_dir, repeats=True),
+        roles.bronze_npa_report(spark, sf_dir, customer=True, collateral=True),
+        roles.bronze_bureau(spark, sf_dir),
+        roles.bronze_aml_alerts(spark, sf_dir),
+    ), strict=True):
+        append(df, f"{names.bronze}.{spec.bronze_table}")
+    return names
+
+
+def _published_silver(spark, sf_dir):
+    names = _bronze(spark, sf_dir)
+    medallion.build_silver(spark, names)
+    return names
+
+
 @query
 def layer_reconciliation(spark, sf_dir):
-    bronze_txn = roles.bronze_transactions(spark, sf_dir)
-    bronze_cust = roles.bronze_customers(spark, sf_dir)
-    bronze_loans = roles.bronze_npa_report(spark, sf_dir)
+    """Rows of bronze and of the silver tables published from it."""
+    names = _published_silver(spark, sf_dir)
     return counts.row_counts({
-        "bronze.finacle_transactions": bronze_txn,
-        "silver.finacle_transactions": op.silver_transactions(bronze_txn),
-        "bronze.finacle_customers": bronze_cust,
-        "silver.finacle_customers": op.silver_customers(bronze_cust),
-        "bronze.lms_loans": bronze_loans,
-        "silver.lms_loans": op.silver_loans(bronze_loans),
+        f"{layer}.{name}": spark.table(f"{namespace}.{name}")
+        for layer, namespace, tables in (
+            ("bronze", names.bronze, [s.bronze_table for s in ENTITIES[:3]]),
+            ("silver", names.silver, [s.silver_table for s in ENTITIES[:3]]),
+        )
+        for name in tables
     }, "table_name", "row_count")
 
 
 @query
 def key_reconciliation(spark, sf_dir):
-    bronze_txn = roles.bronze_transactions(spark, sf_dir)
-    bronze_loans = roles.bronze_npa_report(spark, sf_dir)
+    """All entities against their published silver, of which the customers' was damaged."""
+    names = _published_silver(spark, sf_dir)
+    damaged = f"{names.silver}.{CUSTOMERS.silver_table}"
+    publish(spark.table(damaged).filter("customer_id % 7 != 0"), damaged)
     return quality.reconciliation({
-        "transactions": (bronze_txn, op.silver_transactions(bronze_txn), "txn_id"),
-        "loans": (bronze_loans, op.silver_loans(bronze_loans), "loan_id"),
+        spec.name: (spark.table(f"{names.bronze}.{spec.bronze_table}"), spark.table(f"{names.silver}.{spec.silver_table}"), spec.key)
+        for spec in ENTITIES
     })
 
 
+@query
+def required_tables(spark, sf_dir):
+    """Of the required bronze tables one is there, one is empty, one is absent."""
+    namespace, _ = _namespace(spark, "required")
+    append(roles.bronze_customers(spark, sf_dir), f"{namespace}.{CUSTOMERS.bronze_table}")
+    append(roles.bronze_npa_report(spark, sf_dir).filter("false"), f"{namespace}.{NPA_REPORT.bronze_table}")
+    checks = quality.required_tables(spark, namespace)
+    return checks.withColumn("table_name", F.substring_index("table_name", ".", -1))
+
+
+@query
+def silver_contract(spark, sf_dir):
+    """Columns of published silver customers and transactions against a contract with one other type and one more column."""
+    namespace, _ = _namespace(spark, "contract")
+    publish(op.silver_customers(roles.bronze_customers(spark, sf_dir)).select("customer_id", "name", "annual_income"), f"{namespace}.customers")
+    contract = T.StructType.fromDDL("customer_id string, name string, annual_income double, segment string")
+    return quality.layer_columns(spark, namespace, {"customers": contract}).withColumn("layer", F.lit("silver"))
+
+
+@query
+def reports_without_alerts(spark, sf_dir):
+    """The reports that remain, and their rows, when the optional tables are absent."""
+    namespace, _ = _namespace(spark, "partial")
+    for spec, df in ((TRANSACTIONS, roles.bronze_transactions(spark, sf_dir).withColumn("_ingestion_ts", F.col("kafka_timestamp"))),
+                     (CUSTOMERS, roles.bronze_customers(spark, sf_dir)), (NPA_REPORT, roles.bronze_npa_report(spark, sf_dir))):
+        append(df, f"{namespace}.{spec.bronze_table}")
+    with warnings.catch_warnings():
+        warnings.simplefilter("ignore")
+        reports = sections.bronze_reports(spark, namespace=namespace)
+    return counts.row_counts(reports, "report", "row_count")
+
+
+def _silver_of(spark, sf_dir):
+    """Silver as built from bronze, without arrival columns of its own."""
+    return (
+        op.silver_transactions(roles.bronze_transactions(spark, sf_dir)),
+        op.silver_customers(roles.bronze_customers(spark, sf_dir, repeats=True)),
+        op.silver_loans(roles.bronze_npa_report(spark, sf_dir, customer=True, collateral=True)),
+    )
+
+
+@query
+def gold_branch_from_silver(spark, sf_dir):
+    return op.branch_txn_summary(_silver_of(spark, sf_dir)[0])
+
+
+@query
+def gold_npa_from_silver(spark, sf_dir):
+    return op.npa_classification_summary(_silver_of(spark, sf_dir)[2])
+
+
+@query
+def gold_customer_360_from_silver(spark, sf_dir):
+    silver = _silver_of(spark, sf_dir)
+    return op.customer_360(silver[1], silver[0], silver[2])
+
+
+@query
+def branch_summary_order(spark, sf_dir):
+    ordered = op.with_position(transactions.branch_summary(roles.silver_transactions(spark, sf_dir)))
+    return ordered.select("position", "branch_code", "txn_type")
+
+
+@query
+def hourly_pattern_order(spark, sf_dir):
+    ordered = op.with_position(transactions.hourly_pattern(roles.silver_transactions(spark, sf_dir)))
+    return ordered.select("position", "txn_hour")
+
+
+@query
+def npa_regulatory_positions(spark, sf_dir):
+    ordered = op.with_position(npa.npa_regulatory(roles.silver_loans(spark, sf_dir)))
+    return ordered.select("position", "npa_status")
+
+
+@query
+def flagged_detail_order(spark, sf_dir):
+    ordered = op.with_position(aml.flagged_detail(
+        roles.silver_transactions(spark, sf_dir), roles.silver_customers(spark, sf_dir)
+    ))
+    return ordered.select("position", "txn_id")
+
+
+@query
+def provision_reported(spark, sf_dir):
+    """The provision by rule beside the sum of the report's own figures."""
+    loans = op.silver_loans(roles.bronze_npa_report(spark, sf_dir, collateral=True))
+    return npa.provision_requirement(loans, with_reported=True)
+
+
 @query
 def branch_summary(spark, sf_dir):
     return transactions.branch_summary(roles.silver_transactions(spark, sf_dir))
@@ -359,6 +570,13 @@ def structuring_detection(spark, sf_dir):
     )
 
 
+@query
+def structuring_ids(spark, sf_dir):
+    return aml.structuring_ids(
+        roles.silver_transactions(spark, sf_dir), roles.silver_customers(spark, sf_dir)
+    )
+
+
 @query
 def high_value_cash(spark, sf_dir):
     return aml.high_value_cash(
@@ -418,61 +636,66 @@ def partition_pruned_total(spark, sf_dir):
     return transactions.month_total(spark.table(table), MONTH)
 
 
+def _files(spark, table):
+    """Files of a table by its partition folder, as the file system lists them."""
+    location = spark.sql(f"DESCRIBE FORMATTED {table}").filter("col_name = 'Location'").first()["data_type"]
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet")
+    return reader.load(location).select("path", "length")
+
+
 @query
 def partition_profile(spark, sf_dir):
-    _, table, result = _published_months(spark, sf_dir)
-    profile = metadata.partition_profile(spark.table(run_table(table, result.run_id)), "txn_month")
-    return profile.select("txn_month", "row_count", (F.col("file_count") >= 1).alias("has_files"))
+    """Rows and files of every month; files compared with what the file system lists."""
+    _, _, result = _published_months(spark, sf_dir)
+    profile = metadata.partition_profile(spark.table(result.run_table), "txn_month")
+    listed = _files(spark, result.run_table).groupBy(
+        F.regexp_extract("path", "txn_month=([^/]+)", 1).alias("month")
+    ).agg(F.count("*").alias("listed"))
+    joined = profile.join(listed, F.col("txn_month") == F.col("month"), "left")
+    return joined.select("txn_month", "row_count", (F.col("file_count") == F.col("listed")).alias("files_agree"))
 
 
 @query
 def file_profile(spark, sf_dir):
+    """Rows of every file; bytes compared with what the file system lists."""
     files = metadata.file_profile(roles.load(spark, sf_dir, "lineitem"))
-    return files.select(F.substring_index("file_path", "/", -1).alias("file_name"), "row_count")
+    listed = spark.read.format("binaryFile").load(f"{sf_dir}/lineitem.parquet").select(
+        F.substring_index("path", "/", -1).alias("file_name"), "length"
+    )
+    named = files.withColumn("file_name", F.substring_index("file_path", "/", -1))
+    return named.join(listed, "file_name").select(
+        "file_name", "row_count", (F.col("file_bytes") == F.col("length")).alias("bytes_agree")
+    )
 
 
 @query
-def publish_history_log(spark, sf_dir):
-    namespace, table, _ = _published_months(spark, sf_dir)
-    large = roles.monthly_transactions(spark, sf_dir).filter(F.col("amount") >= 200_000)
-    publish(large, table, partition_by=("txn_month",), run_id="second")
-    return publish_history(spark, namespace).drop("published_at")
+def publish_refresh(spark, sf_dir):
+    """After a second run replaced the table, readers see its rows alone."""
+    _, table, _ = _published_months(spark, sf_dir)
+    publish(roles.monthly_transactions(spark, sf_dir).withColumn("amount", (F.col("amount") * 2).cast(roles.MONEY)),
+            table, partition_by=("txn_month",), run_id="second")
+    return spark.table(table).groupBy("txn_month").agg(F.count("*").alias("row_count"), F.sum("amount").alias("total_amount"))
 
 
 @query
-def read_as_of_run(spark, sf_dir):
-    """After a second run replaced the table, the first run's rows are still there."""
-    _, table, result = _published_months(spark, sf_dir)
-    large = roles.monthly_transactions(spark, sf_dir).filter(F.col("amount") >= 200_000)
-    publish(large, table, partition_by=("txn_month",), run_id="second")
-    totals = [
-        df.agg(F.count("*").alias("row_count"), F.sum("amount").alias("total_amount")).select(
-            F.lit(name).alias("reading"), "row_count", "total_amount"
-        )
-        for name, df in (
-            ("as_of_first", read_as_of(spark, table, run_id=result.run_id)),
-            ("current", spark.table(table)),
-        )
-    ]
-    return totals[0].unionByName(totals[1])
+def replaced_table(spark, sf_dir):
+    """A plain table written twice holds the second content."""
+    namespace, _ = _namespace(spark, "replaced")
+    table = f"{namespace}.customers"
+    rows = roles.silver_customers(spark, sf_dir)
+    replace_table(rows.unionByName(rows), table)
+    replace_table(rows, table)
+    return spark.table(table)
 
 
 @query
 def layer_counts(spark, sf_dir):
-    """Bronze tables written, silver and gold built and published from them, every table counted."""
-    namespace, _ = _namespace(spark, "layers")
-    names = medallion.Namespaces(*[f"{namespace}_{layer}" for layer in LAYERS])
-    create_namespace(spark, names.bronze, scratch_dir(spark, "layers_bronze"))
-    create_namespace(spark, names.silver, scratch_dir(spark, "layers_silver"))
-    create_namespace(spark, names.gold, scratch_dir(spark, "layers_gold"))
-    for spec, df in (
-        (TRANSACTIONS, roles.bronze_transactions(spark, sf_dir)),
-        (CUSTOMERS, roles.bronze_customers(spark, sf_dir)),
-        (NPA_REPORT, roles.bronze_npa_report(spark, sf_dir, customer=True, collateral=True)),
-        (BUREAU, roles.bronze_bureau(spark, sf_dir)),
-        (AML_ALERTS, roles.bronze_aml_alerts(spark, sf_dir)),
-    ):
-        append(df, f"{names.bronze}.{spec.bronze_table}")
+    """Bronze tables written, silver and gold built and published from them, every table counted.
+
+    One bronze table has a name with two underscores.
+    """
+    names = _bronze(spark, sf_dir)
+    append(roles.load(spark, sf_dir, "region"), f"{names.bronze}.region__daily")
     medallion.build_layers(spark, names)
     counted = quality.layer_counts(spark, (names.bronze, names.silver, names.gold))
     return counted.withColumn("layer", F.substring_index("layer", "_", -1))
@@ -489,4 +712,4 @@ def status_override(spark, sf_dir):
 
 @query
 def alert_derivation(spark, sf_dir):
-    return op.derive_alerts(op.override_cash_status(roles.silver_transactions(spark, sf_dir), RULES))
+    return op.alert_base(op.override_cash_status(roles.silver_transactions(spark, sf_dir), RULES))

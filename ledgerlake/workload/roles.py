@@ -34,6 +34,12 @@ def _amount() -> Column:
     return (F.col("value").cast(MONEY) * 1000).cast(MONEY)
 
 
+def _spoken(channel: Column, n: Column) -> Column:
+    """Text as people type it: lower case in spaces, or between a tab and a line end."""
+    messy = F.when(n % 7 == 0, F.concat(F.lit(" "), F.lower(channel), F.lit(" ")))
+    return messy.when(n % 7 == 1, F.concat(F.lit("\t"), channel, F.lit("\n"))).otherwise(channel)
+
+
 def _event_status() -> Column:
     kind = F.col("event_type")
     return F.when(kind == "error", "FLAGGED").when(kind == "signup", "FAILED").otherwise("SUCCESS")
@@ -60,8 +66,13 @@ def silver_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bronze_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``events`` as raw transactions with their message columns."""
-    events = load(spark, sf_dir, "events")
+    """``events`` as raw transactions with their message columns.
+
+    Every 20th comes again, with a later offset and another amount.
+    """
+    first = load(spark, sf_dir, "events").withColumn("again", F.lit(0).cast("bigint"))
+    events = first.unionByName(first.filter("event_id % 20 = 0").withColumn("again", F.lit(1).cast("bigint")))
+    paid = (_amount() + F.col("again")).cast(MONEY)
     n = F.col("event_id")
     channel = _choice(n % 6, CHANNELS)
     stamp = F.when(n % 2 == 0, F.date_format("ts", f"yyyy-MM-dd'T'{MICROS}")).otherwise(
@@ -70,21 +81,21 @@ def bronze_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events.select(
         _text(n).alias("txn_id"),
         F.concat(F.lit("ACCT"), _text("user_id")).alias("account_id"),
-        F.when(n % 101 == 0, "").when(n % 103 != 0, _text("user_id")).alias("customer_id"),
+        F.when(n % 101 == 0, "").when(n % 107 == 0, "\t\n").when(n % 103 != 0, _text("user_id")).alias("customer_id"),
         F.when(n % 2 == 0, "CREDIT").otherwise("DEBIT").alias("txn_type"),
-        F.when(n % 97 == 0, "N/A").when(n % 89 == 0, "").otherwise(_text(_amount())).alias("amount"),
+        F.when(n % 97 == 0, "N/A").when(n % 89 == 0, "").otherwise(_text(paid)).alias("amount"),
         F.lit("INR").alias("currency"),
         F.when(n % 83 == 0, "not-a-date").otherwise(stamp).alias("txn_date"),
         F.date_format("ts", "yyyy-MM-dd").alias("value_date"),
         _branch(F.get_json_object("props", "$.k").cast("int")).alias("branch_code"),
-        F.when(n % 7 == 0, F.concat(F.lit(" "), F.lower(channel), F.lit(" "))).otherwise(channel).alias("channel"),
-        F.concat(F.lit("REF "), _text(n)).alias("narration"),
+        _spoken(channel, n).alias("channel"),
+        F.concat(F.lit("REF "), _text(n), F.when(n % 113 == 0, "\nline two").otherwise("")).alias("narration"),
         _text((_amount() * 2).cast(MONEY)).alias("balance_after"),
         F.when(n % 61 != 0, _event_status()).alias("status"),
         F.concat(channel, _text(n)).alias("ref_number"),
         F.col("event_type").alias("kafka_topic"),
         (n % 4).cast("int").alias("kafka_partition"),
-        n.alias("kafka_offset"),
+        (n + F.col("again") * 1_000_000_000).alias("kafka_offset"),
         F.col("ts").cast("timestamp").alias("kafka_timestamp"),
     )
 
@@ -114,8 +125,14 @@ def silver_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def bronze_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``customer`` as raw customers with personal data."""
+def bronze_customers(spark: SparkSession, sf_dir: str, *, repeats: bool = False) -> DataFrame:
+    """``customer`` as raw customers with personal data; with ``repeats`` every 25th moved and came again."""
+    if repeats:
+        first = bronze_customers(spark, sf_dir).withColumn("kafka_offset", F.lit(1).cast("bigint"))
+        moved = first.filter("customer_id % 25 = 0").withColumns(
+            {"address_city": F.lit("moved"), "kafka_offset": F.lit(2).cast("bigint")}
+        )
+        return first.unionByName(moved)
     n, nothing = F.col("c_custkey"), F.lit(None).cast("string")
     pan = F.concat(F.lit("PANXX"), F.lpad(_text(n), 4, "0"), F.lit("Z"))
     email = F.when(n % 17 == 0, F.col("c_name")).when(n % 11 == 0, "").when(
@@ -301,10 +318,10 @@ def silver_bureau(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bronze_aml_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Error ``events`` as raw alerts; like derived alerts they carry no customer name."""
+    """``events`` as raw alerts without a customer name."""
     n, nothing = F.col("event_id"), F.lit(None).cast("string")
-    status = _choice(n % 4, ("OPEN", " open ", "UNDER_REVIEW", "CLOSED"))
-    return load(spark, sf_dir, "events").filter(F.col("event_type") == "error").select(
+    status = _choice(n % 4, ("OPEN", "\topen\n", "UNDER_REVIEW", "CLOSED"))
+    return load(spark, sf_dir, "events").select(
         F.concat(F.lit("AML"), _text(n)).alias("alert_id"),
         _text("user_id").alias("customer_id"),
         nothing.alias("customer_name"),

@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 from ledgerlake import operators as op
 from ledgerlake.session import scan_bytes, scratch_dir, shuffle_partitions
 from ledgerlake.sinks import preview, to_envelopes, write_envelopes, write_extract, write_json_lines
-from ledgerlake.sources import ENVELOPE_SCHEMA, read_envelopes, read_extract, stream_envelopes
+from ledgerlake.sources import ENVELOPE_SCHEMA, read_envelopes, read_extract, resume_offsets, stream_envelopes
+from ledgerlake.sources.envelopes import kafka_options
 from ledgerlake.specs import AML_ALERTS, CUSTOMERS, SPECS, TOPICS, TRANSACTIONS, route
-from ledgerlake.streaming import await_any, deduplicated, ingest_stream, ingest_topics
+from ledgerlake.streaming import await_any, ingest_stream, ingest_topics
 
 from data import by_key, rows, txn
 
@@ -59,14 +60,13 @@ def test_binary_envelopes_parse_alike(spark):
     )
 
 
-@pytest.mark.parametrize("method", ["exact", "high_water"])
-def test_ingest_is_idempotent(spark, namespace, method):
+def test_ingest_is_idempotent(spark, namespace):
     table = f"{namespace}.txn"
     first = envelopes(spark, txn(1), txn(2), txn(3))
-    assert op.ingest_batch(first, TRANSACTIONS, table, method=method) == 3
-    assert op.ingest_batch(first, TRANSACTIONS, table, method=method) == 0
+    assert op.ingest_batch(first, TRANSACTIONS, table) == 3
+    assert op.ingest_batch(first, TRANSACTIONS, table) == 0
     more = first.unionByName(envelopes(spark, txn(4), txn(5), start=3))
-    assert op.ingest_batch(more, TRANSACTIONS, table, method=method) == 2
+    assert op.ingest_batch(more, TRANSACTIONS, table) == 2
     assert spark.table(table).count() == 5
     assert spark.table(table).select("kafka_offset").distinct().count() == 5
 
@@ -75,8 +75,61 @@ def test_exact_ingest_fills_gaps(spark, namespace):
     table = f"{namespace}.txn"
     op.ingest_batch(envelopes(spark, txn(8), txn(9), start=8), TRANSACTIONS, table)
     assert op.ingest_batch(envelopes(spark, txn(1), txn(2)), TRANSACTIONS, table) == 2
-    with pytest.raises(ValueError):
-        op.unseen(spark.table(table), spark.table(table), "guess")
+
+
+def test_a_topic_made_anew_counts_from_zero_again(spark, namespace):
+    table = f"{namespace}.txn"
+    op.ingest_batch(envelopes(spark, txn(1), txn(2)), TRANSACTIONS, table)
+    later = envelopes(spark, txn(3), txn(4)).withColumn("timestamp", F.expr("timestamp + INTERVAL 1 DAY"))
+    assert op.ingest_batch(later, TRANSACTIONS, table) == 2
+    assert op.ingest_batch(later, TRANSACTIONS, table) == 0
+    unstamped = envelopes(spark, txn(5)).withColumn("timestamp", F.lit(None).cast("timestamp"))
+    assert [op.ingest_batch(unstamped, TRANSACTIONS, table) for _ in range(2)] == [1, 0]
+
+
+def test_known_messages_are_left_out_before_parsing(spark, namespace):
+    env = envelopes(spark, txn(1))
+    op.ingest_batch(env, TRANSACTIONS, f"{namespace}.txn")
+    plan = op.parse_envelopes(op.unseen(env, spark.table(f"{namespace}.txn")), TRANSACTIONS)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("from_json") < plan.index("LeftAnti")  # plans are printed from the top
+
+
+def test_resume_offsets(spark):
+    held = op.parse_envelopes(envelopes(spark, txn(1), txn(2), txn(3), txn(4)), TRANSACTIONS)  # partition 0: 0, 2; 1: 1, 3
+    assert json.loads(resume_offsets(held, TOPIC)) == {TOPIC: {"0": -2, "1": -2}}
+    whole = held.withColumns({"kafka_partition": F.lit(0), "kafka_offset": F.col("kafka_offset") + 5})
+    assert json.loads(resume_offsets(whole, TOPIC)) == {TOPIC: {"0": 9}}
+    assert resume_offsets(held, "another") == "earliest"
+
+
+class Reader:
+    """Records what a reader is asked for."""
+
+    def format(self, name):
+        self.name = name
+        return self
+
+    def options(self, **given):
+        self.given = given
+        return self
+
+    def load(self):
+        return self
+
+
+def test_kafka_options():
+    session = type("Session", (), {"read": Reader(), "readStream": Reader()})()
+    batch = read_envelopes(session, "t", options={"kafka.bootstrap.servers": "b:1", "startingOffsets": "latest"}, skip_lost=True)
+    assert batch.name == "kafka" and batch.given == {
+        "kafka.bootstrap.servers": "b:1", "startingOffsets": "latest", "failOnDataLoss": "false", "subscribe": "t",
+    }
+    stream = stream_envelopes(session, "t", per_batch=7)
+    assert stream.given == {
+        "startingOffsets": "earliest", "failOnDataLoss": "true", "subscribe": "t", "maxOffsetsPerTrigger": "7",
+    }
+    assert kafka_options("t", {"subscribe": "u"}, False)["subscribe"] == "t"
+    with pytest.raises(TypeError):
+        stream_envelopes(session, "t")
 
 
 def test_empty_batch_changes_nothing(spark, namespace):
@@ -93,7 +146,7 @@ def test_stream_equals_batch_and_restarts(spark, namespace, tmp_path):
     envelopes(spark, {"alert_id": "A1"}, topic="aml-alerts").write.mode("append").parquet(messages)
 
     def run(table):
-        stream = stream_envelopes(spark, TOPIC, fmt="parquet", path=messages)
+        stream = stream_envelopes(spark, TOPIC, per_batch=5, fmt="parquet", path=messages)
         ingest_stream(stream, TRANSACTIONS, table, checkpoint, available_now=True).awaitTermination()
 
     streamed, batch = f"{namespace}.streamed", f"{namespace}.batch"
@@ -117,7 +170,7 @@ def test_several_topics(spark, namespace, tmp_path):
     envelopes(spark, {"alert_id": "A1", "risk_score": 77}, topic="aml-alerts").write.mode("append").parquet(messages)
     topics = {t: TOPICS[t] for t in (TOPIC, "aml-alerts")}
     queries = ingest_topics(
-        lambda t: stream_envelopes(spark, t, fmt="parquet", path=messages), topics, namespace,
+        lambda t: stream_envelopes(spark, t, per_batch=5, fmt="parquet", path=messages), topics, namespace,
         str(tmp_path / "checkpoints"), available_now=True,
     )
     await_any(spark, 60)
@@ -128,22 +181,33 @@ def test_several_topics(spark, namespace, tmp_path):
     assert {p.name for p in (tmp_path / "checkpoints").iterdir()} == set(topics)
 
 
-def test_stream_deduplication(spark, namespace, tmp_path):
-    messages = str(tmp_path / "messages")
-    twice = envelopes(spark, txn(1), txn(2), txn(1))
-    twice.write.parquet(messages)
-    stream = stream_envelopes(spark, TOPIC, fmt="parquet", path=messages)
-    ingest_stream(
-        stream, TRANSACTIONS, f"{namespace}.txn", str(tmp_path / "c"), available_now=True, dedup_delay="1 day"
-    ).awaitTermination()
-    assert sorted(r["txn_id"] for r in spark.table(f"{namespace}.txn").collect()) == ["TXN000001", "TXN000002"]
-    assert deduplicated(stream, "key", "timestamp", "1 hour").isStreaming
+def test_stream_of_new_keys_loses_nothing(spark, namespace, tmp_path):
+    messages, table = str(tmp_path / "messages"), f"{namespace}.txn"
+    late = envelopes(spark, txn(9), start=50).withColumn("timestamp", F.expr("timestamp - INTERVAL 300 DAYS"))
+    for part in (
+        envelopes(spark, txn(1), txn(2), txn(1), "{bad"), envelopes(spark, txn(2), txn(3), start=20),
+        late.unionByName(envelopes(spark, txn(1), "{bad", start=30)),
+    ):
+        part.coalesce(1).write.mode("append").parquet(messages)
+
+    def run():
+        stream = stream_envelopes(spark, TOPIC, per_batch=1, fmt="parquet", path=messages)
+        ingest_stream(
+            stream, TRANSACTIONS, table, str(tmp_path / "c"), available_now=True, new_keys_only=True
+        ).awaitTermination()
+
+    run()
+    run()
+    ids = [r["txn_id"] for r in spark.table(table).collect()]
+    assert sorted(i for i in ids if i) == ["TXN000001", "TXN000002", "TXN000003", "TXN000009"]
+    assert ids.count(None) == 2  # malformed messages are all kept
+    assert op.ingest_batch(envelopes(spark, txn(7), start=70), TRANSACTIONS, table) == 1
 
 
 def test_parsed_stream_to_another_sink(spark, tmp_path):
     messages = str(tmp_path / "messages")
     envelopes(spark, txn(1), txn(2)).write.parquet(messages)
-    parsed = op.parse_envelopes(stream_envelopes(spark, TOPIC, fmt="parquet", path=messages), TRANSACTIONS)
+    parsed = op.parse_envelopes(stream_envelopes(spark, TOPIC, per_batch=5, fmt="parquet", path=messages), TRANSACTIONS)
     query = parsed.writeStream.format("memory").queryName("shown").trigger(availableNow=True).start()
     query.awaitTermination()
     assert spark.table("shown").count() == 2
@@ -190,6 +254,23 @@ def test_csv_extract(spark, tmp_path):
     assert deep.count() == 2
 
 
+def test_csv_with_line_ends_in_values(spark, tmp_path, namespace):
+    path = str(tmp_path / "lines")
+    given = rows(spark, AML_ALERTS, {"alert_id": "A1", "description": "one\ntwo"}, {"alert_id": "A2", "risk_score": "7"})
+    write_extract(given, path)
+    back = by_key(read_extract(spark, AML_ALERTS, path), "alert_id")
+    assert set(back) == {"A1", "A2"} and back["A1"]["description"] == "one\ntwo"
+    with pytest.raises(Exception, match="(?i)malformed"):
+        read_extract(spark, AML_ALERTS, path, multiline=False).collect()
+    table = f"{namespace}.alerts"
+    assert op.ingest_extract(spark, AML_ALERTS, path, table) == 2
+    empty = str(tmp_path / "empty")
+    write_extract(given.filter("false"), empty)
+    assert op.ingest_extract(spark, AML_ALERTS, empty, f"{namespace}.none") == 0
+    assert not spark.catalog.tableExists(f"{namespace}.none")
+    assert {r["_source"] for r in spark.table(table).collect()} == {"csv"}
+
+
 def test_csv_with_other_header_fails(spark, tmp_path):
     path = tmp_path / "other.csv"
     header = ",".join(reversed(AML_ALERTS.columns))

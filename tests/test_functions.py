@@ -56,7 +56,7 @@ def test_both_timestamp_spellings(spark):
     assert one(spark, "xx", fn.to_timestamp("x")) is None
 
 
-@pytest.mark.parametrize("text, blank", [(None, True), ("", True), ("  ", True), (" a", False)])
+@pytest.mark.parametrize("text, blank", [(None, True), ("", True), ("  ", True), ("\t\r\n", True), (" a", False)])
 def test_blank(spark, text, blank):
     assert one(spark, text, fn.is_blank("x")) is blank
     assert one(spark, text, fn.blank_to_null("x")) == (None if blank else text)

@@ -76,21 +76,16 @@ def test_status_override(spark, channel, amount, expected):
     assert op.override_cash_status(txn).first()["status"] == expected
 
 
-def test_alerts_are_unique_and_repeatable(spark):
-    txn = transactions(spark, *[{"a": f"{i}.00", "s": "FLAGGED" if i % 2 else "SUCCESS"} for i in range(400)])
-    first = op.derive_alerts(txn).collect()
-    again = op.derive_alerts(txn.repartition(5)).collect()
-    assert len(first) == 200 and {tuple(r) for r in first} == {tuple(r) for r in again}
-    assert len({r["alert_id"] for r in first}) == 200
-    assert all(r["alert_id"].startswith("AML20260414-") for r in first)
-    assert {r["alert_type"] for r in first} == {"STRUCTURING", "HIGH_VALUE", "VELOCITY", "UNUSUAL_PATTERN"}
-    assert all(60 <= r["risk_score"] <= 99 for r in first)
-    assert {r["priority"] for r in first} == {"CRITICAL", "HIGH", "MEDIUM"}
-    high = next(r for r in first if r["alert_type"] == "HIGH_VALUE")
-    assert high["description"] == f"High value NEFT {high['total_amount']}"
-    assert len(first[0]) == 12
+def test_alert_base(spark):
+    txn = transactions(spark, *[{"a": f"{i}.00", "s": "FLAGGED" if i % 2 else "SUCCESS"} for i in range(400)], {"s": "FLAGGED", "d": None})
+    first = op.alert_base(txn).collect()
+    assert {tuple(r) for r in first} == {tuple(r) for r in op.alert_base(txn.repartition(5)).collect()}
+    assert len(first) == len({r["alert_id"] for r in first}) == 201
+    by_id = {r["alert_id"]: r for r in first}
+    assert tuple(by_id["AML20260414-T7"]) == ("AML20260414-T7", "C1", "2026-04-14", "T7", Decimal("7.00"))
+    assert by_id["AML00000000-T400"]["alert_date"] is None
 
 
 def test_flag_status_is_a_rule(spark):
     txn = transactions(spark, {"a": "1.00", "s": "HELD"})
-    assert op.derive_alerts(txn, Rules(flagged_status="HELD")).count() == 1
+    assert op.alert_base(txn, Rules(flagged_status="HELD")).count() == 1

@@ -28,9 +28,12 @@ def no_broadcast(spark):
         spark.conf.unset(key)
 
 
+# They write and read back while they are built, which takes long and leaves a plain scan.
 WRITING = {
-    "bronze_batch_ingest", "bronze_stream_ingest", "stream_dedup", "csv_extract", "publish_envelope", "json_lines",
-    "partition_pruned_total", "partition_profile", "publish_history_log", "read_as_of_run", "layer_counts",
+    "bronze_batch_ingest", "bronze_stream_ingest", "stream_dedup", "stream_topics", "stream_to_files", "csv_extract",
+    "csv_as_text", "csv_recursive", "csv_to_bronze", "publish_envelope", "json_lines", "partition_pruned_total",
+    "partition_profile", "publish_refresh", "replaced_table", "layer_counts", "layer_reconciliation",
+    "key_reconciliation", "required_tables", "silver_contract", "reports_without_alerts",
 }
 
 
@@ -78,3 +81,12 @@ def test_only_needed_columns_are_read(spark):
 
 def test_loans_are_joined_only_where_needed(spark):
     assert "Join" not in plan_of(roles.silver_loans(spark, SF))
+
+
+def test_loans_are_read_once_for_high_risk_customers(spark):
+    plan = plan_of(QUERIES["high_risk_customers"](spark, SF))
+    assert "l_extendedprice" not in plan and "ReadSchema: struct<customer_id:bigint,worst_loan_status:string" in plan
+
+
+def test_flagged_facts_are_read_once_for_structuring(spark):
+    assert plan_of(QUERIES["structuring_detection"](spark, SF)).count("FileScan parquet") == 2  # events and customer

@@ -1,10 +1,9 @@
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 from ledgerlake.plans import medallion, metadata, quality, sections
-from ledgerlake.sinks import append, create_namespace, publish, publish_history, replace
-from ledgerlake.sources import read_as_of, read_table
-from ledgerlake.sources.tables import run_table
+from ledgerlake.sinks import append, create_namespace, publish, replace
+from ledgerlake.sinks.publish import LOG_TABLE
 from ledgerlake.specs import AML_ALERTS, BUREAU, CUSTOMERS, NPA_REPORT, TRANSACTIONS
 
 from data import rows, txn
@@ -26,23 +25,29 @@ def test_replace(spark, namespace):
     assert spark.table(f"{namespace}.t").count() == 2
 
 
-def test_publish_history_and_as_of(spark, namespace):
+def logged(spark, namespace):
+    return [(r["run_id"], r["row_count"]) for r in spark.table(f"{namespace}.{LOG_TABLE}").orderBy("published_at").collect()]
+
+
+def test_publish_switches_and_keeps_one_run_back(spark, namespace):
     table = f"{namespace}.t"
-    first = publish(numbers(spark, 10), table, partition_by=("m",))
-    second = publish(numbers(spark, 4), table, partition_by=("m",))
-    assert (first.rows, second.rows) == (10, 4)
-    assert read_table(spark, table).count() == 4
-    assert read_as_of(spark, table, run_id=first.run_id).count() == 10
-    log = publish_history(spark, namespace, "t").collect()
-    assert [(r["run_id"], r["operation"], r["row_count"]) for r in log] == [
-        (second.run_id, "replace", 4), (first.run_id, "replace", 10),
-    ]
-    with pytest.raises(ValueError):
-        read_as_of(spark, table)
+    runs = [publish(numbers(spark, n), table, partition_by=("m",)) for n in (10, 4, 7)]
+    assert [r.rows for r in runs] == [10, 4, 7] and spark.table(table).count() == 7
+    assert logged(spark, namespace) == [(r.run_id, r.rows) for r in runs]
+    assert [spark.catalog.tableExists(r.run_table) for r in runs] == [False, True, True]
     with pytest.raises(ValueError):
         publish(numbers(spark, 1), "no_namespace")
 
 
+def test_publish_refuses_a_plain_table_before_it_writes(spark, namespace):
+    table = f"{namespace}.t"
+    replace(numbers(spark, 5), table)
+    with pytest.raises(ValueError, match="plain table"):
+        publish(numbers(spark, 7), table)
+    assert spark.table(table).count() == 5
+    assert [t.name for t in spark.catalog.listTables(namespace) if not t.isTemporary] == ["t"]
+
+
 def test_failed_run_keeps_the_previous_one(spark, namespace):
     table = f"{namespace}.t"
     publish(numbers(spark, 5), table)
@@ -50,7 +55,25 @@ def test_failed_run_keeps_the_previous_one(spark, namespace):
     with pytest.raises(Exception, match="broken"):
         publish(broken, table)
     assert spark.table(table).count() == 5
-    assert publish_history(spark, namespace).count() == 1
+    assert len(logged(spark, namespace)) == 1
+
+
+def test_names_with_underscores_are_tables_like_others(spark, namespace):
+    append(numbers(spark, 5), f"{namespace}.acct__daily")
+    publish(numbers(spark, 3), f"{namespace}.acct")
+    publish(numbers(spark, 4), f"{namespace}.acct")
+    publish(numbers(spark, 2), f"{namespace}.ok")
+    assert [(r["table_name"], r["row_count"]) for r in quality.layer_counts(spark, (namespace,)).collect()] == [
+        ("acct", 4), ("acct__daily", 5), ("ok", 2),
+    ]
+
+
+def test_contract(spark, namespace):
+    append(numbers(spark, 1), f"{namespace}.t")
+    contract = T.StructType.fromDDL("id int, m string, more date")
+    got = {r["column_name"]: tuple(r)[3:] for r in quality.layer_columns(spark, namespace, {"t": contract}).collect()}
+    assert got == {"id": ("int", "bigint", False), "m": ("string", "string", True), "more": ("date", None, False)}
+    assert quality.layer_columns(spark, namespace, {}).filter("not agrees").count() == 0
 
 
 def test_partition_pruning_and_profiles(spark, namespace):
@@ -60,7 +83,7 @@ def test_partition_pruning_and_profiles(spark, namespace):
     plan = pruned._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(m" in plan and "= 2026-01)]" in plan
     assert len(pruned.inputFiles()) < len(spark.table(table).inputFiles())
-    stored = spark.table(run_table(table, run.run_id))
+    stored = spark.table(run.run_table)
     profile = {r["m"]: r for r in metadata.partition_profile(stored, "m").collect()}
     assert {m: r["row_count"] for m, r in profile.items()} == {"2026-01": 500, "2026-02": 500}
     files = metadata.file_profile(stored).collect()
@@ -111,6 +134,15 @@ def test_all_layers(spark, layers):
     )}).first()
     assert tuple(reconciled) == ("transactions", 3, 2, 2, True)
 
+    reports = sections.bronze_reports(spark, namespace=names.bronze)
+    spark.sql(f"DROP TABLE {names.bronze}.aml_alerts")
+    with pytest.warns(UserWarning, match="open_alerts"):
+        fewer = sections.bronze_reports(spark, namespace=names.bronze)
+    assert set(reports) - set(fewer) == {"open_alerts"}
+    assert [r["tbl"] for r in fewer["row_counts"].collect()] == [
+        "cibil_bureau", "finacle_customers", "finacle_transactions", "npa_report",
+    ]
+    bronze(AML_ALERTS, {"alert_id": "A1", "customer_id": "CUST000001", "status": "OPEN", "risk_score": "80"})
     reports = sections.bronze_reports(spark, namespace=names.bronze)
     assert set(reports) == {
         "row_counts", "ingestion_freshness", "channel_distribution", "branch_type_top", "hourly_pattern",

@@ -4,7 +4,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerlake.operators.skew import heavy_keys
+from ledgerlake.operators import skew
 from ledgerlake.plans import aml, counts, customers, npa, transactions
 from ledgerlake.rules import Rules
 from ledgerlake.specs import AML_ALERTS, BUREAU, CUSTOMERS, NPA_REPORT, TRANSACTIONS
@@ -79,20 +79,26 @@ def test_flagged_detail_and_cash(spark, people):
 
 def test_structuring(spark, people):
     df = silver(spark, {"f": True, "a": "2"}, {"f": True, "a": "3"}, {"f": True, "c": "C2"}, {"c": "C2"})
-    got = aml.structuring(df, people).collect()
-    assert [tuple(r) for r in got] == [("C1", "N1", "LOW", 2, Decimal("5.00"), 0, ["T0", "T1"])]
+    assert [tuple(r) for r in aml.structuring(df, people).collect()] == [("C1", "N1", "LOW", 2, Decimal("5.00"))]
+    assert sorted(tuple(r) for r in aml.structuring_ids(df, people).collect()) == [("C1", "T0"), ("C1", "T1")]
 
 
-def test_structuring_spreads_a_hot_customer(spark, people):
+def test_structuring_has_one_row_a_customer(spark, people):
     df = silver(spark, *[{"f": True, "c": "C1" if i % 3 else "C2"} for i in range(900)])
-    got = aml.structuring(df, people, ids_per_row=50, heavy_rows=400).collect()
-    assert [tuple(r) for r in aml.structuring(df, people, ids_per_row=50).collect()] == [tuple(r) for r in got]
-    for who, total in (("C1", 600), ("C2", 300)):
-        mine = [r for r in got if r["customer_id"] == who]
-        ids = [i for r in mine for i in r["flagged_txn_ids"]]
-        assert len(mine) > 3 and len(ids) == len(set(ids)) == total
-        assert {r["flagged_count"] for r in mine} == {total}
-        assert max(len(r["flagged_txn_ids"]) for r in mine) < 120
+    assert [r["flagged_count"] for r in aml.structuring(df, people).collect()] == [600, 300]
+    wanted = sorted((r["customer_id"], r["txn_id"]) for r in df.collect())
+    for task_rows in (50, 400, 599, 600, 10_000):
+        got = aml.structuring_ids(df, people, task_rows=task_rows).collect()
+        assert sorted(tuple(r) for r in got) == wanted
+
+
+def test_salts_follow_the_rows_of_a_key(spark):
+    counts = spark.createDataFrame([("a", 99), ("b", 100), ("c", 101), ("d", 1000)], "k string, n bigint")
+    heavy = {r["k"]: r["_salts"] for r in skew.heavy_keys(counts, "k", "n", F.lit(1300), 100).collect()}
+    assert heavy == {"c": 2, "d": 10}
+    # a hundred-thousandth of very many rows is more than the least size
+    many = counts.withColumn("n", F.col("n") * 1_000_000_000)
+    assert {r["k"]: r["_salts"] for r in skew.heavy_keys(many, "k", "n", F.lit(13 * 10**11), 100).collect()}["d"] == 76924
 
 
 def test_raw_cash_keeps_unknown_customers(spark):
@@ -187,7 +193,7 @@ def test_high_risk_is_the_same_with_and_without_salting(spark):
     bureau = everyone.select("customer_id", (F.crc32("customer_id") % 400 + 450).cast("int").alias("cibil_score"))
     flagged = silver(spark, {"c": "C1", "f": True}, {"c": "C120", "f": True}, {"c": "C2"})
     results = [
-        {tuple(r) for r in customers.high_risk_customers(everyone, bureau, loans, flagged, heavy_rows=limit).collect()}
+        {tuple(r) for r in customers.high_risk_customers(everyone, bureau, loans, flagged, task_rows=limit).collect()}
         for limit in (100, 1_000_000)
     ]
     assert results[0] == results[1]
@@ -201,12 +207,6 @@ def test_high_risk_is_the_same_with_and_without_salting(spark):
     assert {(r[0], r[4], r[5], r[6], r[7], r[8]) for r in results[0]} == {tuple(r) for r in expected.collect()}
 
 
-def test_heavy_keys_are_few(spark):
-    counts_ = spark.createDataFrame([("a", 40), ("b", 35), ("c", 25)], "k string, n bigint")
-    total = counts_.agg(F.sum("n")).scalar()
-    assert [r["k"] for r in heavy_keys(counts_, "k", "n", total, at_least=1, share=0.3).orderBy("k").collect()] == ["a", "b"]
-    assert heavy_keys(counts_, "k", "n", total, share=0.3).count() == 0
-
 
 def test_counts_and_freshness(spark):
     bronze = rows(spark, TRANSACTIONS, *[

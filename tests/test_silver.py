@@ -146,10 +146,9 @@ def test_transaction_contract(spark):
     expected = T.StructType(TRANSACTIONS.typed_schema.fields + T.StructType.fromDDL(
         "ingestion_ts timestamp, txn_month string, txn_hour int, is_high_value boolean, is_flagged boolean"
     ).fields)
-    assert contract_differences(df, expected) == []
-    assert contract_differences(df.withColumn("amount", F.lit("1")), expected) == [
-        ("amount", "decimal(18,2)", "string")
-    ]
-    assert contract_differences(df.drop("status").withColumn("new", F.lit(1)), expected) == [
-        ("status", "string", None), ("new", None, "int"),
+    differing = lambda given: [
+        tuple(r)[:3] for r in contract_differences(given, expected).filter("not agrees").collect()
     ]
+    assert differing(df) == []
+    assert differing(df.withColumn("amount", F.lit("1"))) == [("amount", "decimal(18,2)", "string")]
+    assert differing(df.drop("status").withColumn("new", F.lit(1))) == [("status", "string", None), ("new", None, "int")]

@@ -8,8 +8,9 @@ Jaccard similarity as their chance.  Documents with equal registers in a whole b
 two texts are linked when the exact Jaccard similarity of their shingle sets is 0.8 or more.
 
 Equal texts (equal word sequences) are one node from the start.  A bucket is never turned into all its
-pairs: its members are compared with one centre, another for every band; those that fail stay for further
-rounds with up to 4, 16, ... new centres, unless other buckets have put them into a centre's class.  Classes are the connected components of the links.
+pairs: its members are compared with one centre; those that fail stay for further rounds with up to 16, 256,
+... new centres, unless other buckets have put them into a centre's class.  Texts are compared only where
+sketches of all registers agree about as much as the similarity asks.  Classes are the connected components of the links.
 
 Defined results: texts without a word (null, empty, blank) are alone in their classes; repeated rows
 share one; an empty table gives no rows; other columns are ignored by ``near_classes`` and passed
@@ -20,13 +21,14 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from .components import components
 from .storage import written
 from .text import Block, blocks, mix64, sums
 
-WORDS, SIMILARITY, BANDS, ROWS, CENTRES = 5, 0.8, 32, 6, 4
+WORDS, SIMILARITY, BANDS, ROWS, CENTRES = 5, 0.8, 32, 6, 16
+PER_LONG, BROADCAST_NODES = 16, 1_000_000
 _U = np.uint64
 
 
@@ -64,15 +66,33 @@ def prob_min_hash(owner: np.ndarray, hashes: np.ndarray, weights: np.ndarray, n:
     return (first & _U(0xFFFFFFFF)).reshape(n, registers)
 
 
-def band_keys(block: Block, bands: int, rows: int) -> tuple[np.ndarray, np.ndarray]:
-    """Number of distinct shingles of each text, and its band keys (texts x bands)."""
+def band_keys(block: Block, bands: int, rows: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Number of distinct shingles of each text, its band keys (texts x bands), and its sketch.
+
+    The sketch has four bits of every register, sixteen registers to a number.
+    """
     owner, hashes, counts = shingles(block)
     signature = prob_min_hash(owner, hashes, 1 + np.log(counts), len(block), bands * rows)
     keys = np.zeros((len(block), bands), _U)
     for r in range(rows):
         keys = mix64(keys + signature[:, r::rows] + _U(r + 1))
     keys = mix64(keys + np.arange(bands, dtype=_U))  # a key says which band it is of
-    return np.bincount(owner, minlength=len(block)), keys
+    nibbles = np.zeros((len(block), -(-signature.shape[1] // PER_LONG) * PER_LONG), _U)
+    nibbles[:, : signature.shape[1]] = signature & _U(15)
+    places = _U(4) * np.arange(PER_LONG, dtype=_U)
+    sketch = (nibbles.reshape(len(block), -1, PER_LONG) << places).sum(axis=2, dtype=_U)
+    return np.bincount(owner, minlength=len(block)), keys, sketch
+
+
+def equal_registers(a: Column, b: Column, longs: int) -> Column:
+    """In how many places two sketches agree; also one place in sixteen of unlike ones."""
+    total = F.lit(0)
+    for i in range(longs):
+        x = F.get(a, F.lit(i)).bitwiseXOR(F.get(b, F.lit(i)))
+        for shift in (1, 2):  # gathers the four bits of a place in its lowest
+            x = x.bitwiseOR(F.shiftrightunsigned(x, shift))
+        total = total + F.lit(PER_LONG) - F.bit_count(x.bitwiseAND(F.lit(0x1111111111111111)))
+    return total
 
 
 def _nodes(block: Block) -> pa.Array:
@@ -86,15 +106,20 @@ def _signed_nodes(docs: DataFrame, bands: int, rows: int) -> DataFrame:
     def sign(batches):
         for batch in batches:
             for first, last, block in blocks(batch.column(2)):
-                n, keys = band_keys(block, bands, rows)
-                flat = pa.ListArray.from_arrays(pa.array(np.arange(len(block) + 1, dtype=np.int32) * bands), pa.array(keys.reshape(-1).view(np.int64)))
+                n, *lists = band_keys(block, bands, rows)
+                flat = [
+                    pa.ListArray.from_arrays(
+                        pa.array(np.arange(len(block) + 1, dtype=np.int32) * x.shape[1]), pa.array(x.reshape(-1).view(np.int64))
+                    )
+                    for x in lists
+                ]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0)[first:last], batch.column(1)[first:last], _nodes(block), pa.array(n), flat],
-                    ["doc_id", "code", "node", "n", "bands"],
+                    [batch.column(0)[first:last], batch.column(1)[first:last], _nodes(block), pa.array(n), *flat],
+                    ["doc_id", "code", "node", "n", "bands", "sketch"],
                 )
 
     return docs.select("doc_id", F.xxhash64("text").alias("code"), "text").mapInArrow(
-        sign, "doc_id long, code long, node binary, n long, bands array<long>"
+        sign, "doc_id long, code long, node binary, n long, bands array<long>, sketch array<long>"
     )
 
 
@@ -129,60 +154,61 @@ def _texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """(node, text), one text of each wanted node (node, doc_id, code)."""
     source = docs.select(F.col("doc_id").alias("d"), F.xxhash64("text").alias("c"), "text")
     same = F.col("d").eqNullSafe(F.col("doc_id")) & (F.col("c") == F.col("code"))
-    return source.join(wanted, same).select("node", "text").dropDuplicates(["node"])
+    few = wanted.count() <= BROADCAST_NODES  # 32 bytes each; then the texts of all others stay where they are
+    return source.join(F.broadcast(wanted) if few else wanted, same).select("node", "text").dropDuplicates(["node"])
 
 
-def linked_labels(docs: DataFrame, signed: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+def linked_labels(docs: DataFrame, signed: DataFrame, registers: int, similarity: float = SIMILARITY) -> DataFrame:
     """(node, label) of all nodes that are linked to another: equal labels for a class."""
-    nodes = signed.where("n > 0").groupBy("node").agg(
-        F.min(F.struct("doc_id", "code")).alias("one"), F.first("n").alias("n"), F.first("bands").alias("bands")
-    )
+    spoken = signed.where("n > 0")
+    nodes = spoken.groupBy("node").agg(F.min(F.struct("doc_id", "code")).alias("one"), F.first("n").alias("n"), F.first("bands").alias("bands"))
     rows = written(nodes.select("node", "n", F.explode("bands").alias("key")), "band-rows")
     several = rows.groupBy("key").agg(F.count("*").alias("k")).where("k > 1").select("key")
-    members = written(rows.join(written(several, "buckets"), "key"), "members")
-    wanted = signed.where("n > 0").groupBy("node").agg(F.min(F.struct("doc_id", "code")).alias("one")).join(
-        members.select("node").distinct(), "node", "left_semi"
-    ).select("node", "one.doc_id", "one.code")
-    texts = written(_texts_of(docs, wanted), "texts")
-    empty = signed.sparkSession.createDataFrame([], "u binary, v binary, linked boolean")
-    tested, labels, number = empty, None, 0
+    paired = written(rows.join(written(several, "buckets"), "key"), "paired")
+    chosen = written(
+        spoken.join(paired.select("node").distinct(), "node", "left_semi").groupBy("node")
+        .agg(F.min(F.struct("doc_id", "code")).alias("one"), F.first("sketch").alias("sketch")),
+        "chosen",
+    )
+    texts = written(_texts_of(docs, chosen.select("node", "one.doc_id", "one.code")), "texts")
+    members = written(paired.join(chosen.select("node", "sketch"), "node"), "members")
+    # 4.5 standard deviations below what the least similarity makes
+    longs, alike = -(-registers // PER_LONG), similarity + (1 - similarity) / 16
+    least = registers * alike - 4.5 * (registers * alike * (1 - alike)) ** 0.5 - registers / 24
+    tested = signed.sparkSession.createDataFrame([], "u binary, v binary, linked boolean")
+    labels, number = None, 0
     while not members.isEmpty():
         number += 1
-        hashed = F.xxhash64("node", "key", F.lit(number))
+        hashed = F.xxhash64("node", F.lit(number))
         slot = F.pmod(hashed, F.lit(CENTRES ** (number - 1)))  # each yields a centre: 1, then CENTRES at most, ...
         centres = written(
-            members.groupBy("key", slot.alias("slot")).agg(F.min(F.struct(hashed.alias("h"), "node", "n")).alias("c"))
-            .select("key", F.col("c.node").alias("centre"), F.col("c.n").alias("m")),
+            members.groupBy("key", slot.alias("slot")).agg(F.min(F.struct(hashed.alias("h"), "node", "n", "sketch")).alias("c"))
+            .select("key", F.col("c.node").alias("centre"), F.col("c.n").alias("m"), F.col("c.sketch").alias("other")),
             "centres",
         )
-        stars = written(
-            members.join(centres, "key").where("node != centre").select(
-                "key", "node", "n", "centre", F.least("node", "centre").alias("u"), F.greatest("node", "centre").alias("v"),
-                (F.least("n", "m") >= similarity * F.greatest("n", "m")).alias("near"),
-            ),
-            "stars",
-        )
-        new = stars.where("near").select("u", "v").distinct().join(tested, ["u", "v"], "left_anti")
-        tested = written(tested.union(_verified(new, texts, similarity)), "verified")
+        near = (F.col("node") != F.col("centre")) & (F.least("n", "m") >= similarity * F.greatest("n", "m"))
+        near &= equal_registers(F.col("sketch"), F.col("other"), longs) >= least
+        found = members.withColumnRenamed("key", "k").join(centres, (F.col("k") == F.col("key")) & near)
+        new = found.select(F.least("node", "centre").alias("u"), F.greatest("node", "centre").alias("v")).distinct()
+        tested = written(tested.union(_verified(new.join(tested, ["u", "v"], "left_anti"), texts, similarity)), "verified")
         labels = components(tested.where("linked"))
-        # a member that has come into a centre's class, on whatever way, need not be compared there again
-        of_node, of_centre = labels.withColumnRenamed("label", "a"), labels.select(F.col("node").alias("centre"), F.col("label").alias("b"))
-        open_ = (
-            stars.join(of_node, "node", "left").join(of_centre, "centre", "left")
-            .groupBy("key", "node", "n").agg(F.max(F.coalesce(F.col("a") == F.col("b"), F.lit(False))).alias("done"))
-            .where("not done").select("node", "n", "key")
+        # a member that has come into the class of one of its centres, on whatever way, is done there
+        classes = centres.select("key", F.col("centre").alias("node")).join(labels, "node").select("key", "label").distinct()
+        left = (
+            members.join(centres.select("key", F.col("centre").alias("node")), ["key", "node"], "left_anti")
+            .join(labels, "node", "left").join(classes, ["key", "label"], "left_anti").select("node", "n", "key", "sketch")
         )
-        left = open_.join(centres.select(F.col("centre").alias("node"), "key"), ["node", "key"], "left_anti")
-        pairs_left = left.groupBy("key").agg(F.count("*").alias("k")).where("k > 1").select("key")
-        members = written(left.join(pairs_left, "key", "left_semi").select("node", "n", "key"), "members")
-    return labels if labels is not None else empty.select(F.col("u").alias("node"), F.col("v").alias("label"))
+        left = written(left, "left")
+        several = left.groupBy("key").agg(F.count("*").alias("k")).where("k > 1").select("key")
+        members = written(left.join(several, "key", "left_semi"), "members")
+    return labels if labels is not None else tested.select(F.col("u").alias("node"), F.col("v").alias("label"))
 
 
 def near_classes(docs: DataFrame, similarity: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """One row per document: doc_id, code (hash of its text), class_id (least doc_id of its class), class_size, kept."""
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     signed = written(_signed_nodes(base, bands, rows), "signatures")
-    labels = linked_labels(base, signed, similarity)
+    labels = linked_labels(base, signed, bands * rows, similarity)
     # a text without words is a class of its own; repeated rows of it share one
     alone = F.concat(F.lit(b"-"), F.encode(F.concat_ws(":", F.col("doc_id").cast("string"), F.col("code").cast("string")), "UTF-8"))
     named = written(

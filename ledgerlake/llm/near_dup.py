@@ -176,7 +176,7 @@ def linked_labels(docs: DataFrame, signed: DataFrame, registers: int, similarity
     longs, alike = -(-registers // PER_LONG), similarity + (1 - similarity) / 16
     least = registers * alike - 4.5 * (registers * alike * (1 - alike)) ** 0.5 - registers / 24
     tested = signed.sparkSession.createDataFrame([], "u binary, v binary, linked boolean")
-    labels, number = None, 0
+    labels, number, most = None, 0, members.count()
     while not members.isEmpty():
         number += 1
         hashed = F.xxhash64("node", F.lit(number))
@@ -184,7 +184,7 @@ def linked_labels(docs: DataFrame, signed: DataFrame, registers: int, similarity
         centres = written(
             members.groupBy("key", slot.alias("slot")).agg(F.min(F.struct(hashed.alias("h"), "node", "n", "sketch")).alias("c"))
             .select("key", F.col("c.node").alias("centre"), F.col("c.n").alias("m"), F.col("c.sketch").alias("other")),
-            "centres",
+            "centres", most,
         )
         near = (F.col("node") != F.col("centre")) & (F.least("n", "m") >= similarity * F.greatest("n", "m"))
         near &= equal_registers(F.col("sketch"), F.col("other"), longs) >= least
@@ -198,9 +198,9 @@ def linked_labels(docs: DataFrame, signed: DataFrame, registers: int, similarity
             members.join(centres.select("key", F.col("centre").alias("node")), ["key", "node"], "left_anti")
             .join(labels, "node", "left").join(classes, ["key", "label"], "left_anti").select("node", "n", "key", "sketch")
         )
-        left = written(left, "left")
+        left = written(left, "left", most)
         several = left.groupBy("key").agg(F.count("*").alias("k")).where("k > 1").select("key")
-        members = written(left.join(several, "key", "left_semi"), "members")
+        members = written(left.join(several, "key", "left_semi"), "members", most)
     return labels if labels is not None else tested.select(F.col("u").alias("node"), F.col("v").alias("label"))
 
 

@@ -176,7 +176,7 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> DataFrame
     pieces = written(token_pieces(docs, tokenizer, capacity), "pieces")
     n = bucket_count(pieces.count())
     pieces = pieces.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "code", "piece", F.lit(5)), F.lit(n)))
-    counted = written(pieces.groupBy("length", "bucket").agg(F.count("*").alias("n")), "length-counts")
+    counted = written(pieces.groupBy("length", "bucket").agg(F.count("*").alias("n")), "length-counts", capacity * n)
     histogram = np.zeros(capacity + 1, np.int64)
     for length, total in counted.groupBy("length").agg(F.sum("n")).collect():  # at most ``capacity`` rows
         histogram[length] = total

@@ -11,12 +11,18 @@ from pyspark.sql import DataFrame, SparkSession
 from ..session import scratch_dir
 
 
-def written(df: DataFrame, purpose: str) -> DataFrame:
-    """The rows as a table that was written and is read again: lineage ends there, and lost executors cost nothing."""
+FILE_ROWS = 50_000
+
+
+def written(df: DataFrame, purpose: str, rows: int | None = None) -> DataFrame:
+    """The rows as a table that was written and is read again: lineage ends there, and lost executors cost nothing.
+
+    Where the caller knows a bound of their number, there are no more files than it needs.
+    """
     spark = df.sparkSession
     path = scratch_dir(spark, f"llm-{purpose}")
     schema = df.schema
-    df.write.parquet(path)
+    (df if rows is None else df.coalesce(bucket_count(rows, FILE_ROWS, 1))).write.parquet(path)
     return spark.read.schema(schema).parquet(path)
 
 

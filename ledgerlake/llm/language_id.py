@@ -28,24 +28,29 @@ def fit_dictionaries(
     ``text_bytes`` from one text, so that many texts speak.
     """
     known = labelled.where("lang is not null and text is not null and length(text) > 0").select("lang", F.lower("text").alias("text"))
-    languages = [r.lang for r in known.groupBy("lang").count().orderBy(F.desc("count"), "lang").collect()]  # a row per language
-    room = max(256, min(dictionary_bytes, all_bytes // max(1, len(languages))))
-    texts = -(-2 * room // text_bytes) + 8
-    first = Window.partitionBy("lang").orderBy(F.xxhash64("text"), "text")
-    sample = (
-        known.select("lang", F.substring("text", 1, text_bytes).alias("text")).distinct()
-        .withColumn("n", F.row_number().over(first)).where(F.col("n") <= 4 * texts)
+    counts = {r.lang: r["count"] for r in known.groupBy("lang").count().orderBy(F.desc("count"), "lang").collect()}  # a row per language
+    room = max(256, min(dictionary_bytes, all_bytes // max(1, len(counts))))
+    texts = 4 * (-(-2 * room // text_bytes) + 8)
+    # hashes below the cut are about as many as are needed, however many texts there are
+    cuts = [(lang, int(-(2**63) + 2**64 * min(1.0, 4 * texts / n)) - (n <= 4 * texts)) for lang, n in counts.items()]
+    cut = F.broadcast(labelled.sparkSession.createDataFrame(cuts, "lang string, cut long"))
+    hashed = known.select("lang", F.xxhash64("text").alias("h"), F.substring("text", 1, text_bytes).alias("text"))
+    out = _bodies(hashed.join(cut, "lang").where("h <= cut"), texts, room)
+    for lang in counts:  # copies of few texts may all lie above the cut
+        if lang not in out:
+            few = hashed.where(F.col("lang") == lang).groupBy("lang").agg(F.min(F.struct("h", "text")).alias("x"))
+            out |= _bodies(few.select("lang", "x.h", "x.text"), texts, room)
+    return {lang: out[lang] for lang in counts}
+
+
+def _bodies(sample: DataFrame, texts: int, room: int) -> dict[str, bytes]:
+    """The first texts by hash of each language, joined and cut at ``room`` bytes."""
+    first = Window.partitionBy("lang").orderBy("h", "text")
+    listed = (
+        sample.distinct().withColumn("n", F.row_number().over(first)).where(F.col("n") <= texts)
         .groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("n", "text"))).alias("texts"))
     )
-    out = {}
-    for row in sample.toLocalIterator():
-        body = b""
-        for x in row.texts:
-            if len(body) >= room:
-                break
-            body += x.text.encode() + b"\n"
-        out[row.lang] = body[:room]
-    return {lang: out[lang] for lang in languages}
+    return {row.lang: b"".join(x.text.encode() + b"\n" for x in row.texts)[:room] for row in listed.toLocalIterator()}
 
 
 def identified(docs: DataFrame, dictionaries: dict[str, bytes], margin: float = MARGIN, level: int = LEVEL) -> DataFrame:

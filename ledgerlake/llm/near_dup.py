@@ -190,7 +190,12 @@ def linked_labels(docs: DataFrame, signed: DataFrame, registers: int, similarity
         near &= equal_registers(F.col("sketch"), F.col("other"), longs) >= least
         found = members.withColumnRenamed("key", "k").join(centres, (F.col("k") == F.col("key")) & near)
         new = found.select(F.least("node", "centre").alias("u"), F.greatest("node", "centre").alias("v")).distinct()
-        tested = written(tested.union(_verified(new.join(tested, ["u", "v"], "left_anti"), texts, similarity)), "verified")
+        new = new.join(tested, ["u", "v"], "left_anti")
+        if labels is not None:  # a link within a class would tell nothing
+            of_u, of_v = (labels.select(F.col("node").alias(x), F.col("label").alias(f"class_{x}")) for x in "uv")
+            apart = "class_u is null or class_v is null or class_u != class_v"
+            new = new.join(of_u, "u", "left").join(of_v, "v", "left").where(apart).select("u", "v")
+        tested = written(tested.union(_verified(new, texts, similarity)), "verified")
         labels = components(tested.where("linked"))
         # a member that has come into the class of one of its centres, on whatever way, is done there
         classes = centres.select("key", F.col("centre").alias("node")).join(labels, "node").select("key", "label").distinct()

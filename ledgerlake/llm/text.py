@@ -1,6 +1,6 @@
 """Texts as flat byte arrays inside tasks: words, lines and hashes of byte spans without Python loops.
 
-An Arrow column of texts becomes blocks of a few megabytes.  Each text is followed by one line end,
+An Arrow column of texts becomes blocks of about a megabyte.  Each text is followed by one line end,
 so that no word or line ever reaches into the next text.  Null texts are empty.
 """
 
@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 1 << 20
 WORD = r"[^\x20\x09-\x0D]+"
 
 _SPACE = np.zeros(256, bool)

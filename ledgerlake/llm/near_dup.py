@@ -171,7 +171,8 @@ def linked_labels(docs: DataFrame, signed: DataFrame, registers: int, similarity
         "chosen",
     )
     texts = written(_texts_of(docs, chosen.select("node", "one.doc_id", "one.code")), "texts")
-    members = written(paired.join(chosen.select("node", "sketch"), "node"), "members")
+    unlabelled = F.lit(None).cast("binary").alias("label")
+    members = written(paired.join(chosen.select("node", "sketch", unlabelled), "node"), "members")
     # 4.5 standard deviations below what the least similarity makes
     longs, alike = -(-registers // PER_LONG), similarity + (1 - similarity) / 16
     least = registers * alike - 4.5 * (registers * alike * (1 - alike)) ** 0.5 - registers / 24
@@ -182,26 +183,23 @@ def linked_labels(docs: DataFrame, signed: DataFrame, registers: int, similarity
         hashed = F.xxhash64("node", F.lit(number))
         slot = F.pmod(hashed, F.lit(CENTRES ** (number - 1)))  # each yields a centre: 1, then CENTRES at most, ...
         centres = written(
-            members.groupBy("key", slot.alias("slot")).agg(F.min(F.struct(hashed.alias("h"), "node", "n", "sketch")).alias("c"))
-            .select("key", F.col("c.node").alias("centre"), F.col("c.n").alias("m"), F.col("c.sketch").alias("other")),
+            members.groupBy("key", slot.alias("slot")).agg(F.min(F.struct(hashed.alias("h"), "node", "n", "sketch", "label")).alias("c"))
+            .select("key", F.col("c.node").alias("centre"), F.col("c.n").alias("m"), F.col("c.sketch").alias("other"), F.col("c.label").alias("class")),
             "centres", most,
         )
         near = (F.col("node") != F.col("centre")) & (F.least("n", "m") >= similarity * F.greatest("n", "m"))
+        near &= F.coalesce(F.col("label") != F.col("class"), F.lit(True))  # a link within a class would tell nothing
         near &= equal_registers(F.col("sketch"), F.col("other"), longs) >= least
         found = members.withColumnRenamed("key", "k").join(centres, (F.col("k") == F.col("key")) & near)
         new = found.select(F.least("node", "centre").alias("u"), F.greatest("node", "centre").alias("v")).distinct()
         new = new.join(tested, ["u", "v"], "left_anti")
-        if labels is not None:  # a link within a class would tell nothing
-            of_u, of_v = (labels.select(F.col("node").alias(x), F.col("label").alias(f"class_{x}")) for x in "uv")
-            apart = "class_u is null or class_v is null or class_u != class_v"
-            new = new.join(of_u, "u", "left").join(of_v, "v", "left").where(apart).select("u", "v")
         tested = written(tested.union(_verified(new, texts, similarity)), "verified")
         labels = components(tested.where("linked"))
         # a member that has come into the class of one of its centres, on whatever way, is done there
         classes = centres.select("key", F.col("centre").alias("node")).join(labels, "node").select("key", "label").distinct()
         left = (
-            members.join(centres.select("key", F.col("centre").alias("node")), ["key", "node"], "left_anti")
-            .join(labels, "node", "left").join(classes, ["key", "label"], "left_anti").select("node", "n", "key", "sketch")
+            members.drop("label").join(centres.select("key", F.col("centre").alias("node")), ["key", "node"], "left_anti")
+            .join(labels, "node", "left").join(classes, ["key", "label"], "left_anti").select("node", "n", "key", "sketch", "label")
         )
         left = written(left, "left", most)
         several = left.groupBy("key").agg(F.count("*").alias("k")).where("k > 1").select("key")

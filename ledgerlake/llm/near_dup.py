@@ -8,7 +8,7 @@ Jaccard similarity as their chance.  Documents with equal registers in a whole b
 two texts are linked when the exact Jaccard similarity of their shingle sets is 0.8 or more.
 
 Equal texts (equal word sequences) are one node from the start.  A bucket is never turned into all its
-pairs: its members are compared with one centre; those that fail stay for further rounds with up to 16, 256,
+pairs: its members are compared with one centre; those that fail stay for further rounds with up to 8, 64,
 ... new centres, unless other buckets have put them into a centre's class.  Texts are compared only where
 sketches of all registers agree about as much as the similarity asks.  Classes are the connected components of the links.
 
@@ -27,7 +27,7 @@ from .components import components
 from .storage import written
 from .text import Block, blocks, mix64, sums
 
-WORDS, SIMILARITY, BANDS, ROWS, CENTRES = 5, 0.8, 32, 6, 16
+WORDS, SIMILARITY, BANDS, ROWS, CENTRES = 5, 0.8, 32, 6, 8
 PER_LONG, BROADCAST_NODES = 16, 1_000_000
 _U = np.uint64
 

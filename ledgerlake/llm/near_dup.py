@@ -7,10 +7,13 @@ soon as no further point can be early enough.  Equal registers of two documents
 Jaccard similarity as their chance.  Documents with equal registers in a whole band are candidates, and
 two texts are linked when the exact Jaccard similarity of their shingle sets is 0.8 or more.
 
-Equal texts (equal word sequences) are one node from the start.  A bucket is never turned into all its
-pairs: its members are compared with one centre; those that fail stay for further rounds with up to 8, 64,
-... new centres, unless other buckets have put them into a centre's class.  Texts are compared only where
-sketches of all registers agree about as much as the similarity asks.  Classes are the connected components of the links.
+Equal texts (equal word sequences) are one node from the start.  A bucket's members are compared with one
+centre, then with up to 8, 64, ... new centres a round.  After the first round each bucket has a main
+class, the largest there; members outside it are strays.  Every member becomes a centre for the strays, since
+a stray may be near to any member of the main class, until no stray is left (other buckets can bring one
+into the class too) or all have been centres.  So each candidate pair is compared or within one class.
+Texts are compared only where sketches of all registers agree about as much as the similarity asks.
+Classes are the connected components of the links.
 
 Defined results: texts without a word (null, empty, blank) are alone in their classes; repeated rows
 share one; an empty table gives no rows; other columns are ignored by ``near_classes`` and passed
@@ -171,39 +174,47 @@ def linked_labels(docs: DataFrame, signed: DataFrame, registers: int, similarity
         "chosen",
     )
     texts = written(_texts_of(docs, chosen.select("node", "one.doc_id", "one.code")), "texts")
-    unlabelled = F.lit(None).cast("binary").alias("label")
-    members = written(paired.join(chosen.select("node", "sketch", unlabelled), "node"), "members")
+    sketches = chosen.select("node", "sketch")
     # 4.5 standard deviations below what the least similarity makes
     longs, alike = -(-registers // PER_LONG), similarity + (1 - similarity) / 16
     least = registers * alike - 4.5 * (registers * alike * (1 - alike)) ** 0.5 - registers / 24
     tested = signed.sparkSession.createDataFrame([], "u binary, v binary, linked boolean")
-    labels, number, most = None, 0, members.count()
-    while not members.isEmpty():
+    pool = paired.select("key", "node", "n", F.lit(None).cast("binary").alias("label"), F.lit(False).alias("used"), F.lit(True).alias("stray"))
+    labels, anchors, number = None, None, 0
+    while most := pool.count():
         number += 1
         hashed = F.xxhash64("node", F.lit(number))
         slot = F.pmod(hashed, F.lit(CENTRES ** (number - 1)))  # each yields a centre: 1, then CENTRES at most, ...
         centres = written(
-            members.groupBy("key", slot.alias("slot")).agg(F.min(F.struct(hashed.alias("h"), "node", "n", "sketch", "label")).alias("c"))
-            .select("key", F.col("c.node").alias("centre"), F.col("c.n").alias("m"), F.col("c.sketch").alias("other"), F.col("c.label").alias("class")),
+            pool.where("not used").groupBy("key", slot.alias("slot")).agg(F.min(F.struct(hashed.alias("h"), "node", "n", "label")).alias("c"))
+            .select("key", F.col("c.node").alias("centre"), F.col("c.n").alias("m"), F.col("c.label").alias("class"))
+            .join(sketches.select(F.col("node").alias("centre"), F.col("sketch").alias("other")), "centre"),
             "centres", most,
         )
         near = (F.col("node") != F.col("centre")) & (F.least("n", "m") >= similarity * F.greatest("n", "m"))
         near &= F.coalesce(F.col("label") != F.col("class"), F.lit(True))  # a link within a class would tell nothing
         near &= equal_registers(F.col("sketch"), F.col("other"), longs) >= least
-        found = members.withColumnRenamed("key", "k").join(centres, (F.col("k") == F.col("key")) & near)
+        strays = pool.where("stray").join(sketches, "node").withColumnRenamed("key", "k")
+        found = strays.join(centres, (F.col("k") == F.col("key")) & near)
         new = found.select(F.least("node", "centre").alias("u"), F.greatest("node", "centre").alias("v")).distinct()
         new = new.join(tested, ["u", "v"], "left_anti")
         tested = written(tested.union(_verified(new, texts, similarity)), "verified")
         labels = components(tested.where("linked"))
-        # a member that has come into the class of one of its centres, on whatever way, is done there
-        classes = centres.select("key", F.col("centre").alias("node")).join(labels, "node").select("key", "label").distinct()
-        left = (
-            members.drop("label").join(centres.select("key", F.col("centre").alias("node")), ["key", "node"], "left_anti")
-            .join(labels, "node", "left").join(classes, ["key", "label"], "left_anti").select("node", "n", "key", "sketch", "label")
-        )
+        now = centres.select("key", F.col("centre").alias("node"), F.lit(True).alias("now"))
+        left = pool.select("key", "node", "n", "used").join(now, ["key", "node"], "left").join(labels, "node", "left")
+        if number == 1:  # its centre was compared with all members
+            left = left.where("now is null")
+        class_of = F.coalesce("label", "node")
+        left = written(left.select("key", "node", "n", "label", (F.col("used") | F.col("now").isNotNull()).alias("used")), "left", most)
+        if anchors is None:
+            sizes = left.groupBy("key", class_of.alias("class")).agg(F.count("*").alias("k"), F.min("node").alias("node"))
+            largest = sizes.groupBy("key").agg(F.count("*").alias("classes"), F.max(F.struct("k", "node")).alias("most")).where("classes > 1")
+            anchors = written(largest.select("key", F.col("most.node").alias("node")), "anchors", most)
+        mains = written(anchors.join(labels, "node", "left").select("key", class_of.alias("main")), "mains", most)
+        left = left.join(mains, "key").withColumn("stray", class_of != F.col("main")).drop("main").where("stray or not used")
         left = written(left, "left", most)
-        several = left.groupBy("key").agg(F.count("*").alias("k")).where("k > 1").select("key")
-        members = written(left.join(several, "key", "left_semi"), "members", most)
+        going = left.groupBy("key").agg(F.max("stray").alias("some"), F.min("used").alias("done")).where("some and not done")
+        pool = written(left.join(written(going.select("key"), "going", most), "key", "left_semi"), "pool", most)
     return labels if labels is not None else tested.select(F.col("u").alias("node"), F.col("v").alias("label"))
 
 

@@ -166,6 +166,23 @@ def test_one_of_each(spark):
     assert near_dup.near_classes(frame(spark, [])).count() == 0
 
 
+def test_edited_copies_of_one_original(spark):
+    rows, n = [], 0
+    for family in range(4):
+        base = [f"f{family}w{i}" for i in range(404)]  # 400 shingles
+        rows.append((n, " ".join(base)))
+        n += 1
+        for copy in range(100):  # 0.82 to the original, about 0.68 to each other
+            draw, mine = random.Random(1000 * family + copy), list(base)
+            for k, at in enumerate(draw.sample(range(4, 400, 5), 8)):
+                mine[at] = f"f{family}c{copy}x{k}"
+            rows.append((n, " ".join(mine)))
+            n += 1
+    got = {r["doc_id"]: r["class_id"] for r in near_dup.near_classes(frame(spark, rows)).collect()}
+    assert brute_classes(rows[:6]) == [0] * 6
+    assert got == {i: i // 101 * 101 for i, _ in rows}
+
+
 def test_signatures_estimate_probability_jaccard():
     draw = np.random.default_rng(4)
     hashes = draw.integers(0, 2**63, 300).astype(np.uint64)

@@ -1,11 +1,12 @@
 """Near-duplicate classes by ProbMinHash signatures, banding and exact verification.
 
-A document's shingles are its runs of five words (a shorter text is one shingle); a shingle that
-occurs c times weighs 1 + ln(c).  Every shingle emits points of a Poisson process whose rate is its
-weight, each into a random register; a register keeps its earliest arrival, and a document stops as
-soon as no further point can be early enough.  Equal registers of two documents have the probability
-Jaccard similarity as their chance.  Documents with equal registers in a whole band are candidates, and
-two texts are linked when the exact Jaccard similarity of their shingle sets is 0.8 or more.
+A document's shingles are its runs of five words (a shorter text is one shingle).  Every shingle emits
+points of a Poisson process whose rate is its weight, each into a random register; a register keeps its
+earliest arrival, and a document stops as soon as no further point can be early enough.  Equal registers
+of two documents have the probability Jaccard similarity as their chance.  Every shingle weighs 1,
+however often it occurs, so that this is the Jaccard similarity of the sets.  Documents with equal
+registers in a whole band are candidates, and two texts are linked when the exact Jaccard similarity
+of their shingle sets is 0.8 or more.
 
 Equal texts (equal word sequences) are one node from the start.  A bucket's members are compared with one
 centre, then with up to 8, 64, ... new centres a round.  After the first round each bucket has a main
@@ -74,8 +75,8 @@ def band_keys(block: Block, bands: int, rows: int) -> tuple[np.ndarray, np.ndarr
 
     The sketch has four bits of every register, sixteen registers to a number.
     """
-    owner, hashes, counts = shingles(block)
-    signature = prob_min_hash(owner, hashes, 1 + np.log(counts), len(block), bands * rows)
+    owner, hashes, _ = shingles(block)
+    signature = prob_min_hash(owner, hashes, np.ones(len(hashes)), len(block), bands * rows)  # weights of the verdict
     keys = np.zeros((len(block), bands), _U)
     for r in range(rows):
         keys = mix64(keys + signature[:, r::rows] + _U(r + 1))

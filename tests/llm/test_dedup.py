@@ -183,6 +183,16 @@ def test_edited_copies_of_one_original(spark):
     assert got == {i: i // 101 * 101 for i, _ in rows}
 
 
+def test_repeats_within_a_text_do_not_hide_a_near_copy(spark):
+    rows = []
+    for family in range(6):  # 400 shingles; the copy has 95 more that occur 20 times each
+        base = [f"f{family}w{i}" for i in range(404)]
+        rows += [(2 * family, " ".join(base)), (2 * family + 1, " ".join(base + [f"f{family}p{i}" for i in range(95)] * 20))]
+    assert brute_classes(rows) == [i // 2 * 2 for i in range(12)]
+    got = {r["doc_id"]: r["class_id"] for r in near_dup.near_classes(frame(spark, rows)).collect()}
+    assert got == {i: i // 2 * 2 for i in range(12)}
+
+
 def test_signatures_estimate_probability_jaccard():
     draw = np.random.default_rng(4)
     hashes = draw.integers(0, 2**63, 300).astype(np.uint64)

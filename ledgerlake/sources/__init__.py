@@ -1,6 +1,6 @@
 """Readers: CSV extracts and message envelopes (batch and stream)."""
 
 from .csv_files import read_extract
-from .envelopes import ENVELOPE_SCHEMA, read_envelopes, resume_offsets, stream_envelopes
+from .envelopes import ENVELOPE_SCHEMA, read_envelopes, resume_offsets, starting_offsets, stream_envelopes
 
-__all__ = ["ENVELOPE_SCHEMA", "read_envelopes", "read_extract", "resume_offsets", "stream_envelopes"]
+__all__ = ["ENVELOPE_SCHEMA", "read_envelopes", "read_extract", "resume_offsets", "starting_offsets", "stream_envelopes"]

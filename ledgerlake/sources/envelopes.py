@@ -65,8 +65,18 @@ def stream_envelopes(
     return _load(spark.readStream, topic, fmt, path, {pace: str(per_batch), **dict(options or {})}, skip_lost)
 
 
+def starting_offsets(spark: SparkSession, table: str, topic: str, *, same_topic: bool = False) -> str:
+    """The ``startingOffsets`` for a further ingest of a topic into a bronze table: the topic's start.
+
+    The ingest sorts out what is known.  Held offsets say nothing about a topic that was dropped and made
+    anew, and neither do times, which producers may set.  Only a caller who knows that the topic is still the
+    one that the table was read from may say ``same_topic``, which goes on by ``resume_offsets``.
+    """
+    return resume_offsets(spark.table(table), topic) if same_topic and spark.catalog.tableExists(table) else FROM_START
+
+
 def resume_offsets(bronze: DataFrame, topic: str) -> str:
-    """A ``startingOffsets`` value that leaves out what a bronze table surely holds.
+    """A ``startingOffsets`` value that leaves out what a bronze table surely holds, if the topic was not made anew.
 
     A partition without gaps goes on behind its last offset; one with gaps is read from its earliest
     message, and the ingest sorts out what is known.  One row per partition reaches the driver.

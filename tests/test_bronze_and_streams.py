@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ledgerlake import operators as op
 from ledgerlake.session import scan_bytes, scratch_dir, shuffle_partitions
 from ledgerlake.sinks import preview, to_envelopes, write_envelopes, write_extract, write_json_lines
-from ledgerlake.sources import ENVELOPE_SCHEMA, read_envelopes, read_extract, resume_offsets, stream_envelopes
+from ledgerlake.sources import ENVELOPE_SCHEMA, read_envelopes, read_extract, resume_offsets, starting_offsets, stream_envelopes
 from ledgerlake.sources.envelopes import kafka_options
 from ledgerlake.specs import AML_ALERTS, CUSTOMERS, SPECS, TOPICS, TRANSACTIONS, route
 from ledgerlake.streaming import await_any, ingest_stream, ingest_topics
@@ -102,6 +102,21 @@ def test_resume_offsets(spark):
     assert resume_offsets(held, "another") == "earliest"
 
 
+def test_a_topic_made_anew_is_read_whole(spark, namespace):
+    table = f"{namespace}.bronze"
+    assert starting_offsets(spark, table, TOPIC, same_topic=True) == starting_offsets(spark, table, TOPIC) == "earliest"
+    one_partition = lambda df: df.withColumn("partition", F.lit(0))
+    assert op.ingest_batch(one_partition(envelopes(spark, *(txn(i) for i in range(4)))), TRANSACTIONS, table) == 4
+    anew = one_partition(envelopes(spark, *(txn(i) for i in range(10, 16)))).withColumn("timestamp", F.col("timestamp") + F.expr("INTERVAL 1 DAY"))
+
+    def messages(start):
+        return anew if start == "earliest" else anew.where(F.col("offset") >= json.loads(start)[TOPIC]["0"])
+
+    assert messages(starting_offsets(spark, table, TOPIC, same_topic=True)).count() == 2  # the caller was wrong
+    assert op.ingest_batch(messages(starting_offsets(spark, table, TOPIC)), TRANSACTIONS, table) == 6
+    assert op.ingest_batch(messages(starting_offsets(spark, table, TOPIC)), TRANSACTIONS, table) == 0
+
+
 class Reader:
     """Records what a reader is asked for."""
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import content_sort, language_id, line_dedup, lm_score, mixing, near_dup, packing, quality, suffix_dedup
+from . import content_sort, fill_middle, language_id, line_dedup, lm_score, mixing, near_dup, packing, quality, suffix_dedup
 from .storage import ship_code
 
 PACK_TOKENIZER = "word_bpe_49k.json"
@@ -78,6 +78,15 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_verdicts(docs, quality.fit_quality(docs, _table(spark, sf_dir, "labels")))
 
 
+def op11_skip_list_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = fill_middle.filled_in_middle(_table(spark, sf_dir, "documents"))
+    back = fill_middle.restored(F.col("output"), F.col("form"))
+    return found.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"), F.sha2(back, 256).alias("restored_sha256"),
+    )
+
+
 QUERIES = {
     "op1_context_tree": op1_context_tree,
     "op2_compression_language": op2_compression_language,
@@ -89,6 +98,7 @@ QUERIES = {
     "op8_line_hashing": op8_line_hashing,
     "op9_line_windows": op9_line_windows,
     "op10_quality_rules": op10_quality_rules,
+    "op11_skip_list_middle": op11_skip_list_middle,
 }
 
 _LINES = r"""
@@ -158,4 +168,26 @@ WITH {_LINES}, filled AS (
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_removed,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
 FROM judged GROUP BY doc_id""",
+    "op11_skip_list_middle": r"""
+WITH drawn AS (
+  SELECT doc_id, coalesce(text, '') AS text, sha256('42:' || coalesce(doc_id::VARCHAR, '')) AS d,
+         regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS tokens
+  FROM documents
+), ranks AS (
+  SELECT *, len(tokens) AS n, ('0x' || d[1:8])::BIGINT % (len(tokens) + 1) AS r1, ('0x' || d[9:16])::BIGINT % (len(tokens) + 1) AS r2,
+         ('0x' || d[17:24])::BIGINT % 100 AS h3, ('0x' || d[25:32])::BIGINT % 100 AS h4
+  FROM drawn
+), parts AS (
+  SELECT *, array_to_string(tokens[1:least(r1, r2)], '') AS prefix, array_to_string(tokens[least(r1, r2) + 1:greatest(r1, r2)], '') AS middle,
+         array_to_string(tokens[greatest(r1, r2) + 1:], '') AS suffix,
+         CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 >= 50 THEN 'plain'
+              WHEN h4 < 80 THEN 'spm' ELSE 'psm' END AS form
+  FROM ranks
+)
+SELECT doc_id, n::BIGINT AS n, form,
+       CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'spm' THEN '<S>' || suffix || '<P>' || prefix || '<M>' || middle
+              ELSE '<P>' || prefix || '<S>' || suffix || '<M>' || middle END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM parts""",
 }

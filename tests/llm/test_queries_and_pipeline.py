@@ -18,7 +18,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables not
 
 def test_registered():
     names = entry_module.queries()
-    assert all(sum(name.startswith(f"op{n}_") for name in names) == 1 for n in range(1, 11)) and "pipeline" in names
+    assert all(sum(name.startswith(f"op{n}_") for name in names) == 1 for n in range(1, 14)) and "pipeline" in names
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import content_sort, fill_middle, language_id, line_dedup, lm_score, mixing, near_dup, packing, quality, suffix_dedup
+from . import content_sort, fill_middle, hard_negatives, language_id, line_dedup, lm_score, mixing, near_dup, packing, quality, suffix_dedup
 from .storage import ship_code
 
 PACK_TOKENIZER = "word_bpe_49k.json"
@@ -87,6 +87,13 @@ def op11_skip_list_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_window_tree_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    id_, label = F.col("vec_id"), F.col("label").cast("long")
+    mixed = F.when(id_ % 7 == 0, (label + 1) % 10).otherwise(label)
+    rows = hard_negatives.usable(_table(spark, sf_dir, "embeddings"), id_, mixed, F.col("embedding"))
+    return hard_negatives.hard_negatives(rows, id_ % 100 == 0)
+
+
 QUERIES = {
     "op1_context_tree": op1_context_tree,
     "op2_compression_language": op2_compression_language,
@@ -99,6 +106,7 @@ QUERIES = {
     "op9_line_windows": op9_line_windows,
     "op10_quality_rules": op10_quality_rules,
     "op11_skip_list_middle": op11_skip_list_middle,
+    "op13_window_tree_negatives": op13_window_tree_negatives,
 }
 
 _LINES = r"""
@@ -190,4 +198,22 @@ SELECT doc_id, n::BIGINT AS n, form,
               ELSE '<P>' || prefix || '<S>' || suffix || '<M>' || middle END) AS output_sha256,
        sha256(text) AS restored_sha256
 FROM parts""",
+    "op13_window_tree_negatives": """
+WITH usable AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label::BIGINT + 1) % 10 ELSE label::BIGINT END AS label,
+         list_transform(embedding, x -> floor(256 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT a.vec_id AS anchor_id, r.vec_id, a.label = r.label AS same, list_inner_product(a.v, r.v)::BIGINT AS score
+  FROM usable a JOIN usable r ON a.vec_id <> r.vec_id WHERE a.vec_id % 100 = 0
+), positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT p.anchor_id, positive_id, row_number() OVER best AS rank, n.vec_id AS negative_id, positive_score, n.score AS negative_score
+FROM positives p JOIN scored n
+  ON p.anchor_id = n.anchor_id AND NOT n.same AND 30 * positive_score <= 100 * n.score AND 100 * n.score <= 90 * positive_score
+WINDOW best AS (PARTITION BY p.anchor_id, positive_id ORDER BY n.score DESC, n.vec_id) QUALIFY rank <= 10""",
 }

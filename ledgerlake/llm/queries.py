@@ -201,10 +201,10 @@ FROM parts""",
     "op13_window_tree_negatives": """
 WITH usable AS (
   SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label::BIGINT + 1) % 10 ELSE label::BIGINT END AS label,
-         list_transform(embedding, x -> floor(256 * x::DOUBLE)) AS v
+         [floor(256 * x::DOUBLE) FOR x IN embedding] AS v
   FROM embeddings
   WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
 ), scored AS (
   SELECT a.vec_id AS anchor_id, r.vec_id, a.label = r.label AS same, list_inner_product(a.v, r.v)::BIGINT AS score
   FROM usable a JOIN usable r ON a.vec_id <> r.vec_id WHERE a.vec_id % 100 = 0

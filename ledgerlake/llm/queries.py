@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import content_sort, fill_middle, hard_negatives, language_id, line_dedup, lm_score, mixing, near_dup, packing, quality, suffix_dedup
+from . import content_sort, fill_middle, hard_negatives, language_id, line_dedup, lm_score, main_text, mixing, near_dup, packing, quality, suffix_dedup
 from .storage import ship_code
 
 PACK_TOKENIZER = "word_bpe_49k.json"
@@ -87,6 +87,12 @@ def op11_skip_list_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_recurrent_labeller(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages")
+    found = main_text.main_text(pages, main_text.fit_labeller(pages))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op13_window_tree_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     id_, label = F.col("vec_id"), F.col("label").cast("long")
     mixed = F.when(id_ % 7 == 0, (label + 1) % 10).otherwise(label)
@@ -106,6 +112,7 @@ QUERIES = {
     "op9_line_windows": op9_line_windows,
     "op10_quality_rules": op10_quality_rules,
     "op11_skip_list_middle": op11_skip_list_middle,
+    "op12_recurrent_labeller": op12_recurrent_labeller,
     "op13_window_tree_negatives": op13_window_tree_negatives,
 }
 

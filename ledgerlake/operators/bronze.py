@@ -9,13 +9,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..sinks.publish import append
 from ..sources.csv_files import read_extract
+from ..sources.offset_index import IDENTITY, unseen_by_index
 from ..specs import EntitySpec
 
-# A message by its bronze columns and by those of the envelope.  The time belongs to it because a topic
-# that was dropped and made anew counts its offsets from zero again.
-MESSAGE_ID = {
-    "kafka_topic": "topic", "kafka_partition": "partition", "kafka_offset": "offset", "kafka_timestamp": "timestamp",
-}
+MESSAGE_ID = IDENTITY
 
 
 def parse_envelopes(envelopes: DataFrame, spec: EntitySpec, source: str = "kafka") -> DataFrame:
@@ -46,7 +43,8 @@ def unseen(envelopes: DataFrame, bronze: DataFrame) -> DataFrame:
 def ingest_batch(envelopes: DataFrame, spec: EntitySpec, table: str, *, source: str = "kafka") -> int:
     """Append new messages to a bronze table (created on first use); returns the rows written.
 
-    An empty batch changes nothing, and so does ingesting the same messages again.
+    An empty batch changes nothing, and so does ingesting the same messages again.  What is new is found
+    by the index of offsets beside the table (``sources.offset_index``).
     """
     spark = envelopes.sparkSession
     if envelopes.isEmpty():
@@ -55,7 +53,7 @@ def ingest_batch(envelopes: DataFrame, spec: EntitySpec, table: str, *, source:
         properties = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
         if properties.get(STREAM_PROPERTY):
             raise ValueError(f"{table} is written by a stream; ingest batches into another table")
-        envelopes = unseen(envelopes, spark.table(table))
+        envelopes = unseen_by_index(envelopes, table)
     return append(parse_envelopes(envelopes, spec, source), table)
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..functions.text import blank_to_null
 from ..sinks.publish import LOG_TABLE, run_of
+from ..sources.offset_index import INDEX_SUFFIX, is_index
 from ..specs import SPECS
 
 
@@ -34,11 +35,12 @@ def run_of_published(spark: SparkSession, namespace: str, name: str) -> str | No
 
 
 def layer_tables(spark: SparkSession, namespace: str) -> list[str]:
-    """Tables a user sees in a namespace: not the log, and not the tables of single runs."""
+    """Tables a user sees in a namespace: not the log, not the tables of single runs, not the indexes of offsets."""
     if not spark.catalog.databaseExists(namespace):
         return []
     names = [t.name for t in spark.catalog.listTables(namespace) if not t.isTemporary]
-    return sorted(n for n in names if n != LOG_TABLE and run_of_published(spark, namespace, n) is None)
+    own = [n for n in names if n != LOG_TABLE and run_of_published(spark, namespace, n) is None]
+    return sorted(n for n in own if not n.endswith(INDEX_SUFFIX) or not is_index(spark, f"{namespace}.`{n}`"))
 
 
 def layer_counts(spark: SparkSession, namespaces: Iterable[str] = ("bronze", "silver", "gold")) -> DataFrame:

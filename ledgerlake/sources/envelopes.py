@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
+from functools import reduce
+from operator import or_
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+
+from .offset_index import refreshed_index, resume_points
 
 ENVELOPE_SCHEMA = T.StructType([
     T.StructField("key", T.StringType()),
@@ -30,8 +34,32 @@ def kafka_options(topic: str, options: Mapping[str, str] | None, skip_lost: bool
 def _load(reader, topic: str, fmt: str, path: str | None, options: Mapping[str, str] | None, skip_lost: bool):
     if fmt == "kafka":
         return reader.format("kafka").options(**kafka_options(topic, options, skip_lost)).load()
-    files = reader.schema(ENVELOPE_SCHEMA).format(fmt).options(**dict(options or {})).load(path)
-    return files.filter(F.col("topic") == topic)
+    given = dict(options or {})
+    start = given.pop("startingOffsets", FROM_START)
+    files = reader.schema(ENVELOPE_SCHEMA).format(fmt).options(**given).load(path).filter(F.col("topic") == topic)
+    return files if start == FROM_START else files.filter(_from_offsets(json.loads(start).get(topic, {})))
+
+
+def _from_offsets(starts: Mapping[str, int]) -> Column:
+    """Messages at or behind the offset of their partition; partitions not named are read whole, as for Kafka's ``earliest``."""
+    late = [(F.col("partition") == int(p)) & (F.col("offset") < n) for p, n in starts.items() if n != EARLIEST]
+    return ~F.coalesce(reduce(or_, late, F.lit(False)), F.lit(False))
+
+
+def messages_at(spark: SparkSession, topic: str, offsets: Mapping[int, int], **reading) -> DataFrame:
+    """The messages of a topic at one offset of each of some partitions; offsets that are gone give none.
+
+    ``reading`` is what ``read_envelopes`` takes.
+    """
+    options = dict(reading.pop("options", None) or {})
+    if not offsets:
+        return spark.createDataFrame([], ENVELOPE_SCHEMA)
+    if reading.get("fmt", "kafka") == "kafka":
+        ends = {str(p): n + 1 for p, n in offsets.items()}
+        options |= {"startingOffsets": json.dumps({topic: {str(p): n for p, n in offsets.items()}}), "endingOffsets": json.dumps({topic: ends})}
+        return read_envelopes(spark, topic, **{**reading, "options": options, "skip_lost": True})
+    exact = reduce(or_, [(F.col("partition") == p) & (F.col("offset") == n) for p, n in offsets.items()])
+    return read_envelopes(spark, topic, **reading, options=options).filter(exact)
 
 
 def read_envelopes(
@@ -75,6 +103,29 @@ def starting_offsets(spark: SparkSession, table: str, topic: str, *, same_topic:
     return resume_offsets(spark.table(table), topic) if same_topic and spark.catalog.tableExists(table) else FROM_START
 
 
+def indexed_offsets(
+    spark: SparkSession, table: str, topic: str, *, partitions: Iterable[int] = (), gaps_are_final: bool = False, **reading
+) -> str:
+    """The ``startingOffsets`` behind what a bronze table surely holds, by its index of offsets; safe for a topic made anew.
+
+    Each partition goes on behind the end of its first unbroken stretch (of its last, ``gaps_are_final``) if the
+    topic still has there the message that the table holds, told by its time; a partition where it is
+    another or none is read from its earliest message, and the ingest sorts out what is known.
+    ``partitions`` names further ones, new since the last ingest.  A row per partition reaches the driver.
+    """
+    if not spark.catalog.tableExists(table):
+        return FROM_START
+    points = resume_points(refreshed_index(spark, table), topic, gaps_are_final=gaps_are_final).collect()
+    ends = {r["kafka_partition"]: (r["last"], r["last_time"]) for r in points}
+    there = messages_at(spark, topic, {p: last for p, (last, _) in ends.items()}, **reading).select("partition", "timestamp").collect()
+    times: dict[int, set] = {}
+    for r in there:
+        times.setdefault(r["partition"], set()).add(r["timestamp"])
+    starts = {str(p): EARLIEST for p in partitions}
+    starts |= {str(p): last + 1 if times.get(p) == {time} else EARLIEST for p, (last, time) in ends.items()}
+    return json.dumps({topic: starts}) if starts else FROM_START
+
+
 def resume_offsets(bronze: DataFrame, topic: str) -> str:
     """A ``startingOffsets`` value that leaves out what a bronze table surely holds, if the topic was not made anew.
 

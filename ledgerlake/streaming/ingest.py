@@ -30,6 +30,19 @@ def append_new_keys(rows: DataFrame, table: str, key: str) -> int:
     return append(keyed.select(*rows.columns).unionByName(keyless), table)
 
 
+def first_of_each_key(rows: DataFrame, key: str) -> DataFrame:
+    """Rows of a stream whose key no earlier row of it had; rows without a key once per message.
+
+    The keys are kept as streaming state, without a watermark: nothing is late, and no table is read.  Of
+    equal keys in one micro-batch the one that its task meets first stays.  The state is partitioned by
+    the key into as many parts as ``spark.sql.shuffle.partitions`` says when the checkpoint begins; a key
+    that fills a micro-batch costs one task no more than that batch.
+    """
+    message = F.when(F.col(key).isNull(), F.xxhash64(*MESSAGE_ID)), F.when(F.col(key).isNull(), F.struct(*MESSAGE_ID))
+    marked = rows.withColumns({"_hash": message[0], "_message": message[1]})
+    return marked.dropDuplicates([key, "_hash", "_message"]).drop("_hash", "_message")
+
+
 def _ensure_table(spark: SparkSession, table: str, rows: DataFrame, fmt: str, of_stream: bool) -> None:
     if spark.catalog.tableExists(table):
         return
@@ -47,17 +60,24 @@ def ingest_stream(
     available_now: bool = False,
     processing_time: str | None = None,
     new_keys_only: bool = False,
+    keyed_state: bool = False,
     fmt: str = "parquet",
     source: str = "kafka",
 ) -> StreamingQuery:
     """Start appending a stream of messages to a bronze table.
 
     Progress lives in the checkpoint below ``checkpoint_dir``, so a restart goes on where it stopped
-    and adds nothing twice.  ``available_now`` stops after what is there at the start.  With
-    ``new_keys_only`` each micro-batch is compared with the keys of the table; without it repeats are
-    kept and silver chooses among them.
+    and adds nothing twice.  ``available_now`` stops after what is there at the start.  Repeats are kept
+    and silver chooses among them, unless one of two options is set.  ``keyed_state`` appends the first row
+    of each key and keeps the keys as state of the stream, in its checkpoint; the table is the stream's own.
+    ``new_keys_only`` compares each micro-batch with the keys of the table, which costs a read of the
+    table's key column each time; others may write the table too.
     """
+    if keyed_state and new_keys_only:
+        raise ValueError("choose one of keyed_state and new_keys_only")
     rows = parse_envelopes(envelopes, spec, source)
+    if keyed_state:
+        rows = first_of_each_key(rows, spec.key)
     _ensure_table(envelopes.sparkSession, table, rows, fmt, of_stream=not new_keys_only)
     writer = rows.writeStream.outputMode("append").option(
         "checkpointLocation", f"{checkpoint_dir.rstrip('/')}/{spec.topic or spec.name}"

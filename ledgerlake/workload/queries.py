@@ -10,6 +10,7 @@ import uuid
 import warnings
 from collections.abc import Callable
 from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -21,7 +22,9 @@ from ..sinks import (
     append, create_namespace, preview, publish, replace as replace_table, to_envelopes, write_envelopes,
     write_extract, write_json_lines,
 )
-from ..sources import ENVELOPE_SCHEMA, read_envelopes, read_extract, stream_envelopes
+from ..sources import (
+    ENVELOPE_SCHEMA, held_stretches, indexed_offsets, read_envelopes, read_extract, refreshed_index, stream_envelopes,
+)
 from ..specs import AML_ALERTS, BUREAU, CUSTOMERS, NPA_REPORT, TRANSACTIONS, route
 from ..streaming import ingest_stream, ingest_topics
 from . import roles
@@ -166,11 +169,56 @@ def stream_dedup(spark, sf_dir):
         ).coalesce(1).write.mode("append").partitionBy("topic").parquet(messages)
     stream = stream_envelopes(spark, TRANSACTIONS.topic, per_batch=1, fmt="parquet", path=messages)
     ingest_stream(
-        stream, TRANSACTIONS, table, f"{folder}/_checkpoints", available_now=True, new_keys_only=True
+        stream, TRANSACTIONS, table, f"{folder}/_checkpoints", available_now=True, keyed_state=True
     ).awaitTermination()
     return spark.table(table).select("txn_id", "txn_date", "customer_id")
 
 
+def _numbered_messages(spark, sf_dir):
+    """Events as messages of four partitions with offsets from zero; every 97th offset has none."""
+    events = roles.load(spark, sf_dir, "events")
+    offset = F.floor(F.col("event_id") / 4)
+    return events.where(offset % 97 != 50).select(
+        F.lit(None).cast("string").alias("key"),
+        F.to_json(F.struct(F.col("event_id").cast("string").alias("txn_id"), F.col("user_id").cast("string").alias("customer_id"))).alias("value"),
+        F.lit(TRANSACTIONS.topic).alias("topic"), (F.col("event_id") % 4).cast("int").alias("partition"),
+        offset.alias("offset"), F.col("ts").cast("timestamp").alias("timestamp"),
+    )
+
+
+@query
+def incremental_ingest(spark, sf_dir):
+    """Four ingests of a growing topic that is made anew before the last: messages read and appended by each."""
+    namespace, folder = _namespace(spark, "incremental")
+    table = f"{namespace}.{TRANSACTIONS.bronze_table}"
+    whole = _numbered_messages(spark, sf_dir)
+    early = F.col("offset") < 1000
+    anew = whole.where("offset < 300").withColumn("timestamp", F.col("timestamp") + F.expr("INTERVAL 400 DAYS"))
+    runs = []
+    for run, (arrived, path) in enumerate(((whole.where(early), "one"), (whole.where(~early), "one"), (None, "one"), (anew, "two")), 1):
+        path = f"{folder}/_messages_{path}"
+        if arrived is not None:
+            arrived.write.mode("append").parquet(path)
+        reading = {"fmt": "parquet", "path": path}
+        start = indexed_offsets(spark, table, TRANSACTIONS.topic, gaps_are_final=True, **reading)
+        messages = read_envelopes(spark, TRANSACTIONS.topic, options={"startingOffsets": start}, **reading)
+        counted = messages.agg(F.lit(run).alias("run"), F.count("*").alias("messages_read"))
+        runs.append(counted.withColumn("rows_added", F.lit(op.ingest_batch(messages, TRANSACTIONS, table)).cast("bigint")))
+    return reduce(DataFrame.unionByName, runs)
+
+
+@query
+def offset_stretches(spark, sf_dir):
+    """Unbroken stretches of offsets that a bronze table holds after two ingests, by its index."""
+    namespace, _ = _namespace(spark, "stretches")
+    table = f"{namespace}.{TRANSACTIONS.bronze_table}"
+    whole = _numbered_messages(spark, sf_dir)
+    for part in (whole.where("offset % 500 < 200"), whole):
+        op.ingest_batch(part, TRANSACTIONS, table)
+    held = held_stretches(refreshed_index(spark, table))
+    return held.select("kafka_partition", "low", "high", "messages")
+
+
 @query
 def stream_topics(spark, sf_dir):
     """Two topics in one folder of messages, one stream and one bronze table each."""

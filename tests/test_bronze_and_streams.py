@@ -6,8 +6,11 @@ from pyspark.sql import functions as F
 
 from ledgerlake import operators as op
 from ledgerlake.session import scan_bytes, scratch_dir, shuffle_partitions
-from ledgerlake.sinks import preview, to_envelopes, write_envelopes, write_extract, write_json_lines
-from ledgerlake.sources import ENVELOPE_SCHEMA, read_envelopes, read_extract, resume_offsets, starting_offsets, stream_envelopes
+from ledgerlake.sinks import append, preview, to_envelopes, write_envelopes, write_extract, write_json_lines
+from ledgerlake.sources import (
+    ENVELOPE_SCHEMA, held_stretches, indexed_offsets, messages_at, offset_index, read_envelopes, read_extract, refreshed_index,
+    resume_offsets, starting_offsets, stream_envelopes,
+)
 from ledgerlake.sources.envelopes import kafka_options
 from ledgerlake.specs import AML_ALERTS, CUSTOMERS, SPECS, TOPICS, TRANSACTIONS, route
 from ledgerlake.streaming import await_any, ingest_stream, ingest_topics
@@ -147,6 +150,116 @@ def test_kafka_options():
         stream_envelopes(session, "t")
 
 
+def numbered(spark, offsets, partition=0, days=0):
+    """Messages of one partition with the given offsets, and times that only ``days`` moves."""
+    made = [(f"K{n}", json.dumps(txn(n)), TOPIC, partition, n, datetime(2026, 4, 14 + days, 9, n % 60)) for n in offsets]
+    return spark.createDataFrame(made, ENVELOPE_SCHEMA).coalesce(1)
+
+
+def scans_of(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_stretches_join_over_blocks_and_keep_gaps(spark, namespace, monkeypatch):
+    monkeypatch.setattr(offset_index, "STRETCH", 10)
+    table = f"{namespace}.txn"
+    op.ingest_batch(numbered(spark, [*range(3, 35), *range(40, 42)]).unionByName(numbered(spark, [7], partition=1)), TRANSACTIONS, table)
+    op.ingest_batch(numbered(spark, range(35, 40)), TRANSACTIONS, table)
+    held = held_stretches(refreshed_index(spark, table)).collect()
+    assert {(r["kafka_partition"], r["low"], r["high"], r["messages"]) for r in held} == {(0, 3, 41, 39), (1, 7, 7, 1)}
+    assert spark.table(table).count() == 40
+
+
+def test_a_known_stretch_costs_no_read_of_the_table(spark, namespace):
+    table = f"{namespace}.txn"
+    op.ingest_batch(numbered(spark, range(20)), TRANSACTIONS, table)
+    again, further = offset_index.unseen_by_index(numbered(spark, range(30)), table), offset_index.unseen_by_index(numbered(spark, range(20, 30)), table)
+    assert [again.count(), further.count()] == [10, 10]
+    assert all("txn_id" not in scans_of(df) and "kafka_offset#" not in scans_of(df) for df in (again, further))
+    half = offset_index.unseen_by_index(numbered(spark, range(10, 25)), table)  # compared one by one
+    assert "kafka_offset#" in scans_of(half) and sorted(r["offset"] for r in half.collect()) == list(range(20, 25))
+
+
+def test_mixed_batches_lose_and_repeat_nothing(spark, namespace):
+    """Halves, repeats, a topic made anew and messages without a place, against a plain set of identities."""
+    table, held = f"{namespace}.txn", set()
+    lost = numbered(spark, range(3)).withColumn("offset", F.lit(None).cast("long"))
+    old, anew = numbered(spark, range(40)), numbered(spark, range(25), days=5)
+    for batch in (
+        old.where("offset < 10 OR offset > 30"), old, anew.where("offset % 2 = 0"), old.unionByName(anew).unionByName(lost), lost.unionByName(anew),
+        numbered(spark, range(60), partition=1), numbered(spark, range(0, 80, 3), partition=1).unionByName(old), old.limit(0),
+    ):
+        new = {(r["partition"], r["offset"], r["timestamp"]) for r in batch.collect()} - held
+        assert op.ingest_batch(batch, TRANSACTIONS, table) == len(new)
+        held |= new
+    found = [(r["kafka_partition"], r["kafka_offset"], r["kafka_timestamp"]) for r in spark.table(table).collect()]
+    assert set(found) == held and len(found) == len(held)
+
+
+def test_a_crash_before_the_index_is_written_repeats_nothing(spark, namespace):
+    table = f"{namespace}.txn"
+    op.ingest_batch(numbered(spark, range(5)), TRANSACTIONS, table)
+    op.ingest_batch(numbered(spark, range(5)), TRANSACTIONS, table)  # the index exists now
+    append(op.parse_envelopes(numbered(spark, range(5, 9)), TRANSACTIONS), table)  # and knows nothing of this
+    assert op.ingest_batch(numbered(spark, range(12)), TRANSACTIONS, table) == 3
+
+
+def test_indexed_offsets_resume_and_notice_a_topic_made_anew(spark, namespace, tmp_path):
+    table, path = f"{namespace}.txn", str(tmp_path / "messages")
+    reading = {"fmt": "parquet", "path": path}
+    numbered(spark, [*range(10), *range(12, 15)]).write.parquet(path)
+    start = lambda **more: indexed_offsets(spark, table, TOPIC, **reading, **more)
+    read = lambda **more: read_envelopes(spark, TOPIC, options={"startingOffsets": start(**more)}, **reading)
+    assert start() == "earliest" and op.ingest_batch(read(), TRANSACTIONS, table) == 13
+    assert json.loads(start()) == {TOPIC: {"0": 10}} and json.loads(start(gaps_are_final=True)) == {TOPIC: {"0": 15}}
+    numbered(spark, range(15, 18)).unionByName(numbered(spark, range(4), partition=1)).write.mode("append").parquet(path)
+    assert sorted(r["offset"] for r in read(gaps_are_final=True).where("partition = 0").collect()) == [15, 16, 17]
+    assert op.ingest_batch(read(gaps_are_final=True), TRANSACTIONS, table) == 7
+    assert read(gaps_are_final=True).count() == 0 and op.ingest_batch(read(), TRANSACTIONS, table) == 0
+    numbered(spark, range(30), days=3).write.mode("overwrite").parquet(path)  # made anew, and longer than before
+    assert json.loads(start(partitions=[0, 1, 5])) == {TOPIC: {"0": -2, "1": -2, "5": -2}}
+    assert op.ingest_batch(read(), TRANSACTIONS, table) == 30 and spark.table(table).count() == 50
+    # two incarnations overlap now; the later one's message is where the stretches end
+    assert op.ingest_batch(read(gaps_are_final=True), TRANSACTIONS, table) == 0
+
+
+def test_probe_options_for_kafka():
+    session = type("Session", (), {"read": Reader(), "readStream": Reader()})()
+    found = messages_at(session, "t", {0: 5, 3: 9}, options={"kafka.bootstrap.servers": "b:1"})
+    assert json.loads(found.given["startingOffsets"]) == {"t": {"0": 5, "3": 9}} and found.given["failOnDataLoss"] == "false"
+    assert json.loads(found.given["endingOffsets"]) == {"t": {"0": 6, "3": 10}}
+
+
+def test_keyed_state_keeps_each_key_once(spark, namespace, tmp_path, capfd):
+    """Restarts, late rows, rows without a key; no micro-batch reads the table."""
+    messages, table = str(tmp_path / "messages"), f"{namespace}.txn"
+
+    def run():
+        stream = stream_envelopes(spark, TOPIC, per_batch=1, fmt="parquet", path=messages)
+        query = ingest_stream(stream, TRANSACTIONS, table, str(tmp_path / "c"), available_now=True, keyed_state=True)
+        query.awaitTermination()
+        return query
+
+    late = envelopes(spark, txn(9), start=50).withColumn("timestamp", F.expr("timestamp - INTERVAL 300 DAYS"))
+    for part in (envelopes(spark, txn(1), txn(2), txn(1), "{bad"), late, envelopes(spark, txn(2), txn(3), "{bad", start=20)):
+        part.coalesce(1).write.mode("append").parquet(messages)
+        run()
+    run()
+    ids = [r["txn_id"] for r in spark.table(table).collect()]
+    assert sorted(i for i in ids if i) == ["TXN000001", "TXN000002", "TXN000003", "TXN000009"] and ids.count(None) == 2
+    envelopes(spark, txn(9), txn(4), start=90).unionByName(envelopes(spark, txn(1), txn(2), txn(1), "{bad")).coalesce(1).write.mode("append").parquet(messages)
+    query = run()
+    query.explain()
+    plan = capfd.readouterr().out
+    assert "StreamingDeduplicate" in plan and "Join" not in plan and plan.count("Scan") == 1
+    ids = [r["txn_id"] for r in spark.table(table).collect()]
+    assert len(ids) == 7 and ids.count(None) == 2  # the malformed message came again
+    with pytest.raises(ValueError, match="written by a stream"):
+        op.ingest_batch(late, TRANSACTIONS, table)
+    with pytest.raises(ValueError, match="choose one"):
+        ingest_stream(None, TRANSACTIONS, table, "c", keyed_state=True, new_keys_only=True)
+
+
 def test_empty_batch_changes_nothing(spark, namespace):
     table = f"{namespace}.txn"
     empty = spark.createDataFrame([], ENVELOPE_SCHEMA)

@@ -94,8 +94,9 @@ def remade(article: list[str], pool: list[str], draw: random.Random) -> tuple[li
 
 def fit_labeller(pages: DataFrame, sample: int = SAMPLE, seed: int = 0) -> BlockLabeller:
     """Trained on the driver on at most ``sample`` pages of least hash, none longer than ``SAMPLE_CHARS``."""
-    known = pages.select("html").where(F.length("html").between(1, SAMPLE_CHARS))
-    chosen = known.orderBy(F.xxhash64("html"), "html").limit(sample).collect()
+    known = pages.select("html", F.xxhash64("html").alias("h")).where(F.length("html").between(1, SAMPLE_CHARS))
+    least = F.broadcast(known.select("h").distinct().orderBy("h").limit(sample))  # hashes travel, pages do not
+    chosen = known.join(least, "h").dropDuplicates(["h"]).orderBy("h").collect()
     draw, read = random.Random(seed), [leaf_blocks(r["html"]) for r in chosen]
     told = [(page, labels) for page in read if (labels := told_by_markup(page)) is not None]
     pool = [leaf.text for page in read for leaf in page if len(leaf.text) < 2000] or list(_FILLER)

@@ -7,7 +7,7 @@ product with a query lies in a window.  With a subtree's lengths a window become
 around the query; by the triangle inequality, a sibling falls out if the distances from some split point
 that the annulus admits do not meet the stored range.  What is left is compared one by one in the leaves.
 
-Split points come from a sample of at most ``SAMPLE`` rows of least hash, so the tree has at most
+Split points come from a sample of at most ``SAMPLE`` rows by hash, so the tree has at most
 ``MOST_LEAVES`` leaves; that only shapes the tree.  Every row is assigned, and ranges cover every row, so
 results are exact.  Leaves are stored as packed pieces of about ``PIECE`` rows by hash, however many rows
 (copies of one vector, say) a leaf holds.
@@ -172,7 +172,9 @@ class VectorTree:
     def __init__(self, rows: DataFrame) -> None:
         self.spark = rows.sparkSession
         number = rows.count()
-        sample = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).select("vector").toArrow().column(0).combine_chunks()
+        share = F.pmod(F.xxhash64("vec_id"), F.lit(number // (SAMPLE // 2) + 1)) == 0  # about so many rows, half of SAMPLE at least
+        few = rows if number <= SAMPLE else rows.where(share)
+        sample = few.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).select("vector").toArrow().column(0).combine_chunks()
         self.tree = tree = Tree(as_matrix(sample), number)
 
         def assign(batches):

@@ -7,10 +7,10 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from ..functions.text import blank_to_null
 from ..sinks.publish import LOG_TABLE, run_of
 from ..sources.offset_index import INDEX_SUFFIX, is_index
 from ..specs import SPECS
+from .fingerprints import compared_fingerprints, key_fingerprints
 
 
 def required_tables(spark: SparkSession, namespace: str = "bronze") -> DataFrame:
@@ -58,21 +58,22 @@ def layer_counts(spark: SparkSession, namespaces: Iterable[str] = ("bronze", "si
 
 
 def reconciliation(layers: Mapping[str, tuple[DataFrame, DataFrame, str]]) -> DataFrame:
-    """Per entity: bronze rows, distinct bronze keys, silver rows, and whether the last two agree.
+    """Per entity: bronze rows, distinct bronze keys, silver rows, and whether silver has just those keys, one row each.
 
-    Bronze may hold repeats, so its plain row count need not match.
+    Bronze may hold repeats, so its plain row count need not match.  Keys are compared by fingerprints of
+    buckets; ``fingerprints.key_differences`` names those that differ.
     """
     parts = []
     for name, (bronze, silver, key) in layers.items():
-        silver_rows = silver.agg(F.count("*")).scalar()
+        compared = compared_fingerprints(key_fingerprints(bronze, key), key_fingerprints(silver, key))
+        total = lambda c: F.coalesce(F.sum(c), F.lit(0)).alias
         parts.append(
-            bronze.agg(
-                F.count("*").alias("bronze_rows"),
-                F.count_distinct(blank_to_null(F.col(key).cast("string"))).alias("bronze_keys"),
+            compared.agg(
+                total("left_rows")("bronze_rows"), total("left_keys")("bronze_keys"), total("right_rows")("silver_rows"),
+                F.coalesce(F.bool_and("agree"), F.lit(True)).alias("same_keys"),
             ).select(
-                F.lit(name).alias("entity"), "bronze_rows", "bronze_keys",
-                silver_rows.alias("silver_rows"),
-                (F.col("bronze_keys") == silver_rows).alias("matches"),
+                F.lit(name).alias("entity"), "bronze_rows", "bronze_keys", "silver_rows",
+                (F.col("same_keys") & (F.col("bronze_keys") == F.col("silver_rows"))).alias("matches"),
             )
         )
     return reduce(DataFrame.unionByName, parts)

@@ -9,7 +9,7 @@ from operator import and_
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.bronze import MESSAGE_ID, STREAM_PROPERTY, parse_envelopes
+from ..operators.bronze import MESSAGE_ID, STREAM_PROPERTY, ingest_batch, parse_envelopes
 from ..operators.dedup import latest_per_key
 from ..sinks.publish import append
 from ..specs import EntitySpec
@@ -61,6 +61,7 @@ def ingest_stream(
     processing_time: str | None = None,
     new_keys_only: bool = False,
     keyed_state: bool = False,
+    rejects: str | None = None,
     fmt: str = "parquet",
     source: str = "kafka",
 ) -> StreamingQuery:
@@ -71,14 +72,17 @@ def ingest_stream(
     and silver chooses among them, unless one of two options is set.  ``keyed_state`` appends the first row
     of each key and keeps the keys as state of the stream, in its checkpoint; the table is the stream's own.
     ``new_keys_only`` compares each micro-batch with the keys of the table, which costs a read of the
-    table's key column each time; others may write the table too.
+    table's key column each time; others may write the table too.  With ``rejects`` each micro-batch is an
+    ``ingest_batch`` into two tables, good rows and messages that cannot be rows; a micro-batch that is
+    run again adds nothing twice.
     """
-    if keyed_state and new_keys_only:
-        raise ValueError("choose one of keyed_state and new_keys_only")
-    rows = parse_envelopes(envelopes, spec, source)
+    if keyed_state + new_keys_only + (rejects is not None) > 1:
+        raise ValueError("choose one of keyed_state, new_keys_only and rejects")
+    rows = envelopes if rejects else parse_envelopes(envelopes, spec, source)
     if keyed_state:
         rows = first_of_each_key(rows, spec.key)
-    _ensure_table(envelopes.sparkSession, table, rows, fmt, of_stream=not new_keys_only)
+    if not rejects:
+        _ensure_table(envelopes.sparkSession, table, rows, fmt, of_stream=not new_keys_only)
     writer = rows.writeStream.outputMode("append").option(
         "checkpointLocation", f"{checkpoint_dir.rstrip('/')}/{spec.topic or spec.name}"
     )
@@ -88,6 +92,8 @@ def ingest_stream(
         writer = writer.trigger(processingTime=processing_time)
     if new_keys_only:
         return writer.foreachBatch(lambda batch, _: append_new_keys(batch, table, spec.key) and None).start()
+    if rejects:
+        return writer.foreachBatch(lambda batch, _: ingest_batch(batch, spec, table, source=source, rejects=rejects) and None).start()
     return writer.format(fmt).toTable(table)
 
 

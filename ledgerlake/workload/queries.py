@@ -15,11 +15,11 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from .. import operators as op
-from ..plans import aml, counts, customers, medallion, metadata, npa, quality, sections, transactions
+from ..plans import aml, counts, customers, fingerprints, medallion, metadata, npa, quality, sections, transactions
 from ..rules import DEFAULT_RULES
-from ..session import scratch_dir
+from ..session import scratch_dir, stored
 from ..sinks import (
-    append, create_namespace, preview, publish, replace as replace_table, to_envelopes, write_envelopes,
+    ContractError, append, contract_actions, create_namespace, preview, publish, replace as replace_table, to_envelopes, write_envelopes,
     write_extract, write_json_lines,
 )
 from ..sources import (
@@ -450,25 +450,26 @@ def low_score_top20(spark, sf_dir):
 ENTITIES = (TRANSACTIONS, CUSTOMERS, NPA_REPORT, BUREAU, AML_ALERTS)
 
 
-def _bronze(spark, sf_dir):
-    """The bronze tables of all entities, written."""
+def _bronze(spark, sf_dir, entities=ENTITIES):
+    """The bronze tables of some entities, written."""
     namespace, _ = _namespace(spark, "layers")
     names = medallion.Namespaces(*[f"{namespace}_{layer}" for layer in LAYERS])
     for name in (names.bronze, names.silver, names.gold):
         create_namespace(spark, name, scratch_dir(spark, name))
-    for spec, df in zip(ENTITIES, (
-        roles.bronze_transactions(spark, sf_dir),
-        roles.bronze_customers(spark, sf_dir, repeats=True),
-        roles.bronze_npa_report(spark, sf_dir, customer=True, collateral=True),
-        roles.bronze_bureau(spark, sf_dir),
-        roles.bronze_aml_alerts(spark, sf_dir),
-    ), strict=True):
-        append(df, f"{names.bronze}.{spec.bronze_table}")
+    rows = {
+        TRANSACTIONS.name: lambda: roles.bronze_transactions(spark, sf_dir),
+        CUSTOMERS.name: lambda: roles.bronze_customers(spark, sf_dir, repeats=True),
+        NPA_REPORT.name: lambda: roles.bronze_npa_report(spark, sf_dir, customer=True, collateral=True),
+        BUREAU.name: lambda: roles.bronze_bureau(spark, sf_dir),
+        AML_ALERTS.name: lambda: roles.bronze_aml_alerts(spark, sf_dir),
+    }
+    for spec in entities:
+        append(rows[spec.name](), f"{names.bronze}.{spec.bronze_table}")
     return names
 
 
-def _published_silver(spark, sf_dir):
-    names = _bronze(spark, sf_dir)
+def _published_silver(spark, sf_dir, entities=ENTITIES):
+    names = _bronze(spark, sf_dir, entities)
     medallion.build_silver(spark, names)
     return names
 
@@ -476,7 +477,7 @@ def _published_silver(spark, sf_dir):
 @query
 def layer_reconciliation(spark, sf_dir):
     """Rows of bronze and of the silver tables published from it."""
-    names = _published_silver(spark, sf_dir)
+    names = _published_silver(spark, sf_dir, ENTITIES[:3])
     return counts.row_counts({
         f"{layer}.{name}": spark.table(f"{namespace}.{name}")
         for layer, namespace, tables in (
@@ -499,6 +500,23 @@ def key_reconciliation(spark, sf_dir):
     })
 
 
+@query
+def exchanged_key(spark, sf_dir):
+    """Silver customers of whom one was replaced by a stranger: the counts agree, the keys do not, and both are named."""
+    bronze = roles.bronze_customers(spark, sf_dir, repeats=True)
+    least = F.broadcast(bronze.agg(F.min(F.col("customer_id").cast("bigint")).alias("_least")))
+    silver = stored(op.silver_customers(bronze), "silver").join(least, F.col("customer_id").cast("bigint") == F.col("_least"), "left").withColumn(
+        "customer_id", F.when(F.col("_least").isNotNull(), F.concat(F.lit("X"), F.col("customer_id"))).otherwise(F.col("customer_id"))
+    )
+    checked = quality.reconciliation({"customers": (bronze, silver, "customer_id")})
+    named = fingerprints.key_differences(bronze, "customer_id", silver, "customer_id")
+    verdict = checked.select((F.col("bronze_keys") == F.col("silver_rows")).alias("counts_agree"), "matches")
+    # one row of verdict beside each key found
+    return named.withColumn("_one", F.lit(1)).join(verdict.withColumn("_one", F.lit(1)), "_one").drop("_one").select(
+        "key", F.col("in_left").alias("in_bronze"), F.col("in_right").alias("in_silver"), "counts_agree", "matches"
+    )
+
+
 @query
 def required_tables(spark, sf_dir):
     """Of the required bronze tables one is there, one is empty, one is absent."""
@@ -518,6 +536,47 @@ def silver_contract(spark, sf_dir):
     return quality.layer_columns(spark, namespace, {"customers": contract}).withColumn("layer", F.lit("silver"))
 
 
+@query
+def contract_gate(spark, sf_dir):
+    """Customers appended under a contract: one type widened, one column filled; then with an unknown column and a narrower type, refused."""
+    namespace, _ = _namespace(spark, "gate")
+    table = f"{namespace}.customers"
+    rows = op.silver_customers(roles.bronze_customers(spark, sf_dir)).select("customer_id", "annual_income", F.length("name").alias("name_length"))
+    contract = T.StructType.fromDDL("customer_id string, annual_income decimal(24,4), name_length bigint, segment string")
+    added = append(rows, table, contract=contract)
+    spoilt = rows.withColumn("annual_income", F.col("annual_income").cast("double")).withColumn("nickname", F.lit("x"))
+    try:
+        append(spoilt, table, contract=contract)
+        refused = []
+    except ContractError as problem:
+        refused = [name for name, _, _ in problem.refused]
+    listed = spark.createDataFrame(contract_actions(rows, contract), "column_name string, expected_type string, found_type string, action string")
+    return listed.select(
+        "*", F.lit(",".join(refused)).alias("then_refused"), F.lit(added).cast("bigint").alias("rows_added"),
+        spark.table(table).agg(F.count("*")).scalar().alias("rows_held"), spark.table(table).agg(F.sum("annual_income")).scalar().alias("income"),
+    )
+
+
+@query
+def rejected_messages(spark, sf_dir):
+    """Messages into two tables by a stream in two runs: good rows, and per reason those that cannot be rows."""
+    namespace, folder = _namespace(spark, "rejects")
+    table, rejects, messages = f"{namespace}.good", f"{namespace}.rejected", f"{folder}/_messages"
+    n = F.col("offset")
+    spoilt = _numbered_messages(spark, sf_dir).withColumn(
+        "value", F.when(n % 10 == 1, F.substring("value", 1, 20)).when(n % 10 == 2, "").when(n % 10 == 3, '{"other": 1}').otherwise(F.col("value"))
+    )
+    for half in (0, 1):
+        spoilt.where((n % 2 == half) | (n % 3 == half)).write.mode("append").parquet(messages)  # some messages come twice
+        stream = stream_envelopes(spark, TRANSACTIONS.topic, per_batch=100, fmt="parquet", path=messages)
+        ingest_stream(stream, TRANSACTIONS, table, f"{folder}/_checkpoints", available_now=True, rejects=rejects).awaitTermination()
+    place = F.count_distinct("kafka_partition", "kafka_offset").alias("messages")
+    good = spark.table(table).groupBy(F.lit("good").alias("reason")).agg(F.count("*").alias("row_count"), place, F.lit(None).cast("bigint").alias("raw_length"))
+    return good.unionByName(
+        spark.table(rejects).groupBy("reason").agg(F.count("*").alias("row_count"), place, F.sum(F.length("value")).cast("bigint").alias("raw_length"))
+    )
+
+
 @query
 def reports_without_alerts(spark, sf_dir):
     """The reports that remain, and their rows, when the optional tables are absent."""

@@ -30,7 +30,7 @@ def no_broadcast(spark):
 
 # They write and read back while they are built, which takes long and leaves a plain scan.
 WRITING = {
-    "incremental_ingest", "offset_stretches", "bronze_batch_ingest", "bronze_stream_ingest", "stream_dedup", "stream_topics", "stream_to_files", "csv_extract",
+    "contract_gate", "rejected_messages", "exchanged_key", "incremental_ingest", "offset_stretches", "bronze_batch_ingest", "bronze_stream_ingest", "stream_dedup", "stream_topics", "stream_to_files", "csv_extract",
     "csv_as_text", "csv_recursive", "csv_to_bronze", "publish_envelope", "json_lines", "partition_pruned_total",
     "partition_profile", "publish_refresh", "replaced_table", "layer_counts", "layer_reconciliation",
     "key_reconciliation", "required_tables", "silver_contract", "reports_without_alerts",

@@ -22,7 +22,6 @@ _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 _LINE_END = (pa.scalar("", pa.large_string()), pa.scalar("\n", pa.large_string()))
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[0x41:0x5B] += 0x20
-_BASE = 0x9E3779B97F4A7C15 | 1
 _U = np.uint64
 
 
@@ -37,18 +36,28 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x
 
 
-_BYTE_CODE = mix64(np.arange(1, 257, dtype=_U) * _U(0xD1342543DE82EF95))
-_powers = {"up": np.ones(1, _U), "down": np.ones(1, _U)}
+_FIRST_BYTES = np.array([(1 << 8 * k) - 1 for k in range(9)], _U)  # keeps so many bytes of eight
+_STEP, _LENGTH = _U(0x9E3779B97F4A7C15), _U(0xA0761D6478BD642F)
 
 
-def _power(name: str, n: int) -> np.ndarray:
-    """The powers 0..n-1 of the base or of its inverse modulo 2**64."""
-    if len(_powers[name]) < n:
-        base = _BASE if name == "up" else pow(_BASE, -1, 1 << 64)
-        steps = np.full(max(n, 1 << 16), base, _U)
-        steps[0] = 1
-        _powers[name] = np.multiply.accumulate(steps)
-    return _powers[name][:n]
+def _family(seed: int) -> np.uint64:
+    return _U((seed + 1) * 0xD1342543DE82EF95 % (1 << 64))
+
+
+def _places(begin: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(span, number within the span, place) of all units of spans that hold ``count`` units from ``begin`` on."""
+    span = np.repeat(np.arange(len(begin)), count)
+    step = np.arange(len(span)) - np.repeat(np.cumsum(count) - count, count)
+    return span, step, begin[span] + step
+
+
+def _sum_by(span: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
+    """Sums modulo 2**64 of values by their span; spans ascend."""
+    out = np.zeros(n, _U)
+    if len(span):
+        at = np.flatnonzero(np.diff(span, prepend=-1))
+        out[span[at]] = np.add.reduceat(values, at)
+    return out
 
 
 @dataclass
@@ -104,20 +113,36 @@ class Block:
         return np.searchsorted(self.line_from, self.starts)
 
     @cached_property
-    def _prefix(self) -> np.ndarray:
-        out = np.zeros(len(self.data) + 1, _U)
-        np.cumsum(_BYTE_CODE[self.data] * _power("up", len(self.data)), out=out[1:])
-        return out
-
-    def span_hash(self, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
-        """64-bit hashes of byte spans; equal bytes have equal hashes wherever they lie."""
-        part = (self._prefix[end] - self._prefix[begin]) * _power("down", len(self.data) + 1)[begin]
-        return mix64(part + (end - begin).astype(_U) * _U(0xA0761D6478BD642F))
+    def _eights(self) -> np.ndarray:
+        """The eight bytes from each place on as one number."""
+        padded = np.concatenate([self.data, np.zeros(8, np.uint8)])
+        return np.ndarray(len(self.data) + 1, "<u8", padded.data, strides=(1,))
+
+    def span_hash(self, begin: np.ndarray, end: np.ndarray, seed: int = 0) -> np.ndarray:
+        """64-bit hashes of byte spans; equal bytes have equal hashes wherever they lie.
+
+        The sum over a span's pieces of eight bytes of a mixture of piece and place, so that no pattern of
+        the bytes makes different spans alike.  Seeds give independent hashes.
+        """
+        begin, size = np.asarray(begin, np.int64), np.asarray(end, np.int64) - begin
+        family = _family(seed)
+        total = mix64((self._eights[begin] & _FIRST_BYTES[np.clip(size, 0, 8)]) + family)
+        if len(long := np.flatnonzero(size > 8)):
+            span, step, _ = _places(np.zeros(len(long), np.int64), (size[long] - 1) >> 3)
+            place = begin[long][span] + 8 * (step + 1)
+            kept = np.minimum(begin[long][span] + size[long][span] - place, 8)
+            pieces = mix64((self._eights[place] & _FIRST_BYTES[kept]) + family + (step + 1).astype(_U) * _STEP)
+            total[long] += _sum_by(span, pieces, len(long))
+        return mix64(total + size.astype(_U) * _LENGTH)
 
     @cached_property
     def word_hash(self) -> np.ndarray:
         return self.span_hash(self.word_from, self.word_to)
 
+    @cached_property
+    def _other_word_hash(self) -> np.ndarray:
+        return self.span_hash(self.word_from, self.word_to, 1)
+
     def windows(self, k: int) -> tuple[np.ndarray, np.ndarray]:
         """First word and hash of each window of ``k`` words that lies in one text."""
         n, h = len(self.word_from), self.word_hash
@@ -131,12 +156,15 @@ class Block:
         return first, acc[first]
 
     def run_hash(self, first: np.ndarray, last: np.ndarray, seed: int = 0) -> np.ndarray:
-        """64-bit hashes of runs of words, ``last`` excluded; white space between words does not count."""
-        codes = mix64(self.word_hash + np.uint64(seed))
-        prefix = np.zeros(len(codes) + 1, _U)
-        np.cumsum(codes * _power("up", len(codes)), out=prefix[1:])
-        part = (prefix[last] - prefix[first]) * _power("down", len(codes) + 1)[first]
-        return mix64(part + (last - first).astype(_U) * _U(0xE7037ED1A0B428DB))
+        """64-bit hashes of runs of words, ``last`` excluded; white space between words does not count.
+
+        Even and odd seeds start from independent hashes of the words.
+        """
+        first, size = np.asarray(first, np.int64), np.asarray(last, np.int64) - first
+        words = self._other_word_hash if seed & 1 else self.word_hash
+        span, step, place = _places(first, size)
+        parts = mix64(words[place] + _family(seed) + (step + 1).astype(_U) * _STEP)
+        return mix64(_sum_by(span, parts, len(first)) + size.astype(_U) * _LENGTH)
 
     def lowered(self) -> Block:
         """The same texts with A-Z in lower case."""

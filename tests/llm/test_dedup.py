@@ -263,3 +263,25 @@ def test_merging_runs(n_runs):
     merged = [runs[r][0][k] for r, k in order]
     assert merged == sorted(s for strings, _ in runs for s in strings)
     assert common == [0, *[suffix_dedup.shared_prefix(a, b, 0) for a, b in zip(merged, merged[1:], strict=False)]][: len(merged)]
+
+
+@pytest.mark.parametrize("n", [1024, 4096])
+def test_texts_of_two_alternating_words_are_told_apart(spark, n):
+    """Sums of powers of one base agree for such texts; hashes of lines, units and documents must not."""
+    from test_text import alternating
+
+    one, other = (" ".join(alternating(n, flip)) for flip in (False, True))
+    docs = frame(spark, [(1, one), (2, other), (3, one)])
+    kept = {r["doc_id"]: r["kept"] for r in near_dup.near_classes(docs).collect()}
+    assert kept[1] and not kept[3]
+    jaccard_is_high = len(shingle_set(one) & shingle_set(other)) >= 0.8 * len(shingle_set(one) | shingle_set(other))
+    assert kept[2] != jaccard_is_high
+    units = {r["doc_id"]: r["n_removed"] for r in line_dedup.unit_dedup(docs).collect()}
+    assert units[1] == units[2] == 0 and units[3] == 1
+    lines = frame(spark, [(k, "\n".join([t, "second line", "third"])) for k, t in ((1, one), (2, other), (3, one))])
+    assert {r["doc_id"]: r["n_removed"] for r in line_dedup.window_dedup(lines).collect()} == {1: 0, 2: 0, 3: 3}
+
+
+def shingle_set(text, k=5):
+    w = text.split()
+    return {tuple(w[i : i + k]) for i in range(len(w) - k + 1)}

@@ -104,3 +104,14 @@ def test_round_trip(spark):
         assert [o for o, _ in sorted(pieces)] == [0, *ends[:-1]] and ends[-1] <= 512
     assert len(by_sequence) <= -(-sum(r["length"] for r in got) // 512) + 1
     assert packing.pack(frame(spark, []), pack_tokenizer()).count() == 0
+
+
+def test_long_words_of_two_alternating_letters(spark):
+    from test_text import alternating
+
+    encoder = tokenizers.Tokenizer.from_file(pack_tokenizer())
+    texts = ["".join(alternating(1024, flip, "a", "b")) for flip in (False, True)]
+    got = {r["doc_id"]: r["ids_crc32"] for r in packing.pack(frame(spark, list(enumerate(texts))), pack_tokenizer()).collect()}
+    for k, text in enumerate(texts):
+        ids = [*encoder.encode(text, add_special_tokens=False).ids, 1]
+        assert got[k] == zlib.crc32(np.array(ids, "<u4").tobytes())

@@ -120,3 +120,11 @@ def test_nothing_learned(spark):
     assert none == {}
     assert [tuple(r)[1:3] for r in language_id.identified(frame(spark, [(1, "text")]), none).collect()] == [("und", 0.0)]
     assert language_id.identified(frame(spark, []), {"xx": b"abc"}).count() == 0
+
+
+def test_lines_of_two_alternating_letters_are_not_equal(spark):
+    from test_text import alternating, one as one_block
+
+    one, other = ("".join(alternating(4096, flip, "a", "b")) for flip in (False, True))
+    block = one_block([f"{one}\n{other}", f"{one}\n{one}"])
+    assert quality.statistics(block)[0]["n_dup_lines"].tolist() == [0, 1]

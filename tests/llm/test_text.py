@@ -54,3 +54,32 @@ def test_marks():
     assert repeated(keys).tolist() == [True, True, True, False, True, True]
     assert later(keys).tolist() == [False, False, True, False, True, True]
     assert covered(np.array([0, 1, 5]), 3, 7).tolist() == [True] * 4 + [False] + [True] * 2
+
+
+def alternating(n: int, flip: bool, a="ka", b="ro") -> list[str]:
+    """Two words in the order of the bits of numbers' digit sums, which makes sums of powers of one base agree."""
+    return [(a, b)[(bin(k).count("1") + flip) % 2] for k in range(n)]
+
+
+def test_patterns_do_not_make_different_spans_alike():
+    for n in (8, 64, 1024, 4096):
+        one_text, other = (" ".join(alternating(n, flip)) for flip in (False, True))
+        block = one([one_text, other, one_text])
+        runs = [block.run_hash(block.words_at[:-1], block.words_at[1:], seed) for seed in range(4)]
+        assert all(h[0] == h[2] != h[1] for h in runs) and len({int(h[0]) for h in runs}) == 4
+        letters = one(["".join(alternating(n, flip, "a", "b")) for flip in (False, True, False)])
+        for seed in (0, 1):
+            h = letters.span_hash(letters.word_from, letters.word_to, seed)
+            assert h[0] == h[2] != h[1]
+
+
+def test_spans_of_every_length_anywhere():
+    raw = random.Random(4).randbytes(64).replace(b"\n", b"x")
+    block = Block(np.frombuffer(b"\n".join([raw, raw[1:], b""]), np.uint8), np.array([0, 65, 129]))
+    at = {}
+    for a in range(64):
+        for b in range(a, 65):
+            at.setdefault(raw[a:b], set()).add(int(block.span_hash(np.array([a]), np.array([b]))[0]))
+            if a:
+                at[raw[a:b]].add(int(block.span_hash(np.array([64 + a]), np.array([64 + b]))[0]))
+    assert all(len(h) == 1 for h in at.values()) and len(set().union(*at.values())) == len(at)

@@ -11,8 +11,9 @@ All of them share its core, the bytes that lie in each; the hull is what they co
    sorts its suffixes and front-codes them: each is the length of the prefix that it shares with the one
    before, and the rest.
 3. A part merges the runs of all blocks with a loser tree whose nodes know the prefix that the loser
-   shares with the winner, so that known prefixes are never compared again.  Suffixes that share a
-   core's length form a group; in it, strings at the same distance from the anchor are compared.
+   shares with the winner, so that known prefixes are never compared again.  The prefixes that neighbours
+   in the merged order share decide which strings are equal; the bytes before the anchors are merged and
+   decided the same way, read backwards.
 4. Blocks mark the bytes of all repeated strings and cut them out.
 
 Defined results: a null text is empty; texts shorter than ``length`` bytes lose nothing; repeated rows lose
@@ -232,6 +233,38 @@ def _sent(table, length: int, reach: int, parts: int):
     return pa.Table.from_batches([packed_rows(rows)])
 
 
+def _runs_behind(befores: list[list[bytes]]) -> list[tuple[list[bytes], list[int], list[int]]]:
+    """The bytes before the anchors, read backwards, as sorted runs: strings, shared prefixes, and their places in the given runs."""
+    out = []
+    for texts in befores:
+        back = [x[::-1] for x in texts]
+        places = sorted(range(len(back)), key=back.__getitem__)
+        ordered = [back[k] for k in places]
+        out.append((ordered, front_coded(ordered)[0].tolist(), places))
+    return out
+
+
+def _repeated_strings(common, behind_rank, behind_common, ahead, strings, length: int) -> np.ndarray:
+    """Marks the strings that occur twice, hull after hull in merged order, each hull's by their begin.
+
+    A string that begins ``d`` bytes before the anchor is the last ``d`` bytes before it and the first
+    ``length - d`` of the suffix.  Two are equal if all neighbours between them in the merged order share so
+    long a prefix, and all between them in the merged order of the bytes before, read backwards, share
+    ``d``.  No string is looked at again.
+    """
+    at = np.append(0, np.cumsum(strings))
+    found = np.zeros(at[-1], bool)
+    for d in range(int((ahead - strings).min()) + 1, int(ahead.max()) + 1):
+        step = ahead - d
+        have = np.flatnonzero((step >= 0) & (step < strings))
+        if len(have) < 2:
+            continue
+        after = np.cumsum(common < length - d)[have]
+        before = np.cumsum(behind_common < d)[behind_rank[have]]
+        found[at[have] + step[have]] = repeated((after * (len(common) + 1) + before).astype(_U))
+    return found
+
+
 def _resolved(key, table, length: int, reach: int):
     """Merges the runs of a part, and tells each block which strings of its single hulls occur elsewhere."""
     names, runs, befores, hulls, states = table["block"].to_pylist(), [], [], [], []
@@ -243,16 +276,15 @@ def _resolved(key, table, length: int, reach: int):
         hulls.append(hull)
         states.append(state)
     order, common = merged_runs(runs)
-    group = np.cumsum(np.array(common) < length - reach + 1)
-    texts = [befores[r][k] + runs[r][0][k] for r, k in order]
+    behind, behind_order = _runs_behind(befores), {}
+    turned, turned_common = merged_runs([(texts, shared) for texts, shared, _ in behind])
+    for rank, (r, k) in enumerate(turned):
+        behind_order[r, behind[r][2][k]] = rank
     ahead = np.array([len(befores[r][k]) for r, k in order])
-    sizes = np.array([len(x) for x in texts])
-    block = Block(np.frombuffer(b"".join(texts), np.uint8), np.append(0, np.cumsum(sizes)))
-    strings = sizes - length + 1  # begins at distances 0..strings - 1 from the hull's
-    item = np.repeat(np.arange(len(texts)), strings)
-    step = np.arange(len(item)) - np.repeat(np.cumsum(strings) - strings, strings)
-    begin = block.starts[:-1][item] + step
-    found = repeated(mix64(block.span_hash(begin, begin + length) + mix64(group[item].astype(_U) * _U(reach * 2) + (ahead[item] - step).astype(_U))))
+    strings = ahead + np.array([len(runs[r][0][k]) for r, k in order]) - length + 1  # begins at 0..strings - 1 from the hull's
+    found = _repeated_strings(
+        np.array(common), np.array([behind_order[r, k] for r, k in order]), np.array(turned_common), ahead, strings, length
+    )
     at, rows = np.append(0, np.cumsum(strings)), []
     mine: dict[int, tuple[list[int], list[np.ndarray]]] = {}
     for x, (r, k) in enumerate(order):

@@ -1,20 +1,22 @@
 """Near-duplicate classes by ProbMinHash signatures, banding and exact verification.
 
-A document's shingles are its runs of five words (a shorter text is one shingle).  Every shingle emits
-points of a Poisson process whose rate is its weight, each into a random register; a register keeps its
-earliest arrival, and a document stops as soon as no further point can be early enough.  Equal registers
-of two documents have the probability Jaccard similarity as their chance.  Every shingle weighs 1,
-however often it occurs, so that this is the Jaccard similarity of the sets.  Documents with equal
-registers in a whole band are candidates, and two texts are linked when the exact Jaccard similarity
-of their shingle sets is 0.8 or more.
+A document's shingles are its runs of five words (a shorter text is one shingle); a shingle that occurs c
+times weighs 1 + ln c.  Every shingle emits points of a Poisson process whose rate is its weight, each into a
+random register; a register keeps its earliest arrival, and a document stops as soon as no further point
+can be early enough.  Equal registers of two documents have their probability Jaccard similarity as chance:
+the sum over common shingles i of 1 / sum over all j of max(x_j / x_i, y_j / y_i).  Documents with equal
+registers in a whole band are candidates, and two texts are linked when that similarity, computed exactly
+from the texts, is 0.8 or more.
 
 Equal texts (equal word sequences) are one node from the start.  A bucket's members are compared with one
-centre, then with up to 8, 64, ... new centres a round.  After the first round each bucket has a main
+centre, then with up to 16, 256, ... new centres a round.  After the first round each bucket has a main
 class, the largest there; members outside it are strays.  Every member becomes a centre for the strays, since
 a stray may be near to any member of the main class, until no stray is left (other buckets can bring one
 into the class too) or all have been centres.  So each candidate pair is compared or within one class.
-Texts are compared only where sketches of all registers agree about as much as the similarity asks.
-Classes are the connected components of the links.
+Comparing starts with sketches of ``WIDE`` further registers, which are made of candidates alone: texts meet
+only where so many registers agree as a similarity of 0.8 gives but for 4.5 standard deviations, a cut
+near 0.73.  Copies of one original that are not near to each other therefore meet in no join.
+Classes are the connected components of the links; each round joins the classes that its links connect.
 
 Defined results: texts without a word (null, empty, blank) are alone in their classes; repeated rows
 share one; an empty table gives no rows; other columns are ignored by ``near_classes`` and passed
@@ -31,8 +33,8 @@ from .components import components
 from .storage import written
 from .text import Block, blocks, mix64, sums
 
-WORDS, SIMILARITY, BANDS, ROWS, CENTRES = 5, 0.8, 32, 6, 8
-PER_LONG, BROADCAST_NODES = 16, 1_000_000
+WORDS, SIMILARITY, BANDS, ROWS, CENTRES = 5, 0.8, 32, 6, 16
+WIDE, PER_LONG, BROADCAST_NODES = 1024, 32, 1_000_000
 _U = np.uint64
 
 
@@ -70,33 +72,41 @@ def prob_min_hash(owner: np.ndarray, hashes: np.ndarray, weights: np.ndarray, n:
     return (first & _U(0xFFFFFFFF)).reshape(n, registers)
 
 
-def band_keys(block: Block, bands: int, rows: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Number of distinct shingles of each text, its band keys (texts x bands), and its sketch.
+def weight_of(counts: np.ndarray) -> np.ndarray:
+    return 1 + np.log(counts)
 
-    The sketch has four bits of every register, sixteen registers to a number.
-    """
-    owner, hashes, _ = shingles(block)
-    signature = prob_min_hash(owner, hashes, np.ones(len(hashes)), len(block), bands * rows)  # weights of the verdict
+
+def band_keys(block: Block, bands: int, rows: int) -> tuple[np.ndarray, np.ndarray]:
+    """Number of distinct shingles of each text, and its band keys (texts x bands)."""
+    owner, hashes, counts = shingles(block)
+    signature = prob_min_hash(owner, hashes, weight_of(counts), len(block), bands * rows)
     keys = np.zeros((len(block), bands), _U)
     for r in range(rows):
         keys = mix64(keys + signature[:, r::rows] + _U(r + 1))
-    keys = mix64(keys + np.arange(bands, dtype=_U))  # a key says which band it is of
-    nibbles = np.zeros((len(block), -(-signature.shape[1] // PER_LONG) * PER_LONG), _U)
-    nibbles[:, : signature.shape[1]] = signature & _U(15)
-    places = _U(4) * np.arange(PER_LONG, dtype=_U)
-    sketch = (nibbles.reshape(len(block), -1, PER_LONG) << places).sum(axis=2, dtype=_U)
-    return np.bincount(owner, minlength=len(block)), keys, sketch
-
-
-def equal_registers(a: Column, b: Column, longs: int) -> Column:
-    """In how many places two sketches agree; also one place in sixteen of unlike ones."""
-    total = F.lit(0)
-    for i in range(longs):
+    return np.bincount(owner, minlength=len(block)), mix64(keys + np.arange(bands, dtype=_U))  # a key says which band it is of
+
+
+def sketches(block: Block, registers: int = WIDE) -> np.ndarray:
+    """Two bits of every register of a signature of its own, ``PER_LONG`` registers to a number (texts x numbers)."""
+    owner, hashes, counts = shingles(block)
+    pairs = prob_min_hash(owner, mix64(hashes + _U(1)), weight_of(counts), len(block), registers) & _U(3)
+    places = _U(2) * np.arange(PER_LONG, dtype=_U)
+    return (pairs.reshape(len(block), -1, PER_LONG) << places).sum(axis=2, dtype=_U)
+
+
+def least_alike(similarity: float, registers: int = WIDE) -> float:
+    """How many registers of two sketches agree at least at this similarity, but for 4.5 standard deviations."""
+    alike = similarity + (1 - similarity) / 4  # unlike registers agree in two bits by chance
+    return registers * alike - 4.5 * (registers * alike * (1 - alike)) ** 0.5
+
+
+def equal_registers(a: Column, b: Column, registers: int = WIDE) -> Column:
+    """In how many places two sketches agree."""
+    differ = F.lit(0)
+    for i in range(registers // PER_LONG):
         x = F.get(a, F.lit(i)).bitwiseXOR(F.get(b, F.lit(i)))
-        for shift in (1, 2):  # gathers the four bits of a place in its lowest
-            x = x.bitwiseOR(F.shiftrightunsigned(x, shift))
-        total = total + F.lit(PER_LONG) - F.bit_count(x.bitwiseAND(F.lit(0x1111111111111111)))
-    return total
+        differ = differ + F.bit_count(x.bitwiseOR(F.shiftrightunsigned(x, 1)).bitwiseAND(F.lit(0x5555555555555555)))
+    return F.lit(registers) - differ
 
 
 def _nodes(block: Block) -> pa.Array:
@@ -106,35 +116,66 @@ def _nodes(block: Block) -> pa.Array:
     return pa.FixedSizeBinaryArray.from_buffers(pa.binary(16), len(block), [None, pa.py_buffer(pair.astype(">u8").tobytes())]).cast(pa.binary())
 
 
+def _lists(values: np.ndarray) -> pa.Array:
+    at = np.arange(len(values) + 1, dtype=np.int32) * values.shape[1]
+    return pa.ListArray.from_arrays(pa.array(at), pa.array(values.reshape(-1).view(np.int64)))
+
+
 def _signed_nodes(docs: DataFrame, bands: int, rows: int) -> DataFrame:
     def sign(batches):
         for batch in batches:
             for first, last, block in blocks(batch.column(2)):
-                n, *lists = band_keys(block, bands, rows)
-                flat = [
-                    pa.ListArray.from_arrays(
-                        pa.array(np.arange(len(block) + 1, dtype=np.int32) * x.shape[1]), pa.array(x.reshape(-1).view(np.int64))
-                    )
-                    for x in lists
-                ]
+                n, keys = band_keys(block, bands, rows)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0)[first:last], batch.column(1)[first:last], _nodes(block), pa.array(n), *flat],
-                    ["doc_id", "code", "node", "n", "bands", "sketch"],
+                    [batch.column(0)[first:last], batch.column(1)[first:last], _nodes(block), pa.array(n), _lists(keys)],
+                    ["doc_id", "code", "node", "n", "bands"],
                 )
 
     return docs.select("doc_id", F.xxhash64("text").alias("code"), "text").mapInArrow(
-        sign, "doc_id long, code long, node binary, n long, bands array<long>, sketch array<long>"
+        sign, "doc_id long, code long, node binary, n long, bands array<long>"
     )
 
 
-def jaccard(a: Block, b: Block) -> np.ndarray:
-    """The exact similarity of the shingle sets of text i of ``a`` and text i of ``b``."""
-    sides = [shingles(x)[:2] for x in (a, b)]
-    keys = np.concatenate([mix64(h + mix64(owner.astype(_U) + _U(1))) for owner, h in sides])
-    owner = np.concatenate([owner for owner, _ in sides])
-    order = np.argsort(keys, kind="stable")
-    both = np.bincount(owner[order[1:][keys[order[1:]] == keys[order[:-1]]]], minlength=len(a))
-    return both / np.maximum(np.bincount(owner, minlength=len(a)) - both, 1)
+def _sketched(texts: DataFrame) -> DataFrame:
+    """(node, sketch) of texts (node, text)."""
+
+    def sketch(batches):
+        for batch in batches:
+            for first, last, block in blocks(batch.column(1)):
+                yield pa.RecordBatch.from_arrays([batch.column(0)[first:last], _lists(sketches(block))], ["node", "sketch"])
+
+    return texts.mapInArrow(sketch, "node binary, sketch array<long>")
+
+
+def probability_jaccard(a: Block, b: Block) -> np.ndarray:
+    """The exact similarity of text i of ``a`` and text i of ``b``.
+
+    With all shingles of a pair in order of y_j / x_j, the larger of x_j / x_i and y_j / y_i is the former up to i
+    and the latter behind it, so that the sum over j comes from running sums.
+    """
+    parts = [shingles(x) for x in (a, b)]
+    owner = np.concatenate([o for o, _, _ in parts])
+    hashes = np.concatenate([h for _, h, _ in parts])
+    weights = np.concatenate([weight_of(c) for _, _, c in parts])
+    of_b = np.repeat([False, True], [len(o) for o, _, _ in parts])
+    order = np.lexsort((of_b, hashes, owner))
+    owner, hashes, weights, of_b = owner[order], hashes[order], weights[order], of_b[order]
+    new = np.ones(len(owner), bool)
+    new[1:] = (owner[1:] != owner[:-1]) | (hashes[1:] != hashes[:-1])
+    which = np.cumsum(new) - 1
+    pair = owner[new]
+    x, y = (np.bincount(which[side], weights[side], len(pair)) for side in (~of_b, of_b))
+    with np.errstate(divide="ignore"):
+        ratio = np.where(x > 0, y / np.where(x > 0, x, 1), np.inf)
+    order = np.lexsort((ratio, pair))
+    pair, x, y = pair[order], x[order], y[order]
+    begins = np.searchsorted(pair, np.arange(len(a) + 1))
+    run_x, run_y = (np.concatenate([[0.0], np.cumsum(v)]) for v in (x, y))
+    both = np.flatnonzero((x > 0) & (y > 0))
+    p = pair[both]
+    upto = run_x[both + 1] - run_x[begins[p]]
+    behind = run_y[begins[p + 1]] - run_y[both + 1]
+    return np.bincount(p, 1 / (upto / x[both] + behind / y[both]), len(a))
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
@@ -146,7 +187,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFram
                 part = batch.slice(first, last - first)
                 (_, _, b), = blocks(part.column(3), 1 << 62)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(1), pa.array(jaccard(a, b) >= similarity)], ["u", "v", "linked"]
+                    [part.column(0), part.column(1), pa.array(probability_jaccard(a, b) >= similarity - 1e-9)], ["u", "v", "linked"]
                 )
 
     left = texts.select(F.col("node").alias("u"), F.col("text").alias("a"))
@@ -162,68 +203,75 @@ def _texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return source.join(F.broadcast(wanted) if few else wanted, same).select("node", "text").dropDuplicates(["node"])
 
 
-def linked_labels(docs: DataFrame, signed: DataFrame, registers: int, similarity: float = SIMILARITY) -> DataFrame:
-    """(node, label) of all nodes that are linked to another: equal labels for a class."""
+def _joined_classes(labels: DataFrame, links: DataFrame, most: int) -> DataFrame:
+    """The labels (node, label) after joining the classes that links (u, v) connect."""
+    ends = [labels.select(F.col("node").alias(end), F.col("label").alias(f"label_{end}")) for end in ("u", "v")]
+    between = links.join(ends[0], "u").join(ends[1], "v").select(F.col("label_u").alias("u"), F.col("label_v").alias("v"))
+    moved = components(between).select(F.col("node").alias("label"), F.col("label").alias("now"))
+    return written(labels.join(moved, "label", "left").select("node", F.coalesce("now", "label").alias("label")), "labels", most)
+
+
+def linked_labels(docs: DataFrame, signed: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """(node, label) of all nodes that share a bucket with another: equal labels for a class."""
     spoken = signed.where("n > 0")
-    nodes = spoken.groupBy("node").agg(F.min(F.struct("doc_id", "code")).alias("one"), F.first("n").alias("n"), F.first("bands").alias("bands"))
-    rows = written(nodes.select("node", "n", F.explode("bands").alias("key")), "band-rows")
+    nodes = spoken.groupBy("node").agg(F.first("bands").alias("bands"))
+    rows = written(nodes.select("node", F.explode("bands").alias("key")), "band-rows")
     several = rows.groupBy("key").agg(F.count("*").alias("k")).where("k > 1").select("key")
     paired = written(rows.join(written(several, "buckets"), "key"), "paired")
     chosen = written(
-        spoken.join(paired.select("node").distinct(), "node", "left_semi").groupBy("node")
-        .agg(F.min(F.struct("doc_id", "code")).alias("one"), F.first("sketch").alias("sketch")),
+        spoken.join(paired.select("node").distinct(), "node", "left_semi").groupBy("node").agg(F.min(F.struct("doc_id", "code")).alias("one")),
         "chosen",
     )
     texts = written(_texts_of(docs, chosen.select("node", "one.doc_id", "one.code")), "texts")
-    sketches = chosen.select("node", "sketch")
-    # 4.5 standard deviations below what the least similarity makes
-    longs, alike = -(-registers // PER_LONG), similarity + (1 - similarity) / 16
-    least = registers * alike - 4.5 * (registers * alike * (1 - alike)) ** 0.5 - registers / 24
-    tested = signed.sparkSession.createDataFrame([], "u binary, v binary, linked boolean")
-    pool = paired.select("key", "node", "n", F.lit(None).cast("binary").alias("label"), F.lit(False).alias("used"), F.lit(True).alias("stray"))
-    labels, anchors, number = None, None, 0
+    sketched = written(_sketched(texts), "sketches")
+    most_nodes = chosen.count()
+    labels = chosen.select("node", F.col("node").alias("label"))
+    least, tested, anchors, number = least_alike(similarity), None, None, 0
+    pool = paired.select("key", "node", F.col("node").alias("label"), F.lit(False).alias("used"), F.lit(True).alias("stray"))
     while most := pool.count():
         number += 1
         hashed = F.xxhash64("node", F.lit(number))
         slot = F.pmod(hashed, F.lit(CENTRES ** (number - 1)))  # each yields a centre: 1, then CENTRES at most, ...
         centres = written(
-            pool.where("not used").groupBy("key", slot.alias("slot")).agg(F.min(F.struct(hashed.alias("h"), "node", "n", "label")).alias("c"))
-            .select("key", F.col("c.node").alias("centre"), F.col("c.n").alias("m"), F.col("c.label").alias("class"))
-            .join(sketches.select(F.col("node").alias("centre"), F.col("sketch").alias("other")), "centre"),
+            pool.where("not used").groupBy("key", slot.alias("slot")).agg(F.min(F.struct(hashed.alias("h"), "node", "label")).alias("c"))
+            .select("key", F.col("c.node").alias("centre"), F.col("c.label").alias("class"))
+            .join(sketched.select(F.col("node").alias("centre"), F.col("sketch").alias("other")), "centre"),
             "centres", most,
         )
-        near = (F.col("node") != F.col("centre")) & (F.least("n", "m") >= similarity * F.greatest("n", "m"))
-        near &= F.coalesce(F.col("label") != F.col("class"), F.lit(True))  # a link within a class would tell nothing
-        near &= equal_registers(F.col("sketch"), F.col("other"), longs) >= least
-        strays = pool.where("stray").join(sketches, "node").withColumnRenamed("key", "k")
+        near = F.col("label") != F.col("class")  # a link within a class would tell nothing
+        near &= equal_registers(F.col("sketch"), F.col("other")) >= least
+        strays = pool.where("stray").join(sketched, "node").withColumnRenamed("key", "k")
         found = strays.join(centres, (F.col("k") == F.col("key")) & near)
         new = found.select(F.least("node", "centre").alias("u"), F.greatest("node", "centre").alias("v")).distinct()
-        new = new.join(tested, ["u", "v"], "left_anti")
-        tested = written(tested.union(_verified(new, texts, similarity)), "verified")
-        labels = components(tested.where("linked"))
+        if tested is not None:
+            new = new.join(tested, ["u", "v"], "left_anti")
+        verified = written(_verified(new, texts, similarity), "verified")
+        if not verified.where("linked").isEmpty():
+            labels = _joined_classes(labels, verified.where("linked"), most_nodes)
+        apart = verified.where("NOT linked").select("u", "v")
+        tested = apart if tested is None else tested.union(apart)
         now = centres.select("key", F.col("centre").alias("node"), F.lit(True).alias("now"))
-        left = pool.select("key", "node", "n", "used").join(now, ["key", "node"], "left").join(labels, "node", "left")
+        left = pool.select("key", "node", "used").join(now, ["key", "node"], "left").join(labels, "node")
         if number == 1:  # its centre was compared with all members
             left = left.where("now is null")
-        class_of = F.coalesce("label", "node")
-        left = written(left.select("key", "node", "n", "label", (F.col("used") | F.col("now").isNotNull()).alias("used")), "left", most)
+        left = written(left.select("key", "node", "label", (F.col("used") | F.col("now").isNotNull()).alias("used")), "left", most)
         if anchors is None:
-            sizes = left.groupBy("key", class_of.alias("class")).agg(F.count("*").alias("k"), F.min("node").alias("node"))
+            sizes = left.groupBy("key", "label").agg(F.count("*").alias("k"), F.min("node").alias("node"))
             largest = sizes.groupBy("key").agg(F.count("*").alias("classes"), F.max(F.struct("k", "node")).alias("most")).where("classes > 1")
             anchors = written(largest.select("key", F.col("most.node").alias("node")), "anchors", most)
-        mains = written(anchors.join(labels, "node", "left").select("key", class_of.alias("main")), "mains", most)
-        left = left.join(mains, "key").withColumn("stray", class_of != F.col("main")).drop("main").where("stray or not used")
+        mains = anchors.join(labels, "node").select("key", F.col("label").alias("main"))
+        left = left.join(mains, "key").withColumn("stray", F.col("label") != F.col("main")).drop("main").where("stray or not used")
         left = written(left, "left", most)
         going = left.groupBy("key").agg(F.max("stray").alias("some"), F.min("used").alias("done")).where("some and not done")
-        pool = written(left.join(written(going.select("key"), "going", most), "key", "left_semi"), "pool", most)
-    return labels if labels is not None else tested.select(F.col("u").alias("node"), F.col("v").alias("label"))
+        pool = written(left.join(going.select("key"), "key", "left_semi"), "pool", most)
+    return labels
 
 
 def near_classes(docs: DataFrame, similarity: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """One row per document: doc_id, code (hash of its text), class_id (least doc_id of its class), class_size, kept."""
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     signed = written(_signed_nodes(base, bands, rows), "signatures")
-    labels = linked_labels(base, signed, bands * rows, similarity)
+    labels = linked_labels(base, signed, similarity)
     # a text without words is a class of its own; repeated rows of it share one
     alone = F.concat(F.lit(b"-"), F.encode(F.concat_ws(":", F.col("doc_id").cast("string"), F.col("code").cast("string")), "UTF-8"))
     named = written(

@@ -9,13 +9,15 @@ registers in a whole band are candidates, and two texts are linked when that sim
 from the texts, is 0.8 or more.
 
 Equal texts (equal word sequences) are one node from the start.  A bucket's members are compared with one
-centre, then with up to 16, 256, ... new centres a round.  After the first round each bucket has a main
+centre, then with up to 16, 256, ... new centres a round, those first that meet the most others over all
+their buckets: an original meets each of its copies more often than they meet each other.  After the first round each bucket has a main
 class, the largest there; members outside it are strays.  Every member becomes a centre for the strays, since
 a stray may be near to any member of the main class, until no stray is left (other buckets can bring one
 into the class too) or all have been centres.  So each candidate pair is compared or within one class.
-Comparing starts with sketches of ``WIDE`` further registers, which are made of candidates alone: texts meet
-only where so many registers agree as a similarity of 0.8 gives but for 4.5 standard deviations, a cut
-near 0.73.  Copies of one original that are not near to each other therefore meet in no join.
+Comparing starts with sketches of ``WIDE`` further registers, which are made of candidates alone, and of
+``WIDER`` ones where a bucket has more than ``LARGE`` members: texts meet only where as many registers agree
+as a similarity of 0.8 gives but for 4.5 standard deviations, a cut near 0.73 and 0.777.  Copies of one
+original that are not near to each other therefore meet in no join.
 Classes are the connected components of the links; each round joins the classes that its links connect.
 
 Defined results: texts without a word (null, empty, blank) are alone in their classes; repeated rows
@@ -34,7 +36,7 @@ from .storage import written
 from .text import Block, blocks, mix64, sums
 
 WORDS, SIMILARITY, BANDS, ROWS, CENTRES = 5, 0.8, 32, 6, 16
-WIDE, PER_LONG, BROADCAST_NODES = 1024, 32, 1_000_000
+WIDE, WIDER, PER_LONG, LARGE, BROADCAST_NODES = 1024, 8192, 32, 64, 1_000_000
 _U = np.uint64
 
 
@@ -86,10 +88,10 @@ def band_keys(block: Block, bands: int, rows: int) -> tuple[np.ndarray, np.ndarr
     return np.bincount(owner, minlength=len(block)), mix64(keys + np.arange(bands, dtype=_U))  # a key says which band it is of
 
 
-def sketches(block: Block, registers: int = WIDE) -> np.ndarray:
+def sketches(block: Block, registers: int = WIDE, seed: int = 1) -> np.ndarray:
     """Two bits of every register of a signature of its own, ``PER_LONG`` registers to a number (texts x numbers)."""
     owner, hashes, counts = shingles(block)
-    pairs = prob_min_hash(owner, mix64(hashes + _U(1)), weight_of(counts), len(block), registers) & _U(3)
+    pairs = prob_min_hash(owner, mix64(hashes + _U(seed)), weight_of(counts), len(block), registers) & _U(3)
     places = _U(2) * np.arange(PER_LONG, dtype=_U)
     return (pairs.reshape(len(block), -1, PER_LONG) << places).sum(axis=2, dtype=_U)
 
@@ -100,13 +102,24 @@ def least_alike(similarity: float, registers: int = WIDE) -> float:
     return registers * alike - 4.5 * (registers * alike * (1 - alike)) ** 0.5
 
 
-def equal_registers(a: Column, b: Column, registers: int = WIDE) -> Column:
-    """In how many places two sketches agree."""
+def _differing(x: Column) -> Column:
+    return F.bit_count(x.bitwiseOR(F.shiftrightunsigned(x, 1)).bitwiseAND(F.lit(0x5555555555555555)))
+
+
+def equal_registers(a: Column, b: Column) -> Column:
+    """In how many of ``WIDE`` places two sketches agree."""
     differ = F.lit(0)
-    for i in range(registers // PER_LONG):
-        x = F.get(a, F.lit(i)).bitwiseXOR(F.get(b, F.lit(i)))
-        differ = differ + F.bit_count(x.bitwiseOR(F.shiftrightunsigned(x, 1)).bitwiseAND(F.lit(0x5555555555555555)))
-    return F.lit(registers) - differ
+    for i in range(WIDE // PER_LONG):
+        differ = differ + _differing(F.get(a, F.lit(i)).bitwiseXOR(F.get(b, F.lit(i))))
+    return F.lit(WIDE) - differ
+
+
+def may_be_near(similarity: float, a: str, b: str, wider_a: str, wider_b: str) -> Column:
+    """By ``WIDE`` registers, and where both have them by ``WIDER`` others too."""
+    each = F.zip_with(wider_a, wider_b, lambda x, y: _differing(x.bitwiseXOR(y)))
+    differ = F.aggregate(each, F.lit(0), lambda total, n: total + n)
+    wider = F.coalesce(F.lit(WIDER) - differ >= least_alike(similarity, WIDER), F.lit(True))
+    return (equal_registers(F.col(a), F.col(b)) >= least_alike(similarity)) & wider
 
 
 def _nodes(block: Block) -> pa.Array:
@@ -137,14 +150,18 @@ def _signed_nodes(docs: DataFrame, bands: int, rows: int) -> DataFrame:
 
 
 def _sketched(texts: DataFrame) -> DataFrame:
-    """(node, sketch) of texts (node, text)."""
+    """(node, sketch, wider) of texts (node, text, large); only nodes of large buckets have the wider one."""
 
     def sketch(batches):
         for batch in batches:
-            for first, last, block in blocks(batch.column(1)):
-                yield pa.RecordBatch.from_arrays([batch.column(0)[first:last], _lists(sketches(block))], ["node", "sketch"])
+            large = batch.column(2).to_numpy(zero_copy_only=False)
+            for mark in (False, True):
+                part = batch.take(pa.array(np.flatnonzero(large == mark)))
+                for first, last, block in blocks(part.column(1)):
+                    wider = _lists(sketches(block, WIDER, 2)) if mark else pa.nulls(len(block), pa.list_(pa.int64()))
+                    yield pa.RecordBatch.from_arrays([part.column(0)[first:last], _lists(sketches(block)), wider], ["node", "sketch", "wider"])
 
-    return texts.mapInArrow(sketch, "node binary, sketch array<long>")
+    return texts.select("node", "text", "large").mapInArrow(sketch, "node binary, sketch array<long>, wider array<long>")
 
 
 def probability_jaccard(a: Block, b: Block) -> np.ndarray:
@@ -216,30 +233,31 @@ def linked_labels(docs: DataFrame, signed: DataFrame, similarity: float = SIMILA
     spoken = signed.where("n > 0")
     nodes = spoken.groupBy("node").agg(F.first("bands").alias("bands"))
     rows = written(nodes.select("node", F.explode("bands").alias("key")), "band-rows")
-    several = rows.groupBy("key").agg(F.count("*").alias("k")).where("k > 1").select("key")
+    several = rows.groupBy("key").agg(F.count("*").alias("k")).where("k > 1")
     paired = written(rows.join(written(several, "buckets"), "key"), "paired")
+    scores = written(paired.groupBy("node").agg(F.sum("k").alias("score"), (F.max("k") > LARGE).alias("large")), "scores")
     chosen = written(
         spoken.join(paired.select("node").distinct(), "node", "left_semi").groupBy("node").agg(F.min(F.struct("doc_id", "code")).alias("one")),
         "chosen",
     )
     texts = written(_texts_of(docs, chosen.select("node", "one.doc_id", "one.code")), "texts")
-    sketched = written(_sketched(texts), "sketches")
+    sketched = written(_sketched(texts.join(scores, "node")), "sketches")
     most_nodes = chosen.count()
     labels = chosen.select("node", F.col("node").alias("label"))
-    least, tested, anchors, number = least_alike(similarity), None, None, 0
-    pool = paired.select("key", "node", F.col("node").alias("label"), F.lit(False).alias("used"), F.lit(True).alias("stray"))
+    tested, anchors, number = None, None, 0
+    pool = paired.join(scores, "node").select("key", "node", "score", F.col("node").alias("label"), F.lit(False).alias("used"), F.lit(True).alias("stray"))
     while most := pool.count():
         number += 1
         hashed = F.xxhash64("node", F.lit(number))
         slot = F.pmod(hashed, F.lit(CENTRES ** (number - 1)))  # each yields a centre: 1, then CENTRES at most, ...
         centres = written(
-            pool.where("not used").groupBy("key", slot.alias("slot")).agg(F.min(F.struct(hashed.alias("h"), "node", "label")).alias("c"))
+            pool.where("not used").groupBy("key", slot.alias("slot")).agg(F.max(F.struct("score", hashed.alias("h"), "node", "label")).alias("c"))
             .select("key", F.col("c.node").alias("centre"), F.col("c.label").alias("class"))
-            .join(sketched.select(F.col("node").alias("centre"), F.col("sketch").alias("other")), "centre"),
+            .join(sketched.select(F.col("node").alias("centre"), F.col("sketch").alias("other"), F.col("wider").alias("wider_other")), "centre"),
             "centres", most,
         )
         near = F.col("label") != F.col("class")  # a link within a class would tell nothing
-        near &= equal_registers(F.col("sketch"), F.col("other")) >= least
+        near &= may_be_near(similarity, "sketch", "other", "wider", "wider_other")
         strays = pool.where("stray").join(sketched, "node").withColumnRenamed("key", "k")
         found = strays.join(centres, (F.col("k") == F.col("key")) & near)
         new = found.select(F.least("node", "centre").alias("u"), F.greatest("node", "centre").alias("v")).distinct()
@@ -251,10 +269,10 @@ def linked_labels(docs: DataFrame, signed: DataFrame, similarity: float = SIMILA
         apart = verified.where("NOT linked").select("u", "v")
         tested = apart if tested is None else tested.union(apart)
         now = centres.select("key", F.col("centre").alias("node"), F.lit(True).alias("now"))
-        left = pool.select("key", "node", "used").join(now, ["key", "node"], "left").join(labels, "node")
+        left = pool.select("key", "node", "score", "used").join(now, ["key", "node"], "left").join(labels, "node")
         if number == 1:  # its centre was compared with all members
             left = left.where("now is null")
-        left = written(left.select("key", "node", "label", (F.col("used") | F.col("now").isNotNull()).alias("used")), "left", most)
+        left = written(left.select("key", "node", "score", "label", (F.col("used") | F.col("now").isNotNull()).alias("used")), "left", most)
         if anchors is None:
             sizes = left.groupBy("key", "label").agg(F.count("*").alias("k"), F.min("node").alias("node"))
             largest = sizes.groupBy("key").agg(F.count("*").alias("classes"), F.max(F.struct("k", "node")).alias("most")).where("classes > 1")

@@ -15,7 +15,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from .. import operators as op
-from ..plans import aml, counts, customers, fingerprints, medallion, metadata, npa, quality, sections, transactions
+from ..plans import aml, bucketed, counts, customers, fingerprints, medallion, metadata, npa, partials, quality, sections, transactions
 from ..rules import DEFAULT_RULES
 from ..session import scratch_dir, stored
 from ..sinks import (
@@ -808,6 +808,39 @@ def layer_counts(spark, sf_dir):
     return counted.withColumn("layer", F.substring_index("layer", "_", -1))
 
 
+def _bucketed(spark, sf_dir):
+    namespace, _ = _namespace(spark, "bucketed")
+    table = f"{namespace}.transactions"
+    # the busiest customers of the stand-ins are few thousand rows, so a task's share is set low enough to salt some
+    bucketed.publish_bucketed(roles.silver_transactions(spark, sf_dir), table, "customer_id", buckets=16, spread_by=["txn_id"], task_rows=60)
+    return table
+
+
+@query
+def customer_360_bucketed(spark, sf_dir):
+    """The customer view over transactions in buckets."""
+    return bucketed.customer_360(
+        spark, _bucketed(spark, sf_dir), roles.silver_customers(spark, sf_dir), roles.silver_loans(spark, sf_dir, customer=True)
+    )
+
+
+@query
+def flagged_detail_bucketed(spark, sf_dir):
+    return bucketed.flagged_detail(spark, _bucketed(spark, sf_dir), roles.silver_customers(spark, sf_dir))
+
+
+@query
+def month_refreshed_gold(spark, sf_dir):
+    """Customers' measures from parts by month, of which one was wrong, one absent and one too many until they were refreshed."""
+    namespace, _ = _namespace(spark, "parts")
+    table = f"{namespace}.customer_parts"
+    rows = roles.monthly_transactions(spark, sf_dir).withColumn("is_flagged", F.col("txn_type") == "DEBIT")
+    wrong = rows.withColumn("amount", F.when(F.col("txn_month") == MONTH, F.col("amount") * 2).otherwise(F.col("amount")).cast(roles.MONEY))
+    foreign = rows.where(F.col("txn_month") == "1996-01").withColumn("txn_month", F.lit("2031-01"))
+    partials.refresh_parts(partials.customer_parts(wrong.where("txn_month <> '1996-02'").unionByName(foreign), "txn_month"), table)
+    return partials.refresh_customer_parts(spark, rows, table, [MONTH, "1996-02", "2031-01"])
+
+
 # --- alerts ---------------------------------------------------------------------------------------
 
 @query

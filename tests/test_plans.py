@@ -30,7 +30,7 @@ def no_broadcast(spark):
 
 # They write and read back while they are built, which takes long and leaves a plain scan.
 WRITING = {
-    "contract_gate", "rejected_messages", "exchanged_key", "incremental_ingest", "offset_stretches", "bronze_batch_ingest", "bronze_stream_ingest", "stream_dedup", "stream_topics", "stream_to_files", "csv_extract",
+    "customer_360_bucketed", "flagged_detail_bucketed", "month_refreshed_gold", "contract_gate", "rejected_messages", "exchanged_key", "incremental_ingest", "offset_stretches", "bronze_batch_ingest", "bronze_stream_ingest", "stream_dedup", "stream_topics", "stream_to_files", "csv_extract",
     "csv_as_text", "csv_recursive", "csv_to_bronze", "publish_envelope", "json_lines", "partition_pruned_total",
     "partition_profile", "publish_refresh", "replaced_table", "layer_counts", "layer_reconciliation",
     "key_reconciliation", "required_tables", "silver_contract", "reports_without_alerts",
@@ -90,3 +90,31 @@ def test_loans_are_read_once_for_high_risk_customers(spark):
 
 def test_flagged_facts_are_read_once_for_structuring(spark):
     assert plan_of(QUERIES["structuring_detection"](spark, SF)).count("FileScan parquet") == 2  # events and customer
+
+
+def test_bucketed_facts_are_not_shuffled(spark, no_broadcast):
+    """Exchanges carry the dimension, the loans and one row per customer and salt, never the facts."""
+    import re
+
+    from ledgerlake.workload.queries import _bucketed
+    from ledgerlake.plans import bucketed
+
+    table = _bucketed(spark, SF)
+    customers, loans = roles.silver_customers(spark, SF), roles.silver_loans(spark, SF, customer=True)
+    for df in (bucketed.flagged_detail(spark, table, customers), bucketed.customer_360(spark, table, customers, loans)):
+        lines = plan_of(df).splitlines()
+        at = next(i for i, line in enumerate(lines) if "Bucketed: true" in line)
+        depth = lambda line: len(re.match(r"[ :+\-|]*", line)[0])
+        above, level = [], depth(lines[at])
+        for line in reversed(lines[:at]):  # the operators above the scan, nearest first
+            if depth(line) < level:
+                level = depth(line)
+                above.append(line)
+        kinds = [re.sub(r"^[ :+\-|*()\d]*", "", line).split("(")[0].split(" ")[0] for line in above]
+        first = kinds.index("Exchange") if "Exchange" in kinds else len(kinds)
+        assert any(k in ("SortMergeJoin", "HashAggregate") for k in kinds[:first])
+        if "SortMergeJoin" in kinds[:first]:
+            continue
+        assert kinds[:first].count("HashAggregate") >= 3  # partial and final by (customer, salt), partial by customer
+    heavy = spark.table(f"{table}_heavy")
+    assert heavy.count() > 0 and spark.table(table).groupBy("customer_id").agg({"_salt": "max"}).where("`max(_salt)` > 0").count() > 0

@@ -22,21 +22,24 @@ DICTIONARY_BYTES, ALL_BYTES, TEXT_BYTES, LEVEL, MARGIN = 64 << 10, 32 << 20, 204
 def fit_dictionaries(
     labelled: DataFrame, dictionary_bytes: int = DICTIONARY_BYTES, all_bytes: int = ALL_BYTES, text_bytes: int = TEXT_BYTES
 ) -> dict[str, bytes]:
-    """Dictionaries from (text, lang) rows: of each language the first texts by hash, their beginnings only.
+    """Dictionaries from (text, lang) rows: of each language the first different texts by hash, a piece of each.
 
     The sample is bounded: ``dictionary_bytes`` for a language, ``all_bytes`` for all of them, and
-    ``text_bytes`` from one text, so that many texts speak.
+    ``text_bytes`` from one text, so that many texts speak.  A piece begins where another hash of its text
+    says, so that what texts begin alike with does not fill the dictionary.  Copies count once.
     """
     known = labelled.where("lang is not null and text is not null and length(text) > 0").select("lang", F.lower("text").alias("text"))
-    counts = {r.lang: r["count"] for r in known.groupBy("lang").count().orderBy(F.desc("count"), "lang").collect()}  # a row per language
+    piece = F.pmod(F.xxhash64("text", F.lit("piece")), F.greatest(F.length("text") - text_bytes + 1, F.lit(1))) + 1
+    hashed = known.select("lang", F.xxhash64("text").alias("h"), F.substr("text", piece.cast("int"), F.lit(text_bytes)).alias("text"))
+    different = hashed.select("lang", "h").distinct().groupBy("lang").count()
+    counts = {r.lang: r["count"] for r in different.orderBy(F.desc("count"), "lang").collect()}  # a row per language
     room = max(256, min(dictionary_bytes, all_bytes // max(1, len(counts))))
     texts = 4 * (-(-2 * room // text_bytes) + 8)
     # hashes below the cut are about as many as are needed, however many texts there are
     cuts = [(lang, int(-(2**63) + 2**64 * min(1.0, 4 * texts / n)) - (n <= 4 * texts)) for lang, n in counts.items()]
     cut = F.broadcast(labelled.sparkSession.createDataFrame(cuts, "lang string, cut long"))
-    hashed = known.select("lang", F.xxhash64("text").alias("h"), F.substring("text", 1, text_bytes).alias("text"))
     out = _bodies(hashed.join(cut, "lang").where("h <= cut"), texts, room)
-    for lang in counts:  # copies of few texts may all lie above the cut
+    for lang in counts:  # all hashes may lie above the cut, unlikely as that is
         if lang not in out:
             few = hashed.where(F.col("lang") == lang).groupBy("lang").agg(F.min(F.struct("h", "text")).alias("x"))
             out |= _bodies(few.select("lang", "x.h", "x.text"), texts, room)

@@ -134,7 +134,7 @@ def _unit_digests(units: tuple[str, ...], min_words: int):
                 joined = np.flatnonzero((last - first < min_words) & (line == np.append(-1, line[:-1])))
                 first = first.copy()
                 first[joined] = at[joined - 1]
-            long = np.flatnonzero(last - first >= min_words)
+            long = np.flatnonzero(last - first >= (min_words if unit == SENTENCE else 1))
             first, last = first[long], last[long]
             parts.append((
                 owner[long], number[long] * len(units) + level,
@@ -165,8 +165,9 @@ def unit_dedup(docs: DataFrame, units: tuple[str, ...] = (LINE, SENTENCE), min_w
 
     ``units`` go from coarse to fine; the finest are counted and removed, also where a coarser one that
     holds them repeats.  A unit is normalised to its words in lower case (A-Z).  The occurrence of least
-    (doc_id, text hash, position) stays; later ones go, with the white space behind them.  Units of fewer
-    than ``min_words`` words are not compared, but for a sentence together with the one before it.
+    (doc_id, text hash, position) stays; later ones go, with the white space behind them.  Lines and
+    paragraphs of any length are compared; a sentence of fewer than ``min_words`` words inside a line is
+    compared together with the one before it.
     """
 
     def cut(batches):

@@ -152,7 +152,7 @@ WITH {_LINES}, tokens AS (
          lead(start) OVER (PARTITION BY doc_id ORDER BY start) AS until
   FROM sentences WINDOW line AS (PARTITION BY doc_id, pos ORDER BY s)
 ), whole AS (
-  SELECT doc_id, pos, row_number() OVER (PARTITION BY string_agg(body, ' ' ORDER BY s) ORDER BY doc_id, pos) > 1 AND sum(n) >= 5 AS line_gone
+  SELECT doc_id, pos, row_number() OVER (PARTITION BY string_agg(body, ' ' ORDER BY s) ORDER BY doc_id, pos) > 1 AS line_gone
   FROM sentences GROUP BY doc_id, pos
 ), judged AS (
   SELECT doc_id, start::BIGINT AS start, until::BIGINT AS until,

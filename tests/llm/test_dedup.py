@@ -59,7 +59,7 @@ def test_units(spark):
     got = {r["doc_id"]: r for r in line_dedup.unit_dedup(frame(spark, rows, extra=True)).collect()}
     assert {i: (r["n_units"], r["n_removed"], r["kept_text"]) for i, r in got.items()} == {
         1: (3, 0, rows[0][1]), 2: (1, 1, ""), 3: (5, 2, "New words come before it all. Ba ke. Li mo."), 4: (1, 0, "Ba ke."),
-        5: (0, 0, ""), 6: (0, 0, ""), 7: (2, 2, ""), 8: (1, 0, "Ba ke."),
+        5: (0, 0, ""), 6: (0, 0, ""), 7: (2, 2, ""), 8: (1, 1, ""),
     }
     for i, text in rows:
         raw = (text or "").encode()

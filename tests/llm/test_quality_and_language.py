@@ -128,3 +128,40 @@ def test_lines_of_two_alternating_letters_are_not_equal(spark):
     one, other = ("".join(alternating(4096, flip, "a", "b")) for flip in (False, True))
     block = one_block([f"{one}\n{other}", f"{one}\n{one}"])
     assert quality.statistics(block)[0]["n_dup_lines"].tolist() == [0, 1]
+
+
+def test_languages_against_brute_force(spark):
+    """Every dictionary on every text: the shortest encoding wins, ties go to the first language, repeats agree."""
+    import zstandard
+
+    rows = [(i, " ".join(words(i, 80, 60)) if i % 3 else "é" + " ".join(words(i, 3000, 60)), ("aa", "bb", "cc")[i % 3], "s", 0) for i in range(60)]
+    rows += rows[:6] + [(900, "?", None, None, 0), (901, "x", None, None, 0), (902, "x" * 300_000, None, None, 0), *ODD]
+    docs = frame(spark, rows, extra=True)
+    found = language_id.fit_dictionaries(docs)
+    found["zz"] = found["aa"]  # equal dictionaries: always a tie
+    got = language_id.identified(docs, found).collect()
+    assert len(got) == len(rows)
+    wanted = []
+    for i, text, *_ in rows:
+        text = (text or "").lower()
+        if not any(c.isalpha() for c in text):
+            wanted.append((i, "und", 0.0))
+            continue
+        sizes = []
+        for k, content in enumerate(found.values()):
+            shared = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+            shared.precompute_compress(level=language_id.LEVEL)
+            sizes.append((len(zstandard.ZstdCompressor(dict_data=shared, write_content_size=False).compress(text.encode())), k))
+        sizes.sort()
+        wanted.append((i, list(found)[sizes[0][1]], 1 - sizes[0][0] / sizes[1][0]))
+    assert sorted((r["doc_id"], r["lang_pred"], r["score"]) for r in got) == sorted(wanted)
+    assert not any(r["lang_pred"] == "zz" for r in got)
+
+
+def test_a_common_beginning_does_not_fill_the_dictionary(spark):
+    header = "the same licence at the head of every text " * 60  # longer than a piece
+    rows = [(i, header + " ".join(words(i, 2000)), "aa", "s", 0) for i in range(40)] + [(100 + i, "copied", "bb", "s", 0) for i in range(500)]
+    rows += [(700 + i, " ".join(words(900 + i, 50)), "bb", "s", 0) for i in range(30)]
+    found = language_id.fit_dictionaries(frame(spark, rows))
+    assert found["aa"].count(b"licence") * 43 < 0.6 * len(found["aa"])
+    assert found["bb"].count(b"copied") <= 1 and len(found["bb"]) > 30 * 50

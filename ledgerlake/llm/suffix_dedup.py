@@ -51,7 +51,7 @@ class Anchors:
             self.core = self.hull = np.empty(0, _U)
             return
         at = np.arange(seeds)
-        key = (block.span_hash(at, at + SEED) & ~_U((1 << 30) - 1)) | at.astype(_U)
+        key = (block.window_keys(SEED) & ~_U((1 << 30) - 1)) | at.astype(_U)
         key = np.append(key, np.full(-(-n // reach) * reach + reach - seeds, np.iinfo(_U).max, _U)).reshape(-1, reach)
         ahead = np.minimum.accumulate(key, axis=1).reshape(-1)
         behind = np.minimum.accumulate(key[:, ::-1], axis=1)[:, ::-1].reshape(-1)

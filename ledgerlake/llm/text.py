@@ -135,6 +135,14 @@ class Block:
             total[long] += _sum_by(span, pieces, len(long))
         return mix64(total + size.astype(_U) * _LENGTH)
 
+    def window_keys(self, size: int) -> np.ndarray:
+        """A number for the ``size`` bytes (a multiple of eight) from each place on: equal for equal bytes, else mostly not."""
+        n = len(self.data) - size + 1
+        total = np.zeros(n, _U)
+        for k in range(0, size, 8):
+            total += self._eights[k : k + n] * _family(k)
+        return mix64(total)
+
     @cached_property
     def word_hash(self) -> np.ndarray:
         return self.span_hash(self.word_from, self.word_to)

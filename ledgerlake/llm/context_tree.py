@@ -147,10 +147,43 @@ def top_mixture(context, decision, below, zeros, ones, top: int) -> tuple[np.nda
     return mixed, left
 
 
-def log10_probabilities(keys: np.ndarray, counts: np.ndarray, depth: int, top: int, mixed: np.ndarray, left: np.ndarray) -> np.ndarray:
-    """log10 of the probability that the tree gives each gram's byte in its context."""
+def weighted_nodes(below: np.ndarray, zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
+    """Log weighted probabilities of nodes, given the sums over their children."""
+    return np.logaddexp(log_estimate(zeros.astype(np.int64), ones.astype(np.int64)), below) + np.log(0.5)
+
+
+def deeper_mixture(mixed, left, contexts, context, decision, below, zeros, ones) -> tuple[np.ndarray, np.ndarray]:
+    """The mixture of ``top_mixture`` one byte deeper, for some sorted ``contexts`` only.
+
+    ``context`` to ``ones`` are those contexts' nodes; ``mixed`` and ``left`` belong to contexts one byte shorter.
+    """
+    below_at, count = np.zeros((len(contexts), 256)), np.zeros((2, len(contexts), 256))
+    at = np.searchsorted(contexts, context)
+    below_at[at, decision], count[0, at, decision], count[1, at, decision] = below, zeros, ones
+    estimate = log_estimate(count[0].astype(np.int64), count[1].astype(np.int64))
+    keep = np.exp(np.minimum(estimate - weighted_nodes(below_at, *count) + np.log(0.5), 0.0))
+    chance = (count + 0.5) / (count.sum(axis=0) + 1.0)
+    byte, rows = np.arange(256), np.arange(len(contexts))[:, None]
+    mixed, left = mixed[contexts >> 8], left[contexts >> 8]
+    for bit in range(8):
+        node = (1 << bit) | (byte >> (8 - bit))
+        own = (byte >> (7 - bit)) & 1
+        mixed[:, :, bit] += left[:, :, bit] * keep[:, node] * chance[own[None, :], rows, node[None, :]]
+        left[:, :, bit] *= 1 - keep[:, node]
+    return mixed, left
+
+
+def log10_probabilities(
+    keys: np.ndarray, counts: np.ndarray, depth: int, top: int, mixed: np.ndarray, left: np.ndarray, contexts: np.ndarray | None = None
+) -> np.ndarray:
+    """log10 of the probability that the tree gives each gram's byte in its context.
+
+    ``mixed`` and ``left`` hold a row for every context of ``top - 1`` bytes, or for the sorted ``contexts``.
+    """
     tree = layers(keys, counts, depth, top)
     context = (tree[0].keys >> np.uint64(16)).astype(np.int64)
+    if contexts is not None:
+        context = np.searchsorted(contexts, context)
     byte = (tree[0].keys & np.uint64(255)).astype(np.int64)
     out = np.zeros(len(keys))
     for bit in range(8):

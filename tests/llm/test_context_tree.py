@@ -113,3 +113,25 @@ def test_blocks_and_parts_do_not_matter(spark):
         for n, b, p in ((1, 1 << 20, 2), (7, 300, 50))
     ]
     assert all(runs[0][i] == pytest.approx(runs[1][i], rel=1e-5) for i in runs[0])
+
+
+def test_hot_pairs_and_groups_of_blocks_do_not_matter(spark):
+    rows = [(i, " ".join(words(i, 60))) for i in range(40)] + [(50, "a" * 3000), (51, None), (52, "")]
+    train = F.col("doc_id") % 4 == 0
+    runs = [
+        {r["doc_id"]: (r["score"], r["base_score"], r["n_known"]) for r in scored(
+            frame(spark, rows), train, block_bytes=300, parts=7, hot_share=hot, group=group
+        ).collect()}
+        for hot, group in ((1, 1000), (10, 1000), (1000, 3), (1 << 40, 10))
+    ]
+    for run in runs[1:]:
+        for i, (score, base, known) in runs[0].items():
+            assert run[i] == (pytest.approx(score, rel=1e-5), pytest.approx(base, rel=1e-9), known), i
+
+
+def test_hot_pairs_against_block_probabilities(spark):
+    train = ["abab AB", "abba", "ba b"]
+    docs = frame(spark, [(i, t) for i, t in enumerate(train)] + [(10, "abb"), (12, "zq")])
+    got = {r["doc_id"]: r["score"] for r in scored(docs, F.col("doc_id") >= 10, depth=DEPTH, parts=3, hot_share=100, group=1).collect()}
+    for i, text in [*enumerate(train), (10, "abb"), (12, "zq")]:
+        assert got[i] == pytest.approx(brute_score(train, text), rel=1e-5), text

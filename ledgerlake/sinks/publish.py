@@ -16,6 +16,7 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from .contract import conforming
+from .curve import Curve, along_curve
 
 LOG_TABLE = "_publish_log"
 # Marks the table of a single run with the name it was published under.
@@ -155,14 +156,17 @@ def publish(
     fmt: str = "parquet",
     contract: T.StructType | None = None,
     bucket_by: Buckets | None = None,
+    curve: Curve | None = None,
 ) -> PublishResult:
     """Write a new run of ``db.table``, make it the current one, and log it.
 
     The run's table is created with its mark before a row is written.  Wherever a publish stops, readers
     keep a whole run, checks do not take the rest for a user's table, and the next publish clears it away.
     ``contract`` refuses columns and types before anything is created; ``bucket_by`` stores the run in
-    buckets.
+    buckets, ``curve`` in files that are narrow in several columns.
     """
+    if bucket_by and curve:
+        raise ValueError("a table lies in buckets or along a curve, not both")
     spark = df.sparkSession
     namespace, _, short = table.rpartition(".")
     if not namespace:
@@ -177,7 +181,10 @@ def publish(
     _recover(spark, namespace, short, before, fmt)
     result = PublishResult(table, run_id or new_run_id(), 0)
     order = _create_run_table(df, result.run_table, short, partition_by, fmt, bucket_by)
-    laid = df.repartition(bucket_by.number, *bucket_by.columns) if bucket_by else laid_out(df, partition_by)
+    if bucket_by:
+        laid = df.repartition(bucket_by.number, *bucket_by.columns)
+    else:
+        laid = along_curve(df, curve, partition_by) if curve else laid_out(df, partition_by)
     laid.select(*order).write.mode("append").insertInto(result.run_table)
     rows = rows_in(spark, files_of(spark, result.run_table), fmt)
     spark.sql(

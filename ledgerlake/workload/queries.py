@@ -12,14 +12,14 @@ from collections.abc import Callable
 from dataclasses import replace
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from .. import operators as op
 from ..plans import aml, bucketed, counts, customers, fingerprints, medallion, metadata, npa, partials, quality, sections, transactions
 from ..rules import DEFAULT_RULES
 from ..session import scratch_dir, stored
 from ..sinks import (
-    ContractError, append, contract_actions, create_namespace, preview, publish, replace as replace_table, to_envelopes, write_envelopes,
+    ContractError, Curve, append, contract_actions, create_namespace, preview, publish, replace as replace_table, to_envelopes, write_envelopes,
     write_extract, write_json_lines,
 )
 from ..sources import (
@@ -808,6 +808,34 @@ def layer_counts(spark, sf_dir):
     return counted.withColumn("layer", F.substring_index("layer", "_", -1))
 
 
+CURVE_CUSTOMER, CURVE_AMOUNT = 7, 100_000
+
+
+@query
+def curve_layout(spark, sf_dir):
+    """What filters on a customer, an amount and both find, and whether ranges leave them at most half the files.
+
+    The same transactions lie in 64 files as they come and in 64 along a curve of customer and amount.
+    """
+    namespace, _ = _namespace(spark, "curve")
+    rows = roles.silver_transactions(spark, sf_dir)
+    plain = publish(rows.repartition(64, "txn_id"), f"{namespace}.plain", run_id="run").run_table
+    narrow = publish(rows, f"{namespace}.narrow", run_id="run", curve=Curve(("customer_id", "amount"), files=64)).run_table
+    wanted = {"customer_id": (CURVE_CUSTOMER, CURVE_CUSTOMER), "amount": (CURVE_AMOUNT, None)}
+    found, read = [], []
+    for layout, table in (("plain", plain), ("curve", narrow)):
+        profile = stored(metadata.range_profile(spark.table(table), *wanted), "file-ranges")
+        for columns in (["customer_id"], ["amount"], ["customer_id", "amount"]):
+            names = [F.lit(layout).alias("layout"), F.lit(" ".join(columns)).alias("filtered_by")]
+            bounds = [F.col(c) >= wanted[c][0] for c in columns] + [F.col(c) <= wanted[c][1] for c in columns if wanted[c][1] is not None]
+            kept = spark.table(table).where(reduce(Column.__and__, bounds))
+            found.append(kept.agg(F.count("*").alias("row_count"), F.sum("amount").alias("total_amount")).select(*names, "row_count", "total_amount"))
+            half = (2 * F.col("files_met") <= F.col("files")).alias("half_left_out")
+            read.append(metadata.files_met(profile, **{c: wanted[c] for c in columns}).select(*names, half))
+    found, read = (reduce(DataFrame.unionByName, rows) for rows in (found, read))
+    return found.join(read, ["layout", "filtered_by"])
+
+
 def _bucketed(spark, sf_dir):
     namespace, _ = _namespace(spark, "bucketed")
     table = f"{namespace}.transactions"

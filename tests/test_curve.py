@@ -1,0 +1,94 @@
+"""Layout along a space-filling curve, and the ranges of files."""
+
+from datetime import date, datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from ledgerlake.plans import metadata
+from ledgerlake.sinks import Curve, along_curve, publish
+from ledgerlake.sinks.curve import position
+from ledgerlake.sinks.publish import Buckets
+
+
+def grid(spark, n=32):
+    rows = [(f"CUST{i:05d}", float(j), f"2026-0{1 + (i + j) % 2}") for i in range(n) for j in range(n)]
+    return spark.createDataFrame(rows, "customer_id string, amount double, month string")
+
+
+def woven(i, j, bits):
+    out = 0
+    for b in range(bits):
+        out |= ((i >> b & 1) << (2 * b + 1)) | ((j >> b & 1) << (2 * b))
+    return out
+
+
+@pytest.mark.parametrize("bits", [2, 4])
+def test_places_interleave_the_ranks(spark, bits):
+    n = 1 << bits  # as many values as ranks, so each value but the ends is a quantile
+    df = grid(spark, n)
+    got = {(r[0], r[1]): r[2] for r in df.select("customer_id", "amount", position(df, Curve(("customer_id", "amount"), bits))).collect()}
+    ranks = {}
+    for k, c in enumerate(("customer_id", "amount")):
+        values = sorted(r[0] for r in df.select(c).collect())
+        splitters = [values[max(0, -(-i * len(values) // n) - 1)] for i in range(1, n)]
+        ranks[k] = {v: sum(s <= v for s in splitters) for v in set(values)}
+    assert len(set(ranks[0].values())) >= n - 1
+    assert got == {(a, b): woven(ranks[0][a], ranks[1][b], bits) for a, b in got}
+
+
+def test_filters_on_either_column_leave_out_files(spark, namespace):
+    df = grid(spark)
+    result = publish(df, f"{namespace}.t", curve=Curve(("customer_id", "amount"), files=64))
+    table = spark.table(result.run_table)
+    assert result.rows == 1024 and sorted(map(tuple, table.collect())) == sorted(map(tuple, df.collect()))
+    profile = metadata.range_profile(table, "customer_id", "amount")
+    one = metadata.files_met(profile, customer_id=("CUST00009", "CUST00009")).first()
+    other = metadata.files_met(profile, amount=(20.0, 21.0)).first()
+    both = metadata.files_met(profile, customer_id=("CUST00009", "CUST00009"), amount=(20.0, 21.0)).first()
+    assert one["files"] >= 48 and one["rows"] == 1024
+    assert one["files_met"] <= 24 and other["files_met"] <= 24 and 1 <= both["files_met"] <= 8 and both["rows_met"] < 150, (one, other, both)
+    assert metadata.files_met(profile, amount=(99.0, None)).first()["files_met"] == 0
+
+
+def test_partitions_come_first(spark, namespace):
+    result = publish(grid(spark), f"{namespace}.t", partition_by=("month",), curve=Curve(("customer_id", "amount"), files=8))
+    table = spark.table(result.run_table)
+    assert table.count() == 1024 and table.where("month = '2026-01'").count() == 512
+    assert all("month=" in f for f in table.inputFiles()) and len(table.inputFiles()) <= 10  # no task writes to all months
+
+
+def test_equal_rows_spread_over_files(spark):
+    rows = [("HOT", 1.0, i) for i in range(2000)] + [(f"C{i}", float(i), i) for i in range(1000)]
+    df = spark.createDataFrame(rows, "customer_id string, amount double, id long")
+    laid = along_curve(df, Curve(("customer_id", "amount"), files=12))
+    sizes = [r["count"] for r in laid.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    assert sum(sizes) == 3000 and max(sizes) < 600
+
+
+def test_odd_rows_and_every_type(spark):
+    rows = [(None, None, None, None, None, None, "x"), ("", float("nan"), datetime(1960, 1, 1), date(1960, 1, 1), True, -1, "y"),
+            ("\u00e9\u00e8", -0.0, datetime(2026, 1, 1), date(2026, 1, 1), False, 1 << 60, "z")] * 2
+    df = spark.createDataFrame(rows, "s string, d double, t timestamp, e date, b boolean, n long, _place string")
+    curve = Curve(("s", "d", "t", "e", "b", "n"))
+    for rows in (df, df.limit(0)):
+        laid = along_curve(rows, curve)
+        assert laid.columns == df.columns and sorted(map(str, laid.collect())) == sorted(map(str, rows.collect()))
+    low = df.select(position(df, curve).alias("p"), "s").where("s IS NULL").first()["p"]
+    assert low == 0
+
+
+def test_what_a_curve_refuses(spark, namespace):
+    for bad in (dict(columns=()), dict(columns=("a",), bits=3), dict(columns=("a",) * 8, bits=8)):
+        with pytest.raises(ValueError):
+            Curve(**bad)
+    with pytest.raises(ValueError):
+        position(spark.createDataFrame([([1],)], "a array<int>"), Curve(("a",)))
+    with pytest.raises(ValueError):
+        publish(grid(spark), f"{namespace}.t", curve=Curve(("amount",)), bucket_by=Buckets(2, ("amount",)))
+
+
+def test_few_values_still_use_the_high_bits(spark):
+    df = spark.createDataFrame([(i % 3, float(i)) for i in range(600)], "customer_id long, amount double")
+    got = {r[0]: r[1] for r in df.select("customer_id", position(df, Curve(("customer_id",)))).collect()}
+    assert got[1] - got[0] > 60 and got[2] - got[1] > 60

@@ -17,7 +17,10 @@ from ..session import stored
 
 INDEX_SUFFIX = "__offsets"
 INDEX_PROPERTY = "ledgerlake.offsets_of"
-STRETCH = 1_000_000  # offsets looked at together: bounds the rows of a window and of a join key
+STRETCH = 1_000_000  # offsets looked at together: bounds the rows of a window
+# Blocks by which messages meet stretches.  A stretch goes by the smallest that is not shorter than itself, so one
+# file has at most 33 stretches in a block, however broken its offsets are, and a stretch lies in few blocks.
+SIZES = (1 << 5, 1 << 10, 1 << 15, 1 << 20)
 # A message by its bronze columns and by those of the envelope.  The time belongs to it because a topic
 # that was dropped and made anew counts its offsets from zero again.
 IDENTITY = {"kafka_topic": "topic", "kafka_partition": "partition", "kafka_offset": "offset", "kafka_timestamp": "timestamp"}
@@ -86,7 +89,7 @@ def refreshed_index(spark: SparkSession, table: str) -> DataFrame:
         rows = _rows_of(held, [paths[f] for f in new]).select(F.col("_metadata.file_name").alias("file"), *IDENTITY)
         whole = spark.createDataFrame([(f,) for f in new], "file string").join(islands(rows, "file"), "file", "left")
         # a file without messages has a row without a stretch
-        whole.select(*[c.split(" ")[0] for c in INDEX_SCHEMA.split(", ")]).coalesce(1).write.mode("append").insertInto(name)
+        whole.select(*[c.split(" ")[0] for c in INDEX_SCHEMA.split(", ")]).hint("rebalance").write.mode("append").insertInto(name)
         spark.catalog.refreshTable(name)
     return spark.table(name).join(present, "file", "left_semi")
 
@@ -101,18 +104,26 @@ def held_stretches(index: DataFrame) -> DataFrame:
 
 
 def _spread(stretches: DataFrame, *columns: str) -> DataFrame:
-    """A row for every block of ``STRETCH`` offsets that a stretch reaches into: a key to join by."""
-    blocks = F.sequence(F.floor(F.col("low") / STRETCH), F.floor(F.col("high") / STRETCH))
-    return stretches.select(
-        F.col("kafka_topic").alias("_topic"), F.col("kafka_partition").alias("_partition"), F.explode(blocks).alias("_block"), "low", "high", *columns
+    """A row for every block of its size (``SIZES``) that a stretch reaches into: a key to join by."""
+    size = reduce(lambda larger, n: F.when(F.col("high") - F.col("low") < n, n).otherwise(larger), SIZES[-2::-1], F.lit(SIZES[-1]))
+    blocks = F.sequence(F.floor(F.col("low") / F.col("_size")), F.floor(F.col("high") / F.col("_size")))
+    return stretches.withColumn("_size", size).select(
+        F.col("kafka_topic").alias("_topic"), F.col("kafka_partition").alias("_partition"), "_size", F.explode(blocks).alias("_block"),
+        "low", "high", *columns
     )
 
 
-def _covers() -> Column:
+def _sizes(spread: DataFrame) -> list[int]:
+    """The sizes of blocks that occur, largest first."""
+    return sorted((r["_size"] for r in spread.select("_size").distinct().collect()), reverse=True)
+
+
+def _covers(size: Column) -> Column:
+    """Whether a stretch that goes by blocks of a size holds a message."""
     offset = F.col("offset")
     return (
-        (F.col("topic") == F.col("_topic")) & (F.col("partition") == F.col("_partition"))
-        & (F.floor(offset / STRETCH) == F.col("_block")) & offset.between(F.col("low"), F.col("high"))
+        (F.col("topic") == F.col("_topic")) & (F.col("partition") == F.col("_partition")) & (F.col("_size") == size)
+        & (F.floor(offset / size) == F.col("_block")) & offset.between(F.col("low"), F.col("high"))
     )
 
 
@@ -134,7 +145,9 @@ def unseen_by_index(envelopes: DataFrame, table: str) -> DataFrame:
     index = refreshed_index(spark, table)
     held, stretches = spark.table(table), index.where("low IS NOT NULL")
     placed = F.col("partition").isNotNull() & F.col("offset").isNotNull()
-    met = envelopes.select(*IDENTITY.values()).join(_spread(stretches, "file", "messages", "digest"), _covers(), "left").groupBy(
+    spread = _spread(stretches, "file", "messages", "digest")
+    asked = envelopes.select(*IDENTITY.values(), F.explode(F.array(*[F.lit(n) for n in _sizes(spread) or SIZES[-1:]])).alias("_asked"))
+    met = asked.join(spread, _covers(F.col("_asked")), "left").groupBy(
         "file", F.col("_topic").alias("kafka_topic"), F.col("_partition").alias("kafka_partition"), "low"
     ).agg(
         F.max("high").alias("high"), F.count_if(~placed).alias("unplaced"),
@@ -142,8 +155,9 @@ def unseen_by_index(envelopes: DataFrame, table: str) -> DataFrame:
     )
     judged = stored(met, "stretches")
     fresh = envelopes.where(placed)
-    if not judged.where("whole").isEmpty():
-        fresh = fresh.join(_spread(judged.where("whole")), _covers(), "left_anti")
+    known = _spread(judged.where("whole"))
+    for size in _sizes(known):
+        fresh = fresh.join(known.where(F.col("_size") == size), _covers(F.lit(size)), "left_anti")
     odd = {r["file"] for r in judged.where("NOT whole").select("file").distinct().collect()}  # names, of files listed here anyway
     if odd:
         fresh = _not_among(fresh, _rows_of(held, [p for p in held.inputFiles() if p.rsplit("/", 1)[-1] in odd]))

@@ -196,6 +196,23 @@ def test_mixed_batches_lose_and_repeat_nothing(spark, namespace):
     assert set(found) == held and len(found) == len(held)
 
 
+def test_broken_offsets_meet_few_stretches(spark, namespace):
+    """However broken the offsets of a file are, few of its stretches share a key to join by, and a long one has few keys."""
+    ends = spark.range(5000).select(
+        F.lit(TOPIC).alias("kafka_topic"), F.lit(0).alias("kafka_partition"), (F.col("id") * 4).alias("low"), (F.col("id") * 4 + F.col("id") % 3).alias("high")
+    ).unionByName(spark.sql(f"SELECT '{TOPIC}' AS kafka_topic, 0 AS kafka_partition, 30000L AS low, 1030000L AS high"))
+    spread = offset_index._spread(ends)
+    assert spread.groupBy("_topic", "_partition", "_size", "_block").count().agg(F.max("count")).first()[0] <= 33
+    assert spread.where("low = 30000").count() <= 2
+
+    table = f"{namespace}.txn"
+    offsets = [*range(0, 2000, 4), *range(3000, 3040), *range(4000, 7000)]
+    assert op.ingest_batch(numbered(spark, offsets), TRANSACTIONS, table) == len(offsets)
+    assert op.ingest_batch(numbered(spark, offsets), TRANSACTIONS, table) == 0
+    assert op.ingest_batch(numbered(spark, range(7100)), TRANSACTIONS, table) == 7100 - len(offsets)
+    assert spark.table(table).select("kafka_offset").distinct().count() == spark.table(table).count() == 7100
+
+
 def test_a_crash_before_the_index_is_written_repeats_nothing(spark, namespace):
     table = f"{namespace}.txn"
     op.ingest_batch(numbered(spark, range(5)), TRANSACTIONS, table)

@@ -152,7 +152,7 @@ def bronze_stream_ingest(spark, sf_dir):
 
 @query
 def stream_dedup(spark, sf_dir):
-    """Messages in three batches: the second repeats all and has new keys of a year before, the third repeats those."""
+    """Messages that come three times, each as many files: the second time all again and new keys of a year before, the third time those."""
     namespace, folder = _namespace(spark, "stream_dedup")
     messages, table = f"{folder}/_messages", f"{namespace}.events"
     events = roles.load(spark, sf_dir, "events")
@@ -166,11 +166,11 @@ def stream_dedup(spark, sf_dir):
                                F.col("user_id").cast("string").alias("customer_id"))).alias("value"),
             F.lit(TRANSACTIONS.topic).alias("topic"), F.lit(n).alias("partition"),
             F.col("event_id").alias("offset"), F.col("ts").cast("timestamp").alias("timestamp"),
-        ).coalesce(1).write.mode("append").partitionBy("topic").parquet(messages)
-    stream = stream_envelopes(spark, TRANSACTIONS.topic, per_batch=1, fmt="parquet", path=messages)
-    ingest_stream(
-        stream, TRANSACTIONS, table, f"{folder}/_checkpoints", available_now=True, keyed_state=True
-    ).awaitTermination()
+        ).write.mode("append").partitionBy("topic").parquet(messages)
+        stream = stream_envelopes(spark, TRANSACTIONS.topic, per_batch=100, fmt="parquet", path=messages)
+        ingest_stream(
+            stream, TRANSACTIONS, table, f"{folder}/_checkpoints", available_now=True, keyed_state=True
+        ).awaitTermination()
     return spark.table(table).select("txn_id", "txn_date", "customer_id")
 
 

@@ -14,6 +14,7 @@ from ledgerlake.sources import (
 from ledgerlake.sources.envelopes import kafka_options
 from ledgerlake.specs import AML_ALERTS, CUSTOMERS, SPECS, TOPICS, TRANSACTIONS, route
 from ledgerlake.streaming import await_any, ingest_stream, ingest_topics
+from ledgerlake.workload import queries
 
 from data import by_key, rows, txn
 
@@ -326,6 +327,17 @@ def test_several_topics(spark, namespace, tmp_path):
     assert {p.name for p in (tmp_path / "checkpoints").iterdir()} == set(topics)
 
 
+def test_stream_dedup_writes_its_messages_by_many_tasks(spark, namespace, tmp_path, monkeypatch):
+    folder, shared = str(tmp_path / "tables"), str(tmp_path / "shared")
+    spark.range(400).selectExpr(
+        "id AS event_id", "timestamp_ntz'2026-04-14 09:00:00' AS ts", "id % 7 AS user_id"
+    ).repartition(4).write.parquet(f"{folder}/events.parquet")
+    monkeypatch.setattr(queries, "_namespace", lambda spark, purpose: (namespace, shared))
+    found = queries.QUERIES["stream_dedup"](spark, folder)
+    assert found.count() == found.select("txn_id").distinct().count() == 408
+    assert spark.read.parquet(f"{shared}/_messages").where("partition = 0").select("_metadata.file_name").distinct().count() > 1
+
+
 def test_stream_of_new_keys_loses_nothing(spark, namespace, tmp_path):
     messages, table = str(tmp_path / "messages"), f"{namespace}.txn"
     late = envelopes(spark, txn(9), start=50).withColumn("timestamp", F.expr("timestamp - INTERVAL 300 DAYS"))

@@ -24,8 +24,9 @@ def is_blank(c: Column | str) -> Column:
 
 
 def blank_to_null(c: Column | str) -> Column:
+    """The comparison settles nearly all text: what starts behind the space is not blank, and trimming costs far more."""
     c = _col(c)
-    return F.when(F.length(stripped(c)) > 0, c)
+    return F.when((c >= "!") | (F.length(stripped(c)) > 0), c)
 
 
 def normalised(c: Column | str) -> Column:

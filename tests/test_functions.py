@@ -62,6 +62,17 @@ def test_blank(spark, text, blank):
     assert one(spark, text, fn.blank_to_null("x")) == (None if blank else text)
 
 
+@pytest.mark.parametrize("text", ["!", "a", " a", "\x00", "\x1f", "\x7f", "é", "\u00a0", "\u2003", "\ta", "\x0b", "\f\r\n "])
+def test_blank_by_its_first_character_or_by_trimming(spark, text):
+    assert one(spark, text, fn.blank_to_null("x")) == (text if text.strip(" \t\n\x0b\f\r") else None)
+
+
+def test_text_that_is_not_blank_is_not_trimmed(spark):
+    """Trimming by a set of characters costs many times a comparison, so a comparison goes first."""
+    plan = spark.createDataFrame([("a",)], "x string").select(fn.blank_to_null("x"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index(">= !") < plan.index("trim(")
+
+
 def test_normalised(spark):
     assert one(spark, " cash ", fn.normalised("x")) == "CASH"
 

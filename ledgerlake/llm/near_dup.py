@@ -29,7 +29,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .components import components
 from .storage import written
@@ -232,9 +232,10 @@ def linked_labels(docs: DataFrame, signed: DataFrame, similarity: float = SIMILA
     """(node, label) of all nodes that share a bucket with another: equal labels for a class."""
     spoken = signed.where("n > 0")
     nodes = spoken.groupBy("node").agg(F.first("bands").alias("bands"))
-    rows = written(nodes.select("node", F.explode("bands").alias("key")), "band-rows")
-    several = rows.groupBy("key").agg(F.count("*").alias("k")).where("k > 1")
-    paired = written(rows.join(written(several, "buckets"), "key"), "paired")
+    rows = nodes.select("node", F.explode("bands").alias("key"))
+    # one shuffle of all rows; counting first and joining the counts takes one more as soon as they are too many to broadcast
+    counted = rows.withColumn("k", F.count("*").over(Window.partitionBy("key")))
+    paired = written(counted.where("k > 1").select("key", "node", "k"), "paired")
     scores = written(paired.groupBy("node").agg(F.sum("k").alias("score"), (F.max("k") > LARGE).alias("large")), "scores")
     chosen = written(
         spoken.join(paired.select("node").distinct(), "node", "left_semi").groupBy("node").agg(F.min(F.struct("doc_id", "code")).alias("one")),

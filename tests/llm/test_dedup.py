@@ -174,6 +174,18 @@ def test_one_of_each(spark):
     assert near_dup.near_classes(frame(spark, [])).count() == 0
 
 
+def test_rows_of_bands_are_shuffled_once(spark, monkeypatch):
+    """Without broadcasts, as for buckets too many for one, they are counted and kept in one exchange by key."""
+    plans, write = {}, near_dup.written
+    monkeypatch.setattr(near_dup, "written", lambda df, purpose, *rest: plans.setdefault(purpose, df) and write(df, purpose, *rest))
+    near_dup.near_classes(frame(spark, [(i, sentence(i % 40, 40)) for i in range(80)]))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    plan = plans["paired"].select("*")._jdf.queryExecution().executedPlan().toString()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert plan.count("hashpartitioning(key") == 1 and "Join" not in plan
+
+
 def test_edited_copies_of_one_original(spark):
     rows, n = [], 0
     for family in range(4):

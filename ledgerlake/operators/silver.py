@@ -13,16 +13,20 @@ from ..functions.aggregates import rounded_ratio
 from ..functions.text import blank_to_null, mask_email, mask_mobile, mask_pan
 from ..rules import DEFAULT_RULES, Rules
 from ..specs import AML_ALERTS, BUREAU, CUSTOMERS, LMS_LOANS, NPA_REPORT, TRANSACTIONS, EntitySpec
-from .dedup import RECENCY, latest_per_key
+from .dedup import RECENCY, as_one_text, latest_per_key, texts_of
 
 
 def _clean(bronze: DataFrame, spec: EntitySpec) -> DataFrame:
-    """Known columns with blanks as NULL, one row per key.  Text still, so that only the columns of
-    the entity travel through the deduplicating shuffle."""
+    """Known columns with blanks as NULL, one row per key: the latest arrival, ties by all columns in turn.
+
+    The columns travel through the deduplicating sorts and shuffle as one text that sorts as they do:
+    as columns of their own they take twice the room."""
     columns = [blank_to_null(F.col(c).cast("string")).alias(c) for c in spec.columns]
-    recency = [F.col(c) for c in RECENCY if c in bronze.columns]
-    latest = latest_per_key(bronze.select(*columns, *recency), spec.key)
-    return latest.select(*spec.columns)
+    recency = [c for c in RECENCY if c in bronze.columns]
+    rest = [c for c in spec.columns if c != spec.key]
+    narrow = bronze.select(*columns, *recency).select(spec.key, *recency, as_one_text(rest).alias("_rest"))
+    order = [F.col(c).desc_nulls_last() for c in [*recency, "_rest"]]
+    return texts_of(latest_per_key(narrow, spec.key, order), "_rest", rest).select(*spec.columns)
 
 
 def _typed(spec: EntitySpec) -> dict[str, Column]:

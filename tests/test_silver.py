@@ -1,3 +1,4 @@
+import re
 from datetime import datetime
 from decimal import Decimal
 
@@ -6,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlake import operators as op
+from ledgerlake.operators.dedup import as_one_text, texts_of
 from ledgerlake.plans.quality import contract_differences
 from ledgerlake.rules import Rules
 from ledgerlake.specs import AML_ALERTS, BUREAU, CUSTOMERS, LMS_LOANS, NPA_REPORT, TRANSACTIONS
@@ -152,3 +154,23 @@ def test_transaction_contract(spark):
     assert differing(df) == []
     assert differing(df.withColumn("amount", F.lit("1"))) == [("amount", "decimal(18,2)", "string")]
     assert differing(df.drop("status").withColumn("new", F.lit(1))) == [("status", "string", None), ("new", None, "int")]
+
+
+def test_one_text_sorts_and_ends_as_its_columns(spark):
+    odd = [None, "a", "ab", "a\0", "a\1", "a\1\1", "a\1\2", "a\2", "\0", "\1", "\0\0b", "é", "\U0001f600", "b \t"]
+    values = spark.createDataFrame([(x,) for x in odd], "v string").unionByName(
+        spark.range(1).selectExpr("cast(unhex('61FF00') as string) v")  # no UTF-8
+    )
+    pairs = values.selectExpr("v x").crossJoin(values.selectExpr("v y")).withColumn("k", F.lit("k"))
+    bytes_of = lambda df: [tuple(r) for r in df.select(*[F.hex(c) for c in ("x", "y")]).collect()]
+    one = pairs.select(as_one_text(["x", "y"]).alias("t"))
+    wanted = bytes_of(pairs.orderBy(F.col("x").desc_nulls_last(), F.col("y").desc_nulls_last()))
+    assert len(set(wanted)) == 15 ** 2
+    assert bytes_of(texts_of(one.orderBy(F.col("t").desc()), "t", ["x", "y"])) == wanted
+
+
+def test_columns_of_an_entity_are_shuffled_as_one_text(spark):
+    bronze = rows(spark, NPA_REPORT, {"loan_id": "L1"}, extra="kafka_offset bigint")
+    plan = spark._jvm.PythonSQLUtils.explainString(op.silver_loans(bronze)._jdf.queryExecution(), "formatted")
+    widths = [int(n) for n in re.findall(r"\) Exchange\nInput \[(\d+)\]", plan)]
+    assert widths == [4]  # the hash, the key, the offset and the text
